@@ -61,14 +61,28 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
     return values.groupBy(column).agg(F.count(F.lit(1)).alias("rows")).filter(repeated)
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child values without a parent, with their number of rows. Nulls are left out.
+def child_values(child: DataFrame, column: str) -> DataFrame:
+    """Non-null child values with their number of rows, so a hot value meets a join as one row."""
+    return child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
-    Children are counted per value first, so a hot value reaches the join as one row.
-    """
-    values = child.filter(F.col(column).isNotNull()).groupBy(column)
+
+def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Child values without a parent, with their number of rows. Nulls are left out."""
     parents = parent.select(F.col(parent_column).alias(column))
-    return values.agg(F.count(F.lit(1)).alias("rows")).join(parents, column, "left_anti")
+    return child_values(child, column).join(parents, column, "left_anti")
+
+
+def relationship_counts(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str
+) -> DataFrame:
+    """Child rows with a value, and those among them without a parent, in one pass."""
+    parents = parent.select(F.col(parent_column).alias(column)).distinct()
+    known = child_values(child, column).join(parents.withColumn("_known", F.lit(True)), column, "left")
+    lost = F.when(F.col("_known").isNull(), F.col("rows")).otherwise(0)
+    return known.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("checked_rows"),
+        F.coalesce(F.sum(lost), F.lit(0)).alias("failing_rows"),
+    )
 
 
 def unique_check(df: DataFrame, model: str, column: str) -> DataFrame:
@@ -81,5 +95,6 @@ def relationship_check(
     child: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
     """Report line: number of child rows without a parent."""
-    count = orphans(child, column, parent, parent_column).agg(F.sum("rows").alias("_n"))
-    return count.select(F.inline(F.array(result_row(model, RELATIONSHIPS, column, F.col("_n")))))
+    count = relationship_counts(child, column, parent, parent_column)
+    line = result_row(model, RELATIONSHIPS, column, F.col("failing_rows"))
+    return count.select(F.inline(F.array(line)))

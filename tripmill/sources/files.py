@@ -1,8 +1,8 @@
 """Parquet files whose schemas drift.
 
 One ``mergeSchema`` read fails as soon as a column is bigint in one file and double in another.
-Here files are grouped by identical schema, each group is one multi-path scan, and the groups are
-united by name. A plan has as many branches as there are distinct schemas, not files.
+Here files are grouped by schema, each group is one multi-path scan, and the groups are united by
+name. A plan has as many branches as there are distinct schemas, not files.
 """
 
 from collections.abc import Sequence
@@ -10,7 +10,8 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,8 @@ from tripmill.operators.normalize import clean_trips, convert, normalize_trips
 from tripmill.schema import RAW_NAMES, TRIPS
 
 FOOTER_THREADS = 16
+# A folder of conflicting files is halved while it is larger than this, then probed file by file.
+PROBE_SINGLY = 64
 SchemaGroup = tuple[T.StructType, list[str]]
 
 
@@ -43,14 +46,39 @@ def list_files(spark: SparkSession, *patterns: str) -> list[str]:
     return sorted(unquote(file) for file in files)
 
 
+def probe(spark: SparkSession, files: Sequence[str]) -> list[SchemaGroup]:
+    """Schemas under which ``files`` can be read, each with its files.
+
+    Spark reads many footers in one distributed job and merges them, so columns that only some
+    files have need no split. Files whose types conflict are split until they do not.
+    """
+    if len(files) == 1:
+        return [(spark.read.parquet(files[0]).schema, list(files))]
+    try:
+        merged = spark.read.option("mergeSchema", "true").parquet(*files)
+        return [(merged.schema, list(files))]
+    except (Py4JJavaError, PySparkException) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    size = 1 if len(files) <= PROBE_SINGLY else -(-len(files) // 2)
+    parts = [files[i : i + size] for i in range(0, len(files), size)]
+    return [group for part in parts for group in probe(spark, part)]
+
+
 def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[SchemaGroup]:
-    """Group files by schema. Column order does not matter: Parquet is read by name."""
+    """Group files by schema. Column order does not matter: Parquet is read by name.
+
+    Files of one folder are mostly alike, so each folder is probed as a whole.
+    """
+    folders: dict[str, list[str]] = {}
+    for file in files:
+        folders.setdefault(file.rpartition("/")[0], []).append(file)
     with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        schemas = list(pool.map(lambda file: spark.read.parquet(file).schema, files))
+        probed = list(pool.map(lambda members: probe(spark, members), folders.values()))
     groups: dict[tuple, SchemaGroup] = {}
-    for file, schema in zip(files, schemas):
+    for schema, members in (group for found in probed for group in found):
         signature = tuple(sorted((f.name, f.dataType.simpleString()) for f in schema.fields))
-        groups.setdefault(signature, (schema, []))[1].append(file)
+        groups.setdefault(signature, (schema, []))[1].extend(members)
     return list(groups.values())
 
 
