@@ -1,7 +1,7 @@
 """The warehouse build: fact and rollups first, everything else from them, then the checks."""
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -9,99 +9,118 @@ from tripmill.operators.additive import CLOCK_GRAIN, ROUTE_GRAIN, rollup, trip_m
 from tripmill.plans import models, views
 from tripmill.sinks.tables import write_by_day, write_files
 
+# Independent tables written side by side.
 WRITERS = 4
 
+STORED = (
+    "fct_trip",
+    "rollup_route",
+    "rollup_clock",
+    "dim_date",
+    "dim_zone",
+    "dim_vendor",
+    "dim_payment_type",
+    "agg_payment_type",
+    "agg_route_daily",
+    "agg_pickup_zone",
+    "agg_hourly_traffic",
+)
+
 
-@dataclass
 class Warehouse:
-    """Tables stored under ``root``, also registered as temporary views."""
+    """Tables below a root folder. Each is also a temporary view of its name."""
 
-    spark: SparkSession
-    root: str
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root
+        self.tables: dict[str, DataFrame] = {}
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.table(name)
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.tables[name]
 
-    def _register(self, name: str) -> None:
-        self.spark.read.parquet(f"{self.root}/{name}").createOrReplaceTempView(name)
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
-    def store(self, frames: dict[str, DataFrame]) -> None:
-        """Write independent tables side by side."""
-        with ThreadPoolExecutor(WRITERS) as pool:
-            list(pool.map(lambda item: write_files(item[1], f"{self.root}/{item[0]}"), frames.items()))
-        for name in frames:
-            self._register(name)
-
-    def store_by_day(self, name: str, df: DataFrame) -> None:
-        write_by_day(df, f"{self.root}/{name}")
-        self._register(name)
+    def show(self, name: str, df: DataFrame) -> None:
+        """Publish a frame under a name without storing it."""
+        df.createOrReplaceTempView(name)
+        self.tables[name] = df
 
+    def open(self, name: str) -> None:
+        """Publish a stored table."""
+        self.show(name, self.spark.read.parquet(self.path(name)))
 
-def rollups(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The route and the clock rollup of single trips."""
-    measured = trip_measures(trips)
-    return rollup(measured, ROUTE_GRAIN), rollup(measured, CLOCK_GRAIN)
+    def store(self, **frames: DataFrame) -> None:
+        """Write tables that do not depend on each other, then publish them."""
+        with ThreadPoolExecutor(WRITERS) as pool:
+            list(pool.map(lambda name: write_files(frames[name], self.path(name)), frames))
+        for name in frames:
+            self.open(name)
 
 
 def build(
     spark: SparkSession,
     trips: DataFrame,
     root: str,
-    start=views.DEFAULT_START,
-    end=views.DEFAULT_END,
-) -> dict[str, DataFrame]:
-    """Build every model and view from canonical trips; returns them by name.
+    start: dt.date = views.DEFAULT_START,
+    end: dt.date = views.DEFAULT_END,
+    by_day: bool = True,
+) -> Warehouse:
+    """Build every model and view from canonical trips.
 
     The fact is scanned twice, once per rollup. Dimensions and aggregates then read rollups whose
-    size depends on days, zones and codes, not on trips.
+    size depends on days, zones and codes, not on trips. ``by_day=False`` keeps the fact in plain
+    files, for trial data that has only a few trips a day.
     """
     house = Warehouse(spark, root)
-    models.stg_trips(trips).createOrReplaceTempView("stg_trips")
-    house.store_by_day("fct_trip", models.fct_trip(house.table("stg_trips")))
-
-    routes, clock = rollups(house.table("fct_trip"))
-    house.store({"rollup_route": routes, "rollup_clock": clock})
-    routes, clock = house.table("rollup_route"), house.table("rollup_clock")
+    house.show("stg_trips", models.stg_trips(trips))
+    fact = models.fct_trip(house["stg_trips"])
+    if by_day:
+        write_by_day(fact, house.path("fct_trip"))
+    else:
+        write_files(fact, house.path("fct_trip"))
+    house.open("fct_trip")
+
+    measured = trip_measures(house["fct_trip"])
     house.store(
-        {
-            "dim_date": models.dim_date(clock),
-            "dim_zone": models.dim_zone(routes),
-            "dim_vendor": models.dim_vendor(clock),
-            "dim_payment_type": models.dim_payment_type(clock),
-            "agg_payment_type": models.agg_payment_type(clock),
-            "agg_route_daily": models.agg_route_daily(routes),
-            "agg_pickup_zone": models.agg_pickup_zone(routes),
-            "agg_hourly_traffic": models.agg_hourly_traffic(clock),
-        }
+        rollup_route=rollup(measured, ROUTE_GRAIN), rollup_clock=rollup(measured, CLOCK_GRAIN)
     )
-    shown = {
-        "v_kpi_daily": views.v_kpi_daily(routes, start, end),
-        "v_hourly_traffic": views.v_hourly_traffic(house.table("agg_hourly_traffic")),
-        "v_payment_performance": views.v_payment_performance(house.table("agg_payment_type")),
-        "v_zone_performance": views.v_zone_performance(
-            house.table("agg_pickup_zone"), house.table("dim_zone")
-        ),
-        "v_route_performance": views.v_route_performance(house.table("agg_route_daily")),
-    }
-    for name, df in shown.items():
-        df.createOrReplaceTempView(name)
-    return {name: house.table(name) for name in TABLES}
+    routes, clock = house["rollup_route"], house["rollup_clock"]
+    house.store(
+        dim_date=models.dim_date(clock),
+        dim_zone=models.dim_zone(routes),
+        dim_vendor=models.dim_vendor(clock),
+        dim_payment_type=models.dim_payment_type(clock),
+        agg_payment_type=models.agg_payment_type(clock),
+        agg_route_daily=models.agg_route_daily(routes),
+        agg_pickup_zone=models.agg_pickup_zone(routes),
+        agg_hourly_traffic=models.agg_hourly_traffic(clock),
+    )
+    show_views(house, start, end)
+    return house
 
 
-TABLES = (
-    "stg_trips",
-    "fct_trip",
-    "dim_date",
-    "dim_zone",
-    "dim_vendor",
-    "dim_payment_type",
-    "agg_payment_type",
-    "agg_route_daily",
-    "agg_pickup_zone",
-    "agg_hourly_traffic",
-    "v_kpi_daily",
-    "v_hourly_traffic",
-    "v_payment_performance",
-    "v_zone_performance",
-    "v_route_performance",
-)
+def show_views(house: Warehouse, start: dt.date, end: dt.date) -> None:
+    """Publish the dashboard views over stored tables."""
+    house.show("v_kpi_daily", views.v_kpi_daily(house["rollup_route"], start, end))
+    house.show("v_hourly_traffic", views.v_hourly_traffic(house["agg_hourly_traffic"]))
+    house.show("v_payment_performance", views.v_payment_performance(house["agg_payment_type"]))
+    zones = views.v_zone_performance(house["agg_pickup_zone"], house["dim_zone"])
+    house.show("v_zone_performance", zones)
+    house.show("v_route_performance", views.v_route_performance(house["agg_route_daily"]))
+
+
+def reopen(
+    spark: SparkSession,
+    trips: DataFrame,
+    root: str,
+    start: dt.date = views.DEFAULT_START,
+    end: dt.date = views.DEFAULT_END,
+) -> Warehouse:
+    """Publish the tables and views of an earlier build."""
+    house = Warehouse(spark, root)
+    house.show("stg_trips", models.stg_trips(trips))
+    for name in STORED:
+        house.open(name)
+    show_views(house, start, end)
+    return house

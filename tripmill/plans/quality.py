@@ -1,10 +1,9 @@
 """The declared checks of the warehouse and the report over them."""
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row
 
 from tripmill.operators.checks import (
     ERROR,
@@ -93,9 +92,9 @@ def quality_report(tables: Tables) -> DataFrame:
     return _union(parts)
 
 
-def enforce(report: DataFrame) -> None:
-    """Raise if a check of severity ``error`` failed. The report has one row per declared check."""
-    failed = report.filter(F.col("status") == ERROR).collect()
+def enforce(lines: Iterable[Row]) -> None:
+    """Raise if a check of severity ``error`` failed. Takes the collected report: a line a check."""
+    failed = [r for r in lines if r.status == ERROR]
     if failed:
-        lines = [f"{r.model}.{r.target} {r.check_name}: {r.failing_rows}" for r in failed]
-        raise CheckFailure("; ".join(sorted(lines)))
+        texts = [f"{r.model}.{r.target} {r.check_name}: {r.failing_rows}" for r in failed]
+        raise CheckFailure("; ".join(sorted(texts)))

@@ -25,19 +25,18 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 def raw_trips(spark: SparkSession, folder: str, coarse: bool = False) -> DataFrame:
     """Trips in raw layout, with missing values, non-positive durations and negative fares."""
     zones = COARSE_ZONES if coarse else ZONES
-    offset = (
-        "make_dt_interval(0, l_linenumber % 3 + 6)"
-        if coarse
-        else "make_dt_interval(0, int(l_partkey % 24), l_linenumber)"
-    )
-    ride = "make_dt_interval(0, 0, int((l_partkey * 7 + l_suppkey) % 90 - 10), decimal(l_quantity))"
-    lines = order_lines(spark, folder).withColumn("pickup", F.expr(f"o_orderdate + {offset}"))
+    hours = F.col("l_linenumber") % 3 + 6 if coarse else F.col("l_partkey") % 24
+    minutes = F.lit(0) if coarse else F.col("l_linenumber")
+    ordered = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    ride = ((F.col("l_partkey") * 7 + F.col("l_suppkey")) % 90 - 10) * 60 + F.col("l_quantity").cast("int")
+    lines = order_lines(spark, folder).withColumn("pickup", ordered + hours * 3600 + minutes * 60)
+    dropoff = F.timestamp_seconds(F.col("pickup") + ride)
     extended, tip = F.col("l_extendedprice"), F.col("l_tax") * 100
     refund = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 6)
     return lines.select(
         (F.col("l_suppkey") % 4 + 1).alias("VendorID"),
-        F.col("pickup").alias("tpep_pickup_datetime"),
-        F.when(F.col("l_suppkey") % 37 != 0, F.expr(f"pickup + {ride}")).alias("tpep_dropoff_datetime"),
+        F.timestamp_seconds("pickup").alias("tpep_pickup_datetime"),
+        F.when(F.col("l_suppkey") % 37 != 0, dropoff).alias("tpep_dropoff_datetime"),
         F.when(F.col("l_linenumber") != 7, F.col("l_linenumber").cast("double")).alias("passenger_count"),
         F.col("l_quantity").alias("trip_distance"),
         F.when(F.col("l_partkey") % 101 != 0, F.col("l_partkey") % zones + 1).alias("PULocationID"),

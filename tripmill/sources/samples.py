@@ -11,7 +11,7 @@ from tripmill.sources.files import read_group, read_trips, schema_groups, union_
 
 # Up to this many files, a sample is one small limit per file, which stops reading early. Beyond
 # it the plan would grow too large and rows are picked by their position in one scan per schema.
-MAX_LIMIT_BRANCHES = 200
+MAX_LIMIT_BRANCHES = 32
 
 
 def rows_per_file(sample_rows: int, files: int) -> int:

@@ -429,8 +429,11 @@ ORACLES: dict[str, str] = {
     "dim_vendor_rollup": over(DIM_VENDOR),
     "dim_zone_rollup": over(DIM_ZONE, TOUCHES),
     "agg_payment_type_rollup": over(rounded(AGG_PAYMENT, *PAYMENT_FLOATS)),
-    "agg_hourly_traffic_rollup": over(rounded(AGG_HOURLY, *HOURLY_FLOATS)),
-    "agg_pickup_zone_rollup": over(rounded(AGG_ZONE, *ZONE_FLOATS)),
+    "built_dim_date": over(DIM_DATE),
+    "built_dim_payment_type": over(DIM_PAYMENT),
+    "built_agg_route_daily": over(rounded(AGG_ROUTE, *ROUTE_FLOATS)),
+    "built_v_hourly_traffic": over(rounded(V_HOURLY, *HOURLY_FLOATS)),
+    "built_v_zone_performance": over(rounded(V_ZONE, *ZONE_FLOATS), TOUCHES),
     "v_kpi_daily": over(rounded(KPI, *KPI_FLOATS)),
     "v_hourly_traffic": over(rounded(V_HOURLY, *HOURLY_FLOATS)),
     "v_payment_performance": over(rounded(V_PAYMENT, *PAYMENT_FLOATS)),

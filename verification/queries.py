@@ -22,7 +22,7 @@ from tripmill.operators.normalize import (
 from tripmill.operators.numbering import hot_groups
 from tripmill.plans import models, quality, reports, views
 from tripmill.plans.models import serve
-from tripmill.schema import TRIP_COLUMNS, TRIP_KEY, TRIPS, staged
+from tripmill.schema import TRIP_KEY, TRIPS, staged
 from tripmill.session import configure, scratch_folder
 from tripmill.sinks.backfill import backfill
 from tripmill.sinks.tables import read_table, write_by_day, write_files
@@ -30,7 +30,7 @@ from tripmill.sources.derived import raw_trips
 from tripmill.sources.files import external_view, list_files, read_raw, read_trips, scan
 from tripmill.sources.months import month_frame, select_months
 from tripmill.sources.samples import first_trips, rows_per_file, sample_per_file, sample_trips
-from verification.staging import PATTERN, TAXI, staged_months
+from verification.staging import PATTERN, TAXI, built_warehouse, staged_months
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -237,10 +237,6 @@ def fct_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.fct_trip(stg(spark, sf_dir, coarse=True))
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.fct_trip(stg(spark, sf_dir))
-
-
 # --- aggregates and views ----------------------------------------------------------------------
 
 
@@ -297,17 +293,17 @@ def over(view: Query, name: str = "", report: Callable[..., DataFrame] | None =
     return query
 
 
+def built(name: str) -> Query:
+    """A table or view of the finished build."""
+    return lambda spark, sf_dir: rounded(serve(name, tables(spark, sf_dir)[name]))
+
+
 # --- quality -----------------------------------------------------------------------------------
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    """Every checked table, lazily: only those a report names are computed."""
-    frame = measured(spark, sf_dir)
-    names = [n for n in quality.NOT_NULL_COLUMNS if n.startswith(("dim_", "agg_"))]
-    built = {name: getattr(models, name)(frame) for name in names}
-    built["stg_trips"] = frame.select(*TRIP_COLUMNS)
-    built["fct_trip"] = fact(spark, sf_dir)
-    return built
+    """The stored tables of a finished build, as checks run after it."""
+    return built_warehouse(configure(spark), sf_dir).tables
 
 
 def relationships(column: str) -> Query:
@@ -375,8 +371,11 @@ QUERIES: dict[str, Query] = {
     "dim_vendor_rollup": rolled_up("dim_vendor", CLOCK_GRAIN),
     "dim_zone_rollup": rolled_up("dim_zone", ROUTE_GRAIN),
     "agg_payment_type_rollup": rolled_up("agg_payment_type", CLOCK_GRAIN),
-    "agg_hourly_traffic_rollup": rolled_up("agg_hourly_traffic", CLOCK_GRAIN),
-    "agg_pickup_zone_rollup": rolled_up("agg_pickup_zone", ROUTE_GRAIN),
+    "built_dim_date": built("dim_date"),
+    "built_dim_payment_type": built("dim_payment_type"),
+    "built_agg_route_daily": built("agg_route_daily"),
+    "built_v_hourly_traffic": built("v_hourly_traffic"),
+    "built_v_zone_performance": built("v_zone_performance"),
     "v_kpi_daily": over(kpi_daily, "v_kpi_daily"),
     "v_hourly_traffic": over(hourly_traffic),
     "v_payment_performance": over(payment_performance),

@@ -1,8 +1,10 @@
-"""Monthly raw files with drifting schemas, written by Spark from the test tables."""
+"""Inputs that Spark writes from the test tables: drifting monthly files and a built warehouse."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.operators.normalize import clean_trips, normalize_trips
+from tripmill.plans.build import Warehouse, build
 from tripmill.session import scratch_folder
 from tripmill.sources.derived import raw_trips
 
@@ -16,6 +18,7 @@ SECOND_LAYOUT = "1997-01"
 THIRD_LAYOUT = "1999-01"
 
 _staged: dict[tuple[str, str], str] = {}
+_built: dict[tuple[str, str], Warehouse] = {}
 
 
 def layouts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -54,3 +57,15 @@ def staged_months(spark: SparkSession, sf_dir: str) -> str:
             part.hint("rebalance", MONTH_FOLDER).write.mode("append").partitionBy(MONTH_FOLDER).parquet(folder)
         _staged[key] = folder
     return _staged[key]
+
+
+def built_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Warehouse over the fine trips; built once per application and test folder.
+
+    The test trips lie thinly over 2,400 days, so the fact is kept in plain files.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _built:
+        trips = clean_trips(normalize_trips(raw_trips(spark, sf_dir)))
+        _built[key] = build(spark, trips, scratch_folder(spark, "warehouse"), by_day=False)
+    return _built[key]
