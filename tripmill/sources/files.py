@@ -31,12 +31,13 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, *patterns: str) -> list[str]:
-    """Sorted data files behind paths or globs, on any storage Spark can read.
+    """Sorted data files at or below paths or globs, on any storage Spark can read.
 
     The dummy schema keeps Spark from opening a file: this only lists. No match is an error.
     """
     try:
-        files = spark.read.schema("unread string").parquet(*patterns).inputFiles()
+        reader = spark.read.schema("unread string").option("recursiveFileLookup", True)
+        files = reader.parquet(*patterns).inputFiles()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
