@@ -16,7 +16,6 @@ def spark(tmp_path_factory):
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(folder / "checkpoint"))
         .config("spark.sql.warehouse.dir", str(folder / "tables"))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")

@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m``-style entry to the batch steps.
+"""Command line of the batch steps.
 
     python -m tripmill ingest   --raw ROOT --out TRIPS [--taxi yellow --start 2023-01 --end 2023-12]
     python -m tripmill backfill --raw ROOT --out TRIPS --start 2022-01 --end 2023-12
@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.plans import quality, views
 from tripmill.plans.build import build, reopen
+from tripmill.plans.catalog import publish
 from tripmill.schema import TRIPS
 from tripmill.session import build_session
 from tripmill.sinks.backfill import backfill
 from tripmill.sinks.tables import read_table, write_by_day, write_files
 from tripmill.sources.files import list_files, read_trips
 from tripmill.sources.months import MONTH_FILE, select_months
-from tripmill.sources.samples import sample_trips
+from tripmill.sources.samples import first_trips, sample_trips
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -36,6 +37,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         step.add_argument("--start", required=step is load, help="first month, YYYY-MM")
         step.add_argument("--end", required=step is load, help="last month, YYYY-MM")
     ingest.add_argument("--sample-rows", type=int, help="cap, shared evenly by the files")
+    ingest.add_argument("--max-trips", type=int, help="cap on clean trips, from as few files as hold them")
     ingest.add_argument("--files", type=int, help="number of output files")
     ingest.add_argument("--by-day", action="store_true", help="one folder per day, clustered")
     load.add_argument("--keep", action="store_true", help="keep months loaded earlier")
@@ -45,6 +47,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     for step in (make, check):
         step.add_argument("--trips", required=True, help="folder of canonical trips")
         step.add_argument("--root", required=True, help="folder of the warehouse")
+        step.add_argument("--database", help="also declare tables and views in this catalog database")
         step.add_argument("--from-date", type=dt.date.fromisoformat, default=views.DEFAULT_START)
         step.add_argument("--to-date", type=dt.date.fromisoformat, default=views.DEFAULT_END)
     return parser.parse_args(argv)
@@ -64,6 +67,8 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     files = input_files(spark, args)
     if args.sample_rows:
         trips = sample_trips(spark, files, args.sample_rows)
+    elif args.max_trips:
+        trips = first_trips(spark, files, args.max_trips)
     else:
         trips = read_trips(spark, files)
     rows = write_by_day(trips, args.out) if args.by_day else write_files(trips, args.out, args.files)
@@ -94,8 +99,15 @@ def main(argv: list[str] | None = None) -> None:
         load(spark, args)
     else:
         trips = read_table(spark, args.trips, TRIPS)
-        step = build if args.step == "build" else reopen
-        report(step(spark, trips, args.root, args.from_date, args.to_date).tables)
+        span = (args.from_date, args.to_date)
+        if args.step == "build":
+            # Counting stored trips reads file footers only.
+            house = build(spark, trips, args.root, *span, at_most=trips.count())
+        else:
+            house = reopen(spark, trips, args.root, *span)
+        if args.database:
+            publish(house, args.database, *span)
+        report(house.tables)
 
 
 if __name__ == "__main__":

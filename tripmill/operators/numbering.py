@@ -51,13 +51,16 @@ def number_rows(
     name: str,
     hot: Sequence[int] | None = None,
     hot_rows: int = HOT_ROWS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add ``row_number()`` over ``keys`` ordered by ``order`` (ascending, nulls first).
 
-    ``hot`` lists hashes of groups to split; by default a sketch finds them.
+    ``hot`` lists hashes of groups to split; by default a sketch finds them. Where ``df`` is known
+    to have ``at_most`` so few rows that no group can be hot, the sketch is spared.
     """
     if hot is None:
-        hot = hot_groups(df, keys, hot_rows)
+        small = at_most is not None and at_most <= hot_rows
+        hot = [] if small else hot_groups(df, keys, hot_rows)
     window = Window.partitionBy(*keys).orderBy(*order)
     if not hot:
         return df.withColumn(name, F.row_number().over(window))

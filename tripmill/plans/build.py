@@ -65,16 +65,18 @@ def build(
     start: dt.date = views.DEFAULT_START,
     end: dt.date = views.DEFAULT_END,
     by_day: bool = True,
+    at_most: int | None = None,
 ) -> Warehouse:
     """Build every model and view from canonical trips.
 
     The fact is scanned twice, once per rollup. Dimensions and aggregates then read rollups whose
     size depends on days, zones and codes, not on trips. ``by_day=False`` keeps the fact in plain
-    files, for trial data that has only a few trips a day.
+    files, for trial data that has only a few trips a day. ``at_most`` is the number of trips, if
+    known.
     """
     house = Warehouse(spark, root)
     house.show("stg_trips", models.stg_trips(trips))
-    fact = models.fct_trip(house["stg_trips"])
+    fact = models.fct_trip(house["stg_trips"], at_most=at_most)
     if by_day:
         write_by_day(fact, house.path("fct_trip"))
     else:

@@ -98,14 +98,18 @@ def dim_payment_type(measured: DataFrame) -> DataFrame:
 # --- fact ------------------------------------------------------------------------------------
 
 
-def trip_seq(stg: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:
-    """Number the trips that share a key; none is dropped."""
-    return number_rows(stg, TRIP_KEY, TRIP_ORDER, "trip_seq", hot)
+def trip_seq(
+    stg: DataFrame, hot: Sequence[int] | None = None, at_most: int | None = None
+) -> DataFrame:
+    """Number the trips that share a key; none is dropped. See ``number_rows`` for the options."""
+    return number_rows(stg, TRIP_KEY, TRIP_ORDER, "trip_seq", hot, at_most=at_most)
 
 
-def fct_trip(stg: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:
+def fct_trip(
+    stg: DataFrame, hot: Sequence[int] | None = None, at_most: int | None = None
+) -> DataFrame:
     """One row per trip with its surrogate key."""
-    numbered = trip_seq(stg, hot)
+    numbered = trip_seq(stg, hot, at_most)
     key = surrogate_key(numbered, (*TRIP_KEY, "trip_seq"))
     return numbered.select(key.alias("event_id"), *TRIP_COLUMNS)
 

@@ -13,12 +13,19 @@ from tripmill.session import configure
 ZONES = 263
 COARSE_ZONES = 5
 
+# Columns used, so that no file has to be opened to learn its schema.
+LINES = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_tax double, l_returnflag string"
+)
+ORDERS = "o_orderkey bigint, o_orderdate timestamp_ntz"
+
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines with the date of their order. A hot order is split by adaptive skew joins."""
     configure(spark)
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_orderdate")
+    lines = spark.read.schema(LINES).parquet(f"{folder}/lineitem.parquet")
+    orders = spark.read.schema(ORDERS).parquet(f"{folder}/orders.parquet")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 

@@ -26,7 +26,7 @@ from tripmill.schema import TRIP_KEY, TRIPS, staged
 from tripmill.session import configure, scratch_folder
 from tripmill.sinks.backfill import backfill
 from tripmill.sinks.tables import read_table, write_by_day, write_files
-from tripmill.sources.derived import raw_trips
+from tripmill.sources.derived import LINES, raw_trips
 from tripmill.sources.files import external_view, list_files, read_raw, read_trips, scan
 from tripmill.sources.months import month_frame, select_months
 from tripmill.sources.samples import first_trips, rows_per_file, sample_per_file, sample_trips
@@ -77,6 +77,11 @@ def stg(spark: SparkSession, sf_dir: str, coarse: bool = False) -> DataFrame:
     return models.stg_trips(trips(spark, sf_dir, coarse))
 
 
+def line_count(spark: SparkSession, sf_dir: str) -> int:
+    """Order lines, hence at most so many trips; comes from file footers."""
+    return spark.read.schema(LINES).parquet(f"{sf_dir}/lineitem.parquet").count()
+
+
 def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged trips with additive measures. The fact has the same rows, so it is not numbered."""
     return trip_measures(stg(spark, sf_dir))
@@ -215,7 +220,8 @@ def union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trip_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.trip_seq(stg(spark, sf_dir, coarse=True))
+    frame = stg(spark, sf_dir, coarse=True)
+    return models.trip_seq(frame, at_most=line_count(spark, sf_dir))
 
 
 def trip_seq_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,7 +240,8 @@ def surrogate_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fct_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.fct_trip(stg(spark, sf_dir, coarse=True))
+    frame = stg(spark, sf_dir, coarse=True)
+    return models.fct_trip(frame, at_most=line_count(spark, sf_dir))
 
 
 # --- aggregates and views ----------------------------------------------------------------------
