@@ -281,9 +281,8 @@ def payment_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both sides come from one route rollup, which is shuffled once."""
-    routes = rollup(measured(spark, sf_dir), ROUTE_GRAIN)
-    return views.v_zone_performance(models.agg_pickup_zone(routes), models.dim_zone(routes))
+    frame = measured(spark, sf_dir)
+    return views.v_zone_performance(models.agg_pickup_zone(frame), models.dim_zone(frame))
 
 
 def route_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
