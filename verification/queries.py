@@ -29,7 +29,7 @@ from tripmill.sinks.tables import read_table, write_by_day, write_files
 from tripmill.sources.derived import LINES, raw_trips
 from tripmill.sources.files import external_view, list_files, read_raw, read_trips, scan
 from tripmill.sources.months import month_frame, select_months
-from tripmill.sources.samples import first_trips, rows_per_file, sample_per_file, sample_trips
+from tripmill.sources.samples import first_trips, rows_per_file, sample_per_file
 from verification.staging import PATTERN, TAXI, built_warehouse, staged_months
 
 Query = Callable[[SparkSession, str], DataFrame]
