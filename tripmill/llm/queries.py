@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmill.llm import bpe
 from tripmill.llm.packing import pack, token_count
 from tripmill.llm.quality_rules import judge, ledger
 from tripmill.llm.shared import source
@@ -19,6 +21,11 @@ def op2_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return pack(docs, docs["n_tokens"])
 
 
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.digests(source(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
 def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge(ledger(source(spark, folder, "documents").select("doc_id", "text")))
     return judged.drop("text")
@@ -30,6 +37,7 @@ def op9_url_graph(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_length_buckets": op2_length_buckets,
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_quality_ledger": op5_quality_ledger,
     "op9_url_graph": op9_url_graph,
 }
