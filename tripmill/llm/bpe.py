@@ -28,6 +28,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmill.llm.shared import map_batches
+
 DEAD = 1 << 62
 POSITION = (1 << 32) - 1
 REMEMBERED = 400_000
@@ -270,7 +272,8 @@ def _each(rows: DataFrame, columns: Sequence[str], schema: str, work, vocabulary
             for part in portions(values):
                 yield pd.DataFrame(dict(zip(names, [keys[part].to_numpy(), *work(own, values[part])])))
 
-    return rows.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns))).mapInPandas(run, schema)
+    chosen = rows.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)))
+    return map_batches(chosen, run, schema)
 
 
 def _digests(own: Codec, texts: list[str]) -> list[list]:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +39,20 @@ def split_words(text: Column) -> Column:
     """Words between runs of SPACE; an empty array when there is none."""
     inner = F.btrim(text, F.lit(SPACE))
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[ \t\n\x0B\f\r]+"))
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster it is installed on the nodes or sent with ``--py-files``; then this changes nothing.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    found = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in found.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, found) if p)
+
+
+def map_batches(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``mapInPandas`` with this package on the workers' path."""
+    on_workers(df.sparkSession)
+    return df.mapInPandas(work, schema)
