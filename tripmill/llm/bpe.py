@@ -22,20 +22,19 @@ from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.shared import map_batches
+from tripmill.llm.shared import map_arrow, portions
 
 DEAD = 1 << 62
 POSITION = (1 << 32) - 1
 REMEMBERED = 400_000
 SHORT = 64
 STEP = 4_096
-PORTION = 4_000_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -241,39 +240,31 @@ class Codec:
         return self.letters[where].tobytes()
 
 
-def portions(texts: Sequence[str], most: int = PORTION) -> Iterator[slice]:
-    """Slices of about ``most`` characters, so that a batch of long texts needs little memory."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= most:
-            yield slice(start, i + 1)
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
-
-
 @lru_cache(maxsize=2)
 def codec(vocabulary: str, pattern: str) -> Codec:
     """One per Python worker, kept from task to task."""
     return Codec(load_ranks(vocabulary), pattern)
 
 
-def _each(rows: DataFrame, columns: Sequence[str], schema: str, work, vocabulary: str, pattern: str) -> DataFrame:
+def _each(
+    rows: DataFrame, key: str, value: str, columns: dict[str, tuple[str, pa.DataType]], work, vocabulary: str, pattern: str
+) -> DataFrame:
     """Run ``work(codec, values)`` over portions; the file travels with the job, so any node has it."""
     rows.sparkSession.sparkContext.addFile(vocabulary)
     name = vocabulary.replace("\\", "/").rsplit("/", 1)[-1]
-    names = [field.split()[0] for field in schema.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(SparkFiles.get(name), pattern)
         for batch in batches:
-            keys, values = batch.iloc[:, 0], [v if v is not None else "" for v in batch.iloc[:, 1]]
+            values = [v if v is not None else "" for v in batch.column(1).to_pylist()]
             for part in portions(values):
-                yield pd.DataFrame(dict(zip(names, [keys[part].to_numpy(), *work(own, values[part])])))
+                keys = batch.column(0).slice(part.start, part.stop - part.start)
+                found = work(own, values[part])
+                arrays = [pa.array(column, kind) for column, (_, kind) in zip(found, columns.values())]
+                yield pa.RecordBatch.from_arrays([keys, *arrays], names=[key, *columns])
 
-    chosen = rows.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)))
-    return map_batches(chosen, run, schema)
+    schema = f"`{key}` {rows.schema[key].dataType.simpleString()}, " + ", ".join(f"{c} {t}" for c, (t, _) in columns.items())
+    return map_arrow(rows.select(F.col(f"`{key}`"), F.col(f"`{value}`")), run, schema)
 
 
 def _digests(own: Codec, texts: list[str]) -> list[list]:
@@ -287,20 +278,21 @@ def _digests(own: Codec, texts: list[str]) -> list[list]:
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every whole text, decode the ids again, and return counts and hashes of both."""
-    found = docs.schema[key].dataType.simpleString()
-    schema = f"{key} {found}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return _each(docs, [key, text], schema, _digests, vocabulary, pattern)
+    columns = {
+        "n_tokens": ("long", pa.int64()),
+        "ids_sha256": ("string", pa.string()),
+        "decoded_sha256": ("string", pa.string()),
+    }
+    return _each(docs, key, text, columns, _digests, vocabulary, pattern)
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids array<int>) of every text."""
-    found = docs.schema[key].dataType.simpleString()
     work = lambda own, texts: [[list(map(int, ids.split())) for ids in own.encode_many(texts)]]
-    return _each(docs, [key, text], f"{key} {found}, ids array<int>", work, vocabulary, pattern)
+    return _each(docs, key, text, {"ids": ("array<int>", pa.list_(pa.int32()))}, work, vocabulary, pattern)
 
 
 def decode(rows: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, bytes binary) of every id array, null as empty; an id outside the vocabulary is an error."""
-    found = rows.schema[key].dataType.simpleString()
     work = lambda own, arrays: [[own.decode(" ".join(map(str, a))) for a in arrays]]
-    return _each(rows, [key, ids], f"{key} {found}, bytes binary", work, vocabulary, pattern)
+    return _each(rows, key, ids, {"bytes": ("binary", pa.binary())}, work, vocabulary, pattern)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import bpe
+from tripmill.llm import bpe, language
 from tripmill.llm.packing import pack, token_count
 from tripmill.llm.quality_rules import judge, ledger
 from tripmill.llm.shared import source
@@ -26,6 +26,12 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(source(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op4_language_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    docs = source(spark, folder, "documents")
+    found = language.predict(docs, language.fit(docs))
+    return found.withColumn("held_out", language.held_out())
+
+
 def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge(ledger(source(spark, folder, "documents").select("doc_id", "text")))
     return judged.drop("text")
@@ -38,6 +44,7 @@ def op9_url_graph(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_length_buckets": op2_length_buckets,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_language_centroids": op4_language_centroids,
     "op5_quality_ledger": op5_quality_ledger,
     "op9_url_graph": op9_url_graph,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,7 +52,19 @@ def on_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, found) if p)
 
 
-def map_batches(df: DataFrame, work: Callable, schema: str) -> DataFrame:
-    """``mapInPandas`` with this package on the workers' path."""
+def map_arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path; ids keep their exact type, nulls too."""
     on_workers(df.sparkSession)
-    return df.mapInPandas(work, schema)
+    return df.mapInArrow(work, schema)
+
+
+def portions(texts: Sequence[str], most: int = 4_000_000, rows: int = 1 << 30) -> Iterator[slice]:
+    """Slices of about ``most`` characters or ``rows`` rows, so that a batch of long texts needs little memory."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= most or i + 1 - start >= rows:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
