@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import bpe, language, pii
+from tripmill.llm import bpe, jaccard, language, pii
 from tripmill.llm.packing import pack, token_count
 from tripmill.llm.quality_rules import judge, ledger
 from tripmill.llm.shared import source
@@ -45,6 +45,10 @@ def op9_url_graph(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(source(spark, folder, "pages"))
 
 
+def op10_shingle_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(source(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_length_buckets": op2_length_buckets,
     "op3_byte_bpe": op3_byte_bpe,
@@ -52,5 +56,6 @@ QUERIES: dict[str, Query] = {
     "op5_quality_ledger": op5_quality_ledger,
     "op8_disclosing_terms": op8_disclosing_terms,
     "op9_url_graph": op9_url_graph,
+    "op10_shingle_tiles": op10_shingle_tiles,
 }
 ORACLES: dict[str, str] = {}

@@ -30,6 +30,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """A frame written as Parquet to the shared folder and read again, with its place."""
+    folder = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that ``stored`` made."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole_text(text: str | Column = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit(""))
