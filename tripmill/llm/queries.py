@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import bpe, jaccard, language, pii
+from tripmill.llm import bpe, jaccard, language, pii, vector_dedup
 from tripmill.llm.packing import pack, token_count
 from tripmill.llm.quality_rules import judge, ledger
 from tripmill.llm.shared import source
@@ -37,6 +37,10 @@ def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("text")
 
 
+def op6_sorted_projections(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_duplicates(source(spark, folder, "embeddings"))
+
+
 def op8_disclosing_terms(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(source(spark, folder, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Query] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_language_centroids": op4_language_centroids,
     "op5_quality_ledger": op5_quality_ledger,
+    "op6_sorted_projections": op6_sorted_projections,
     "op8_disclosing_terms": op8_disclosing_terms,
     "op9_url_graph": op9_url_graph,
     "op10_shingle_tiles": op10_shingle_tiles,
