@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import bpe, jaccard, language, pii, vector_dedup
+from tripmill.llm import bpe, jaccard, language, pii, vector_dedup, weak_labels
 from tripmill.llm.packing import pack, token_count
 from tripmill.llm.quality_rules import judge, ledger
 from tripmill.llm.shared import source
@@ -41,6 +41,11 @@ def op6_sorted_projections(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dedup.near_duplicates(source(spark, folder, "embeddings"))
 
 
+def op7_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
+    docs = source(spark, folder, "documents")
+    return weak_labels.score(docs, weak_labels.fit(docs))
+
+
 def op8_disclosing_terms(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(source(spark, folder, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_centroids": op4_language_centroids,
     "op5_quality_ledger": op5_quality_ledger,
     "op6_sorted_projections": op6_sorted_projections,
+    "op7_weak_labels": op7_weak_labels,
     "op8_disclosing_terms": op8_disclosing_terms,
     "op9_url_graph": op9_url_graph,
     "op10_shingle_tiles": op10_shingle_tiles,
