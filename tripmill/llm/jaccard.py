@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.components import components
-from tripmill.llm.shared import cut, discard, map_arrow, stored
+from tripmill.llm.shared import cut, discard, map_arrow, row_hash, stored
 from tripmill.llm.shingles import shingle_set
 
 WORDS = 4
@@ -82,7 +82,7 @@ def sets_and_cells(docs: DataFrame, key: str, text: str, words: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, dtype=np.int64)
-        names, kind = ["key", "set", "n", "block", "cells"], None
+        names, kind = ["key", "row", "set", "n", "block", "cells"], None
         for batch in batches:
             kind, sets, sizes = batch.column(0).type, [], []
             for value in batch.column(1).to_pylist():
@@ -92,20 +92,20 @@ def sets_and_cells(docs: DataFrame, key: str, text: str, words: int) -> DataFram
                 np.add.at(total, cell(found), 1)
             none = len(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.list_(pa.int64()))],
+                [batch.column(0), batch.column(2), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.list_(pa.int64()))],
                 names=names,
             )
         if kind is not None:
             blocks = list(total.reshape(-1, CELL_BLOCK))
             none = pa.nulls(len(blocks), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(blocks), kind), none, none, pa.array(range(len(blocks)), pa.int64()), pa.array(blocks, pa.list_(pa.int64()))],
+                [pa.nulls(len(blocks), kind), none, none, none, pa.array(range(len(blocks)), pa.int64()), pa.array(blocks, pa.list_(pa.int64()))],
                 names=names,
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    chosen = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    return map_arrow(chosen, run, f"key {kind}, set long, n long, block long, cells array<long>")
+    chosen = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), row_hash(key, text).alias("row"))
+    return map_arrow(chosen, run, f"key {kind}, row long, set long, n long, block long, cells array<long>")
 
 
 def commonness(found: DataFrame) -> np.ndarray:
@@ -276,12 +276,10 @@ def similar_sets(docs: DataFrame, found: DataFrame, text: str, words: int, perce
     return components(edges.union(more))
 
 
-def similar_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
-) -> DataFrame:
-    """(key, n_shingles, component_id): the smallest id reachable by links, a row per document."""
+def document_components(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
+    """(key, row, n, component_id), a row per document; ``row`` is a hash of id and text."""
     found = cut(sets_and_cells(docs, key, text, words))
-    own = found.where("block is null").select("key", "set", "n")
+    own = found.where("block is null").select("key", "row", "set", "n")
     label = similar_sets(docs, found, text, words, percent).select(F.col("node").alias("set"), "component")
     # A set's documents first, then a component's sets: both minima are combined before shuffling.
     least = own.where("set is not null").groupBy("set").agg(F.min("key").alias("least"))
@@ -289,4 +287,33 @@ def similar_documents(
     by_component = least.groupBy("component").agg(F.min("least").alias("component_id"))
     by_set = least.join(by_component, "component").select("set", "component_id")
     named = own.join(by_set, "set", "left")
-    return named.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+    return named.select("key", "row", "n", F.coalesce("component_id", "key").alias("component_id"))
+
+
+def similar_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """(key, n_shingles, component_id): the smallest id reachable by links, a row per document."""
+    found = document_components(docs, key, text, words, percent)
+    return found.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The documents without all but the first of each component; documents without words stay.
+
+    Only the rows to drop are joined to the texts, so the join is small where duplicates are few.
+    """
+    found = cut(document_components(docs, key, text, words, percent))
+    grouped = found.where("n > 0 and component_id is not null")
+    first = grouped.groupBy("component_id").agg(F.min(F.struct("key", "row")).alias("first"))
+    dropped = grouped.join(first, "component_id").where(F.col("row") != F.col("first.row")).select("row").distinct()
+    rest = docs.withColumn("__row", row_hash(key, text))
+    rest = rest.join(dropped.withColumnRenamed("row", "__row"), "__row", "left_anti")
+    repeated = grouped.groupBy("row").count().where("count > 1")
+    if not repeated.isEmpty():  # rows that are equal in id and text
+        rest = rest.where(F.length(F.col(f"`{text}`")) > 0).dropDuplicates(["__row"]).union(
+            rest.where(F.coalesce(F.length(F.col(f"`{text}`")) == 0, F.lit(True)))
+        )
+    return rest.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.shared import cut, map_arrow
+from tripmill.llm.shared import cut, map_arrow, row_hash
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -168,11 +168,6 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return map_arrow(chosen, run, schema)
 
 
-def row_hash(key: str, text: str) -> Column:
-    """Tells texts apart when spans are joined back; equal rows share their spans."""
-    return F.xxhash64(F.col(f"`{key}`").cast("string"), F.col(f"`{text}`"))
-
-
 def disclosures(scanned: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the terms over GENERALISE.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import bpe, jaccard, language, pii, vector_dedup, weak_labels
+from tripmill.llm import bpe, chat, jaccard, language, pii, vector_dedup, weak_labels
 from tripmill.llm.packing import pack, token_count
 from tripmill.llm.quality_rules import judge, ledger
 from tripmill.llm.shared import source
@@ -16,6 +16,10 @@ from tripmill.llm.url_graph import judge_urls
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_chats(source(spark, folder, "conversations"))
+
+
 def op2_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     docs = source(spark, folder, "documents").select("doc_id", token_count().alias("n_tokens"))
     return pack(docs, docs["n_tokens"])
@@ -59,6 +63,7 @@ def op10_shingle_tiles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_chat_repair": op1_chat_repair,
     "op2_length_buckets": op2_length_buckets,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_language_centroids": op4_language_centroids,
