@@ -86,16 +86,18 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         | (F.when(i > 0, near(i - 1) == x["h"]).otherwise(False)),
     )
     rows = rows.withColumn("__starts", F.when(F.col("__repeats"), F.array_sort(F.transform(twice, lambda x: x["i"]))))
-    return rows.select(
-        *(F.col(f"`{c}`") for c in kept),
-        F.size(words).cast("long").alias("n_words"),
-        F.length(F.translate(body, " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
-        F.regexp_count(body, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        F.regexp_count(body, F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
-        F.size(lines).cast("long").alias("n_lines"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        F.coalesce(F.when(F.col("__repeats"), _covered(F.col("__starts"))), F.lit(0)).cast("long").alias("n_repeat_words"),
-    )
+    found = [
+        F.size(words),
+        F.length(F.translate(body, " \t\n\x0b\f\r", "")),
+        F.regexp_count(body, F.lit(r"[#*$%&|<>]")),
+        F.regexp_count(body, F.lit(r"\p{Lu}")),
+        F.size(lines),
+        F.size(lines) - F.size(F.array_distinct(lines)),
+        F.coalesce(F.when(F.col("__repeats"), _covered(F.col("__starts"))), F.lit(0)),
+    ]
+    # A generator, so that a filter on measurements is not pushed below it, where every use of a
+    # measurement would be computed anew.
+    return rows.select(*(F.col(f"`{c}`") for c in kept), F.stack(F.lit(1), *(x.cast("long") for x in found)).alias(*MEASURES))
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
