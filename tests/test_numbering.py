@@ -1,10 +1,9 @@
 import random
 
-import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tripmill.operators import numbering
+from tripmill.operators.numbering import number_rows
 
 KEYS, ORDER = ("k", "j"), ("a", "b")
 SCHEMA = "k int, j string, a double, b int, c string"
@@ -29,38 +28,31 @@ def contents(df):
     return sorted(map(str, df.select(*sorted(df.columns)).collect()))
 
 
-def test_sketch_finds_the_large_groups(spark):
+def test_numbers_equal_those_of_a_window(spark):
     df = frame(spark)
-    found = numbering.hot_groups(df, ("k",), hot_rows=1_000)
-    expected = df.filter("k = 1").select(numbering.key_hash(("k",))).first()[0]
-    assert found == [expected]
-    assert numbering.hot_groups(df, ("k",), hot_rows=10_000) == []
+    assert contents(number_rows(df, KEYS, ORDER, "n")) == contents(plain(df))
 
 
-@pytest.mark.parametrize("hot_rows", [0, 50, 400, 10_000])
-def test_split_groups_get_the_same_numbers(spark, hot_rows):
-    df = frame(spark)
-    assert contents(numbering.number_rows(df, KEYS, ORDER, "n", hot_rows=hot_rows)) == contents(plain(df))
+def test_empty_input(spark):
+    assert number_rows(frame(spark, 0), KEYS, ORDER, "n").count() == 0
 
 
-def test_long_runs_of_equal_rows_are_cut(spark):
-    df = spark.range(1_000).select(
-        F.lit(1).alias("k"), F.lit("x").alias("j"), F.lit(0.5).alias("a"), F.lit(1).alias("b"), F.lit("c").alias("c")
-    )
-    out = numbering.number_hot_rows(df, KEYS, ORDER, "n", chunk=64)
-    assert sorted(r.n for r in out.collect()) == list(range(1, 1_001))
+def test_values_are_not_changed(spark):
+    values = [-0.0, 0.0, float("nan"), 1.0, None]
+    df = spark.createDataFrame([(1, "x", v, 1, "c") for v in values], SCHEMA)
+    found = {str(r.a) for r in number_rows(df, KEYS, ORDER, "n").collect()}
+    assert found == {"-0.0", "0.0", "nan", "1.0", "None"}
 
 
-def test_ranges_are_spread(spark):
-    """A single group of distinct rows is numbered by several tasks."""
-    df = spark.range(20_000).select(
-        F.lit(1).alias("k"), F.lit("x").alias("j"), F.col("id").cast("double").alias("a"), F.lit(1).alias("b"), F.lit("c").alias("c")
+def test_one_group_of_equal_rows_is_numbered_by_several_tasks(spark):
+    df = spark.range(0, 20_000, 1, 4).select(
+        F.lit(1).alias("k"), F.lit("x").alias("j"), F.lit(0.5).alias("a"), F.lit(1).alias("b"), F.lit("c").alias("c")
     )
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        out = numbering.number_hot_rows(df, KEYS, ORDER, "n")
-        tasks = out.withColumn("task", F.spark_partition_id())
-        assert tasks.select("task").distinct().count() > 1
-        assert tasks.filter("n != a + 1").count() == 0
+        out = number_rows(df, KEYS, ORDER, "n").withColumn("task", F.spark_partition_id()).cache()
+        assert out.select("task").distinct().count() > 1
+        assert sorted(r.n for r in out.collect()) == list(range(1, 20_001))
+        out.unpersist()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -50,7 +50,7 @@ def test_thirty_checks_are_declared():
 
 
 def test_clean_build_passes_with_warnings(spark, folder):
-    house = build(spark, trips(spark, trip(), trip(fare_amount=-5.0)), folder, by_day=False)
+    house = build(spark, trips(spark, trip(), trip(fare_amount=-5.0)), folder)
     report = quality.quality_report(house.tables).collect()
     assert len(report) == 30
     assert [r.target for r in report if r.status != "pass"] == ["fare_amount >= 0"]

@@ -65,9 +65,7 @@ def test_trips_of_drifting_files(spark, drifting):
     assert trips.agg(F.sum("passenger_count")).first()[0] == 4.5
 
 
-@pytest.mark.parametrize("singly", [1, 64])
-def test_conflicting_types_in_one_folder(spark, folder, singly, monkeypatch):
-    monkeypatch.setattr("tripmill.sources.files.PROBE_SINGLY", singly)
+def test_conflicting_types_in_one_folder(spark, folder):
     for i in range(5):
         whole = i % 2
         write(spark, folder, [(i if whole else float(i),)], f"passenger_count {'bigint' if whole else 'double'}")
@@ -116,27 +114,37 @@ def test_month_frame(spark):
     assert month_frame(spark, "2023-02", "2023-01").count() == 0
 
 
-@pytest.mark.parametrize("branches", [0, 100])
-def test_per_file_sample_covers_every_file(spark, folder, branches):
+def test_per_file_sample_covers_every_file(spark, folder):
     for month, n in (("01", 40), ("02", 2), ("03", 40)):
         write(spark, f"{folder}/yellow_tripdata_2023-{month}.parquet", [(NOON, END, i) for i in range(n)],
               "tpep_pickup_datetime timestamp, tpep_dropoff_datetime timestamp, VendorID int")
     files = list_files(spark, f"{folder}/*.parquet")
-    sample = samples.sample_per_file(spark, files, 28, with_path=True, branches=branches)
+    sample = samples.sample_per_file(spark, files, 28, with_path=True)
     assert sorted(r["count"] for r in sample.groupBy("file_path").count().collect()) == [2, 10, 10]
-    assert samples.sample_trips(spark, files, 28, branches).count() == 22
-    assert samples.sample_per_file(spark, files, 1, branches=branches).count() == 3
+    assert samples.sample_trips(spark, files, 28).count() == 22
+    assert samples.sample_per_file(spark, files, 1).count() == 3
 
 
-def test_cap_reads_as_many_files_as_it_needs(spark, folder):
+def test_cap_of_trips(spark, folder):
     for i in range(6):
         write(spark, f"{folder}/f{i}.parquet", [(NOON, END)] * 3, "pickup_datetime timestamp, dropoff_datetime timestamp")
     files = list_files(spark, f"{folder}/*.parquet")
     assert [samples.first_trips(spark, files, n).count() for n in (2, 10, 18, 50)] == [2, 10, 18, 18]
-    assert len(samples.first_trips(spark, files, 2).inputFiles()) == 1
 
 
 def test_external_view(spark, folder):
     write(spark, f"{folder}/o'brien", [(1,), (2,)], "v int")
     assert external_view(spark, "ext_v", f"{folder}/o'brien").count() == 2
     assert spark.sql("SELECT sum(v) AS s FROM ext_v").first().s == 3
+
+
+def test_taxi_type_is_checked_and_used(spark, folder):
+    from tripmill.__main__ import arguments, input_files
+
+    for taxi in ("yellow", "green"):
+        write(spark, f"{folder}/{taxi}_tripdata_2023-01.parquet", [(NOON, END)], "pickup_datetime timestamp, dropoff_datetime timestamp")
+    chosen = lambda *more: input_files(spark, arguments(["ingest", "--raw", folder, "--out", "x", *more]))
+    assert len(chosen()) == 2
+    assert ["green" in f for f in chosen("--taxi", "green")] == [True]
+    with pytest.raises(SystemExit):
+        chosen("--taxi", "bogus")

@@ -16,10 +16,10 @@ from tripmill.plans.build import build, reopen
 from tripmill.plans.catalog import publish
 from tripmill.schema import TRIPS
 from tripmill.session import build_session
-from tripmill.sinks.backfill import backfill
-from tripmill.sinks.tables import read_table, write_by_day, write_files
+from tripmill.sinks.backfill import backfill, create_table
+from tripmill.sinks.tables import read_table, save_by_day, write_by_day, write_files
 from tripmill.sources.files import list_files, read_trips
-from tripmill.sources.months import MONTH_FILE, select_months
+from tripmill.sources.months import MONTH_FILE, check_taxi, select_months
 from tripmill.sources.samples import first_trips, sample_trips
 
 
@@ -31,8 +31,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     load = steps.add_parser("backfill", help="raw files to canonical trips, month by month")
     for step in (ingest, load):
         step.add_argument("--raw", required=True, help="folder of raw files")
-        step.add_argument("--out", required=True, help="folder of canonical trips")
-        step.add_argument("--taxi", default="yellow")
+        step.add_argument("--out", required=step is load, help="folder of canonical trips")
+        step.add_argument("--table", help="catalog table: written by ingest instead of --out, declared over it by backfill")
+        step.add_argument("--taxi", type=check_taxi, default="yellow" if step is load else None)
         step.add_argument("--pattern", default=MONTH_FILE, help="name of a monthly file or folder")
         step.add_argument("--start", required=step is load, help="first month, YYYY-MM")
         step.add_argument("--end", required=step is load, help="last month, YYYY-MM")
@@ -50,14 +51,18 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         step.add_argument("--database", help="also declare tables and views in this catalog database")
         step.add_argument("--from-date", type=dt.date.fromisoformat, default=views.DEFAULT_START)
         step.add_argument("--to-date", type=dt.date.fromisoformat, default=views.DEFAULT_END)
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.step == "ingest" and bool(args.out) == bool(args.table):
+        parser.error("ingest needs either --out or --table")
+    return args
 
 
 def input_files(spark: SparkSession, args: argparse.Namespace) -> list[str]:
-    """Files of the chosen months, or every file below the raw folder."""
-    if args.start or args.end:
+    """Files of the chosen taxi type and months, or every file below the raw folder."""
+    if args.taxi or args.start or args.end:
+        taxi = args.taxi or "yellow"
         months = select_months(
-            spark, args.raw, args.taxi, args.start or "0000-01", args.end or "9999-12", args.pattern
+            spark, args.raw, taxi, args.start or "0000-01", args.end or "9999-12", args.pattern
         )
         return sorted(file for files in months.values() for file in files)
     return list_files(spark, args.raw)
@@ -71,15 +76,27 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         trips = first_trips(spark, files, args.max_trips)
     else:
         trips = read_trips(spark, files)
-    rows = write_by_day(trips, args.out) if args.by_day else write_files(trips, args.out, args.files)
-    print(f"{rows} trips written to {args.out}")
+    if args.table:
+        rows = save_by_day(trips, args.table)
+    elif args.by_day:
+        rows = write_by_day(trips, args.out)
+    else:
+        rows = write_files(trips, args.out, args.files)
+    print(f"{rows} trips written to {args.table or args.out}")
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
     months = select_months(spark, args.raw, args.taxi, args.start, args.end, args.pattern)
-    counts = backfill(spark, months, args.out, fresh=not args.keep).orderBy("source_month")
-    for row in counts.collect():
+    counts = backfill(spark, months, args.out, fresh=not args.keep).orderBy("source_month").collect()
+    for row in counts:
         print(f"{row.source_month}: {row.inserted_rows} inserted, {row.stored_rows} stored")
+    inserted, stored = sum(r.inserted_rows for r in counts), sum(r.stored_rows for r in counts)
+    print(f"total: {inserted} inserted, {stored} stored")
+    wrong = [r.source_month for r in counts if r.inserted_rows != r.stored_rows]
+    if wrong:
+        raise RuntimeError(f"stored rows differ from inserted ones in {', '.join(wrong)}")
+    if args.table:
+        create_table(spark, args.table, args.out)
 
 
 def report(tables: dict[str, DataFrame]) -> None:
@@ -101,8 +118,7 @@ def main(argv: list[str] | None = None) -> None:
         trips = read_table(spark, args.trips, TRIPS)
         span = (args.from_date, args.to_date)
         if args.step == "build":
-            # Counting stored trips reads file footers only.
-            house = build(spark, trips, args.root, *span, at_most=trips.count())
+            house = build(spark, trips, args.root, *span)
         else:
             house = reopen(spark, trips, args.root, *span)
         if args.database:

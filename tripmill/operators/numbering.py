@@ -1,127 +1,55 @@
 """Row numbers within groups, without putting a huge group into one task.
 
-A window sends every group to a single task. Here a frequent-items sketch first finds groups too
-large for that. Their rows are range-partitioned by the full order instead; each range is numbered
-on its own and shifted by the rows of the ranges before it. Which groups the sketch reports only
-decides the way taken, never the result.
+A window sends every group to a single task. Here rows are range partitioned by keys, order and a
+row number of their own, so a group of any size, equal rows included, is spread over ranges. Every
+range numbers its rows; a group that reaches over several ranges is shifted by its rows in the
+earlier ones. Only the first group of a range can have such rows, so the shift table has at most
+one row a range. There is one path for every size.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tripmill.session import scratch_folder
+from tripmill.session import settle
 
-# A group up to this size is sorted by one task, with spill if need be.
-HOT_ROWS = 4_000_000
-# Groups that can be reported, and items each sketch tracks. A group is found once it holds more
-# than 3.5 / TRACKED of all rows. At most MAX_HOT hashes ever reach the driver.
-MAX_HOT = 1_000
-TRACKED = 100_000
-# Sketches are merged in two steps so that the last task merges few of them.
-MERGE_GROUPS = 256
-# Longest run of equal rows that is unpacked in one piece.
-COPY_CHUNK = 1_000_000
 
-
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the groups with more than ``hot_rows`` rows: one narrow scan, no row shuffle."""
-    sketch = f"approx_top_k_accumulate(h, {TRACKED})"
-    merge = f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {MAX_HOT})"
-    top = (
-        df.select(key_hash(keys).alias("h"))
-        .groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("part"))
-        .agg(F.expr(sketch).alias("sketch"))
-        .agg(F.expr(merge).alias("top"))
-    )
-    found = top.select(F.inline("top")).toDF("h", "rows").filter(F.col("rows") > hot_rows)
-    return [row.h for row in found.collect()]
-
-
-def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str,
-    hot: Sequence[int] | None = None,
-    hot_rows: int = HOT_ROWS,
-    at_most: int | None = None,
-) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Add ``row_number()`` over ``keys`` ordered by ``order`` (ascending, nulls first).
 
-    ``hot`` lists hashes of groups to split; by default a sketch finds them. Where ``df`` is known
-    to have ``at_most`` so few rows that no group can be hot, the sketch is spared.
-    """
-    if hot is None:
-        small = at_most is not None and at_most <= hot_rows
-        hot = [] if small else hot_groups(df, keys, hot_rows)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    if not hot:
-        return df.withColumn(name, F.row_number().over(window))
-    is_hot = key_hash(keys).isin(*hot)
-    cold = df.filter(~is_hot).withColumn(name, F.row_number().over(window))
-    return cold.unionByName(number_hot_rows(df.filter(is_hot), keys, order, name))
-
-
-def number_hot_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, chunk: int = COPY_CHUNK
-) -> DataFrame:
-    """The same row numbers for groups of any size.
-
-    Equal rows are first packed into one row with a count, so that no range can be hot. The
-    packed ranges are written out: range ids must not change between their two uses, also when
+    Ties are settled by the other columns, then by the place in the input. Values are not touched.
+    The ranges are written down, because range ids must not change between their uses, also when
     executors are lost.
     """
-    spark = df.sparkSession
     columns = df.columns
     rest = [c for c in columns if c not in keys and c not in order]
-    packed = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    folder = scratch_folder(spark, "numbering")
-    (
-        packed.repartitionByRange(*keys, *order, *rest)
+    placed = settle(
+        df.withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(*keys, *order, *rest, "_row")
         .withColumn("_range", F.spark_partition_id())
-        .write.parquet(folder)
     )
-    stored = T.StructType(packed.schema.fields + [T.StructField("_range", T.IntegerType())])
-    packed = spark.read.schema(stored).parquet(folder)
+    group = F.struct(*keys)
 
-    # One row per group and range: at most ranges + groups rows, whatever the data size.
-    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        packed.groupBy(*keys, "_range")
-        .agg(F.sum("_copies").alias("_rows"))
-        .select(
-            *[F.col(k).alias(f"_{k}") for k in keys],
-            F.col("_range").alias("_in_range"),
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"),
-        )
+    # Groups that touch the start or the end of a range: at most two rows a range.
+    ends = placed.groupBy("_range").agg(F.min(group).alias("_first"), F.max(group).alias("_last"))
+    touching = placed.join(F.broadcast(ends), "_range").filter(
+        group.eqNullSafe(F.col("_first")) | group.eqNullSafe(F.col("_last"))
     )
-    same = F.col("_range") == F.col("_in_range")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    before = (
-        Window.partitionBy("_range", *keys)
-        .orderBy(*order, *rest)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    numbered = packed.join(F.broadcast(shifts), same).select(
-        *columns,
-        "_copies",
-        (F.col("_shift") + F.coalesce(F.sum("_copies").over(before), F.lit(0))).alias("_before"),
+    earlier = Window.partitionBy("_group").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (
+        touching.groupBy(F.col("_range").alias("_in"), group.alias("_group"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_shift", F.sum("_rows").over(earlier))
+        .filter("_shift > 0")
+        .select("_in", "_group", "_shift")
     )
 
-    # A long run of equal rows is cut into pieces and spread over tasks before it is unpacked.
-    most = packed.agg(F.max("_copies")).first()[0] or 1
-    starts = F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(chunk).cast("bigint"))
-    pieces = numbered.withColumn("_start", F.explode(starts))
-    if most > chunk:
-        pieces = pieces.repartition(*columns, "_start")
-    last = F.least(F.col("_start") + chunk, F.col("_copies")) - 1
-    copies = pieces.withColumn("_copy", F.explode(F.sequence(F.col("_start"), last)))
-    return copies.select(*columns, (F.col("_before") + F.col("_copy") + 1).cast("int").alias(name))
+    inside = Window.partitionBy("_range", *keys).orderBy(*order, *rest, "_row")
+    here = (F.col("_range") == F.col("_in")) & group.eqNullSafe(F.col("_group"))
+    number = F.col("_number") + F.coalesce("_shift", F.lit(0))
+    return (
+        placed.withColumn("_number", F.row_number().over(inside))
+        .join(F.broadcast(shifts), here, "left")
+        .select(*columns, number.cast("int").alias(name))
+    )

@@ -4,10 +4,14 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tripmill.operators.additive import CLOCK_GRAIN, ROUTE_GRAIN, rollup, trip_measures
 from tripmill.plans import models, views
-from tripmill.sinks.tables import write_by_day, write_files
+from tripmill.schema import staged
+from tripmill.sinks.tables import read_table, write_by_day, write_files
+
+FACT = T.StructType([T.StructField("event_id", T.StringType()), *staged().fields])
 
 # Independent tables written side by side.
 WRITERS = 4
@@ -46,16 +50,16 @@ class Warehouse:
         df.createOrReplaceTempView(name)
         self.tables[name] = df
 
-    def open(self, name: str) -> None:
-        """Publish a stored table."""
-        self.show(name, self.spark.read.parquet(self.path(name)))
+    def open(self, name: str, schema: T.StructType) -> None:
+        """Publish a stored table in its declared columns and types, however it is laid out."""
+        self.show(name, read_table(self.spark, self.path(name), schema))
 
     def store(self, **frames: DataFrame) -> None:
         """Write tables that do not depend on each other, then publish them."""
         with ThreadPoolExecutor(WRITERS) as pool:
             list(pool.map(lambda name: write_files(frames[name], self.path(name)), frames))
-        for name in frames:
-            self.open(name)
+        for name, df in frames.items():
+            self.open(name, df.schema)
 
 
 def build(
@@ -64,44 +68,48 @@ def build(
     root: str,
     start: dt.date = views.DEFAULT_START,
     end: dt.date = views.DEFAULT_END,
-    by_day: bool = True,
-    at_most: int | None = None,
 ) -> Warehouse:
     """Build every model and view from canonical trips.
 
     The fact is scanned twice, once per rollup. Dimensions and aggregates then read rollups whose
-    size depends on days, zones and codes, not on trips. ``by_day=False`` keeps the fact in plain
-    files, for trial data that has only a few trips a day. ``at_most`` is the number of trips, if
-    known.
+    size depends on days, zones and codes, not on trips.
     """
     house = Warehouse(spark, root)
     house.show("stg_trips", models.stg_trips(trips))
-    fact = models.fct_trip(house["stg_trips"], at_most=at_most)
-    if by_day:
-        write_by_day(fact, house.path("fct_trip"))
-    else:
-        write_files(fact, house.path("fct_trip"))
-    house.open("fct_trip")
-
-    measured = trip_measures(house["fct_trip"])
-    house.store(
-        rollup_route=rollup(measured, ROUTE_GRAIN), rollup_clock=rollup(measured, CLOCK_GRAIN)
-    )
-    routes, clock = house["rollup_route"], house["rollup_clock"]
-    house.store(
-        dim_date=models.dim_date(clock),
-        dim_zone=models.dim_zone(routes),
-        dim_vendor=models.dim_vendor(clock),
-        dim_payment_type=models.dim_payment_type(clock),
-        agg_payment_type=models.agg_payment_type(clock),
-        agg_route_daily=models.agg_route_daily(routes),
-        agg_pickup_zone=models.agg_pickup_zone(routes),
-        agg_hourly_traffic=models.agg_hourly_traffic(clock),
-    )
+    write_by_day(models.fct_trip(house["stg_trips"]), house.path("fct_trip"))
+    house.open("fct_trip", FACT)
+    house.store(**rollups(house["fct_trip"]))
+    house.store(**derived(house["rollup_route"], house["rollup_clock"]))
     show_views(house, start, end)
     return house
 
 
+def rollups(fact: DataFrame) -> dict[str, DataFrame]:
+    measured = trip_measures(fact)
+    return {"rollup_route": rollup(measured, ROUTE_GRAIN), "rollup_clock": rollup(measured, CLOCK_GRAIN)}
+
+
+def derived(routes: DataFrame, clock: DataFrame) -> dict[str, DataFrame]:
+    """Dimensions and aggregates, all from the two rollups."""
+    return {
+        "dim_date": models.dim_date(clock),
+        "dim_zone": models.dim_zone(routes),
+        "dim_vendor": models.dim_vendor(clock),
+        "dim_payment_type": models.dim_payment_type(clock),
+        "agg_payment_type": models.agg_payment_type(clock),
+        "agg_route_daily": models.agg_route_daily_rolled(routes),
+        "agg_pickup_zone": models.agg_pickup_zone(routes),
+        "agg_hourly_traffic": models.agg_hourly_traffic(clock),
+    }
+
+
+def declared(spark: SparkSession) -> dict[str, T.StructType]:
+    """Columns and types of every stored table, from the models themselves over no rows."""
+    found = rollups(spark.createDataFrame([], FACT))
+    found |= derived(found["rollup_route"], found["rollup_clock"])
+    return {"fct_trip": FACT, **{name: df.schema for name, df in found.items()}}
+
+
 def show_views(house: Warehouse, start: dt.date, end: dt.date) -> None:
     """Publish the dashboard views over stored tables."""
     house.show("v_kpi_daily", views.v_kpi_daily(house["rollup_route"], start, end))
@@ -122,7 +130,7 @@ def reopen(
     """Publish the tables and views of an earlier build."""
     house = Warehouse(spark, root)
     house.show("stg_trips", models.stg_trips(trips))
-    for name in STORED:
-        house.open(name)
+    for name, schema in declared(spark).items():
+        house.open(name, schema)
     show_views(house, start, end)
     return house

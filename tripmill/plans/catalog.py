@@ -6,50 +6,27 @@ from pyspark.sql import SparkSession
 
 from tripmill.plans import views
 from tripmill.plans.build import STORED, Warehouse
-from tripmill.schema import DAY_NAMES, OTHER_PAYMENT_PREFIX, PAYMENT_NAMES, UNKNOWN_DAY
+from tripmill.schema import PARTITION_COLUMN
 
 
-def _label(names: dict[int, str], code: str, otherwise: str) -> str:
-    entries = ", ".join(f"{number}, '{name}'" for number, name in names.items())
-    return f"coalesce(map({entries})[int({code})], {otherwise})"
+def drop_declaration(spark: SparkSession, table: str) -> None:
+    """Drop a table whose files stay; one that owns its files is never dropped."""
+    if spark.catalog.tableExists(table):
+        kind = spark.catalog.getTable(table).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{table} is a {kind.lower()} table; dropping it would delete its data")
+        spark.sql(f"DROP TABLE {table}")
 
 
-def view_sql(database: str, start: dt.date, end: dt.date) -> dict[str, str]:
-    """The dashboard views as SQL over the declared tables. They equal those in ``plans.views``."""
-    day = _label(DAY_NAMES, "day_of_week", f"'{UNKNOWN_DAY}'")
-    payment = _label(PAYMENT_NAMES, "payment_type", f"'{OTHER_PAYMENT_PREFIX}' || string(payment_type)")
-
-    def mean(measure: str) -> str:
-        return f"try_divide(sum({measure}_sum), sum({measure}_known))"
-
-    return {
-        "v_kpi_daily": f"""
-            SELECT pickup_date, sum(trips) AS total_trips, sum(total_amount_sum) AS total_revenue,
-              {mean("total_amount")} AS avg_ticket,
-              {mean("trip_duration_min")} AS avg_trip_duration_min,
-              {mean("trip_distance")} AS avg_trip_distance
-            FROM {database}.rollup_route
-            WHERE pickup_date >= DATE '{start}' AND pickup_date <= DATE '{end}'
-            GROUP BY pickup_date""",
-        "v_hourly_traffic": f"""
-            SELECT day_of_week, {day} AS day_name, pickup_hour, total_trips, avg_trip_duration_min,
-              avg_trip_distance, total_revenue
-            FROM {database}.agg_hourly_traffic""",
-        "v_payment_performance": f"""
-            SELECT payment_type, {payment} AS payment_type_name, total_trips, total_revenue,
-              avg_total_amount, avg_tip_amount, tip_to_fare_ratio
-            FROM {database}.agg_payment_type""",
-        "v_zone_performance": f"""
-            SELECT perf.pulocation_id, zone.total_trips_touching_zone, zone.pickup_trips,
-              zone.dropoff_trips, perf.total_trips, perf.avg_trip_distance, perf.avg_total_amount,
-              perf.total_revenue
-            FROM {database}.agg_pickup_zone perf
-            LEFT JOIN {database}.dim_zone zone ON zone.location_id = perf.pulocation_id""",
-        "v_route_performance": f"""
-            SELECT pickup_date, pulocation_id, dolocation_id, total_trips, total_revenue,
-              avg_total_amount, avg_trip_duration_min
-            FROM {database}.agg_route_daily""",
-    }
+def declare(house: Warehouse, name: str, table: str, by_day: bool) -> None:
+    """Declare a stored table where it lies, in its columns and types. The day comes last if it
+    is the partition, as in any catalog table."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in house[name].schema.fields)
+    quoted = house.path(name).replace("\\", "\\\\").replace("'", "\\'")
+    layout = f"PARTITIONED BY ({PARTITION_COLUMN})" if by_day else ""
+    house.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {layout} LOCATION '{quoted}'")
+    if by_day:
+        house.spark.catalog.recoverPartitions(table)
 
 
 def publish(
@@ -62,10 +39,7 @@ def publish(
     spark: SparkSession = house.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in STORED:
-        table = f"{database}.{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {table}")  # only the declaration: the files are external
-        spark.catalog.createTable(table, path=house.path(name), source="parquet")
-        if any(column.isPartition for column in spark.catalog.listColumns(table)):
-            spark.catalog.recoverPartitions(table)
-    for name, sql in view_sql(database, start, end).items():
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {sql}")
+        drop_declaration(spark, f"{database}.{name}")
+        declare(house, name, f"{database}.{name}", by_day=name == "fct_trip")
+    for name in views.VIEWS:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {views.view_sql(name, f'{database}.', start, end)}")

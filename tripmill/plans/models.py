@@ -4,13 +4,11 @@ Dimensions and aggregates take a frame in additive form (``operators.additive``)
 trips or a rollup that holds their keys.
 """
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions import is_weekend, safe_ratio, surrogate_key, weekday_name
-from tripmill.operators.additive import average, total, trip_count
+from tripmill.operators.additive import ROUTE_GRAIN, TRIPS_COUNT, average, total, trip_count
 from tripmill.operators.numbering import number_rows
 from tripmill.schema import TRIP_COLUMNS, TRIP_KEY, TRIP_ORDER, staged
 
@@ -98,18 +96,14 @@ def dim_payment_type(measured: DataFrame) -> DataFrame:
 # --- fact ------------------------------------------------------------------------------------
 
 
-def trip_seq(
-    stg: DataFrame, hot: Sequence[int] | None = None, at_most: int | None = None
-) -> DataFrame:
-    """Number the trips that share a key; none is dropped. See ``number_rows`` for the options."""
-    return number_rows(stg, TRIP_KEY, TRIP_ORDER, "trip_seq", hot, at_most=at_most)
+def trip_seq(stg: DataFrame) -> DataFrame:
+    """Number the trips that share a key; none is dropped."""
+    return number_rows(stg, TRIP_KEY, TRIP_ORDER, "trip_seq")
 
 
-def fct_trip(
-    stg: DataFrame, hot: Sequence[int] | None = None, at_most: int | None = None
-) -> DataFrame:
+def fct_trip(stg: DataFrame) -> DataFrame:
     """One row per trip with its surrogate key."""
-    numbered = trip_seq(stg, hot, at_most)
+    numbered = trip_seq(stg)
     key = surrogate_key(numbered, (*TRIP_KEY, "trip_seq"))
     return numbered.select(key.alias("event_id"), *TRIP_COLUMNS)
 
@@ -130,7 +124,7 @@ def agg_payment_type(measured: DataFrame) -> DataFrame:
 
 def agg_route_daily(measured: DataFrame) -> DataFrame:
     """Volume, revenue and duration per day and zone pair."""
-    return measured.groupBy("pickup_date", "pulocation_id", "dolocation_id").agg(
+    return measured.groupBy(*ROUTE_GRAIN).agg(
         trip_count().alias("total_trips"),
         total("total_amount").alias("total_revenue"),
         average("total_amount").alias("avg_total_amount"),
@@ -138,6 +132,17 @@ def agg_route_daily(measured: DataFrame) -> DataFrame:
     )
 
 
+def agg_route_daily_rolled(routes: DataFrame) -> DataFrame:
+    """The same from the route rollup, which has a row for each of its groups already."""
+    return routes.select(
+        *ROUTE_GRAIN,
+        F.col(TRIPS_COUNT).alias("total_trips"),
+        F.col("total_amount_sum").alias("total_revenue"),
+        F.try_divide("total_amount_sum", "total_amount_known").alias("avg_total_amount"),
+        F.try_divide("trip_duration_min_sum", "trip_duration_min_known").alias("avg_trip_duration_min"),
+    )
+
+
 def agg_pickup_zone(measured: DataFrame) -> DataFrame:
     """Volume, distance and fares per pickup zone."""
     return measured.groupBy("pulocation_id").agg(
@@ -159,6 +164,7 @@ def agg_hourly_traffic(measured: DataFrame) -> DataFrame:
 
 
 # Order in which a table is shown (``-`` is descending). Stored files do not keep it.
+# The order of the published tables.
 SERVING_ORDER = {
     "agg_payment_type": ("-total_revenue",),
     "agg_route_daily": ("-total_revenue",),

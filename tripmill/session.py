@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Calendar parts of a trip are wall-clock parts, so the session zone must be UTC: in a zone with
 # daylight saving some local times do not exist and durations across the change are off by an hour.
@@ -16,6 +16,9 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Also the target size of the files a rebalanced write produces.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Shuffles start wide, so that large data spreads before adaptive execution merges partitions.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
@@ -47,3 +50,14 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="tripmill-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared checkpoint folder and go on from there.
+
+    Spark removes the files once the frame is no longer referenced.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(scratch_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()

@@ -23,13 +23,15 @@ def recreate(spark: SparkSession, path: str) -> None:
 
 
 def create_table(spark: SparkSession, table: str, path: str) -> None:
-    """Declare a backfilled folder as a catalog table and find its partitions."""
+    """Declare a backfilled folder as a catalog table and bring its partitions up to date."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLE.fields)
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY ({MONTH_COLUMN}, {PARTITION_COLUMN}) LOCATION '{path}'"
+        f"PARTITIONED BY ({MONTH_COLUMN}, {PARTITION_COLUMN}) LOCATION '{quoted}'"
     )
-    spark.catalog.recoverPartitions(table)
+    # Also forgets the partitions of months that a fresh backfill dropped.
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
 def load_month(spark: SparkSession, month: str, files: Sequence[str], path: str) -> int:

@@ -20,8 +20,6 @@ from tripmill.operators.normalize import clean_trips, convert, normalize_trips
 from tripmill.schema import RAW_NAMES, TRIPS
 
 FOOTER_THREADS = 16
-# A folder of conflicting files is halved while it is larger than this, then probed file by file.
-PROBE_SINGLY = 64
 SchemaGroup = tuple[T.StructType, list[str]]
 
 
@@ -51,7 +49,7 @@ def probe(spark: SparkSession, files: Sequence[str]) -> list[SchemaGroup]:
     """Schemas under which ``files`` can be read, each with its files.
 
     Spark reads many footers in one distributed job and merges them, so columns that only some
-    files have need no split. Files whose types conflict are split until they do not.
+    files have need no split. Files whose types conflict are halved until they do not.
     """
     if len(files) == 1:
         return [(spark.read.parquet(files[0]).schema, list(files))]
@@ -61,9 +59,8 @@ def probe(spark: SparkSession, files: Sequence[str]) -> list[SchemaGroup]:
     except (Py4JJavaError, PySparkException) as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
-    size = 1 if len(files) <= PROBE_SINGLY else -(-len(files) // 2)
-    parts = [files[i : i + size] for i in range(0, len(files), size)]
-    return [group for part in parts for group in probe(spark, part)]
+    half = len(files) // 2
+    return probe(spark, files[:half]) + probe(spark, files[half:])
 
 
 def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[SchemaGroup]:

@@ -4,34 +4,22 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripmill.operators.normalize import clean_trips, normalize_trips
 from tripmill.sources.files import read_group, read_trips, schema_groups, union_by_name
 
-# Up to this many files, a sample is one small limit per file, which stops reading early. Beyond
-# it the plan would grow too large and rows are picked by their position in one scan per schema.
-MAX_LIMIT_BRANCHES = 32
-
-
 def rows_per_file(sample_rows: int, files: int) -> int:
     """Equal share of the sample for each file, rounded up, at least one row."""
     return max(1, -(-sample_rows // files))
 
 
 def _sample_parts(
-    spark: SparkSession, files: Sequence[str], sample_rows: int, with_path: bool, branches: int
+    spark: SparkSession, files: Sequence[str], sample_rows: int, with_path: bool
 ) -> list[DataFrame]:
+    """Any ``n`` rows of each file: a limit per file, which stops reading when it has them."""
     n = rows_per_file(sample_rows, len(files))
-    parts = []
-    for schema, members in schema_groups(spark, files):
-        if len(files) <= branches:
-            parts += [read_group(spark, (schema, [f]), with_path).limit(n) for f in members]
-        else:
-            head = F.col("_metadata.row_index") < n
-            df = spark.read.schema(schema).parquet(*members).filter(head)
-            parts.append(df.select("*", "_metadata.file_path") if with_path else df)
-    return parts
+    groups = schema_groups(spark, files)
+    return [read_group(spark, (schema, [f]), with_path).limit(n) for schema, members in groups for f in members]
 
 
 def sample_per_file(
@@ -39,17 +27,14 @@ def sample_per_file(
     files: Sequence[str],
     sample_rows: int,
     with_path: bool = False,
-    branches: int = MAX_LIMIT_BRANCHES,
 ) -> DataFrame:
     """Raw rows, the same number from each file, so that every month stays covered."""
-    return union_by_name(_sample_parts(spark, files, sample_rows, with_path, branches))
+    return union_by_name(_sample_parts(spark, files, sample_rows, with_path))
 
 
-def sample_trips(
-    spark: SparkSession, files: Sequence[str], sample_rows: int, branches: int = MAX_LIMIT_BRANCHES
-) -> DataFrame:
+def sample_trips(spark: SparkSession, files: Sequence[str], sample_rows: int) -> DataFrame:
     """Clean trips of a per-file sample."""
-    parts = _sample_parts(spark, files, sample_rows, False, branches)
+    parts = _sample_parts(spark, files, sample_rows, False)
     return clean_trips(reduce(DataFrame.unionByName, map(normalize_trips, parts)))
 
 
@@ -59,14 +44,5 @@ def limit_rows(df: DataFrame, n: int) -> DataFrame:
 
 
 def first_trips(spark: SparkSession, files: Sequence[str], n: int) -> DataFrame:
-    """``n`` clean trips, read from as few files as hold them.
-
-    A plain limit over a huge scan lets every task produce ``n`` rows before all but ``n`` are
-    thrown away. Reading ever more files until they hold enough avoids that.
-    """
-    take = 1
-    while True:
-        trips = read_trips(spark, files[:take])
-        if take >= len(files) or trips.limit(n).count() >= n:
-            return limit_rows(trips, n)
-        take *= 4
+    """Any ``n`` clean trips. Every task stops reading at its ``n``-th; meant for trial runs."""
+    return limit_rows(read_trips(spark, files), n)

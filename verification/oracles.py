@@ -83,6 +83,20 @@ SEQ = """
       FROM stg
     )"""
 
+# The same with a third of all trips under one key, of nulls; ties by the remaining columns.
+HOT = """
+    hot AS (
+      SELECT * REPLACE (
+        CASE WHEN passenger_count > 2 THEN vendor_id END AS vendor_id,
+        CASE WHEN passenger_count > 2 THEN pickup_datetime END AS pickup_datetime,
+        CASE WHEN passenger_count > 2 THEN pulocation_id END AS pulocation_id,
+        CASE WHEN passenger_count > 2 THEN dolocation_id END AS dolocation_id)
+      FROM stg
+    )"""
+HOT_SEQ = SEQ.replace("seq AS", "hot_seq AS").replace("FROM stg", "FROM hot").replace(
+    "payment_type NULLS FIRST)", "payment_type NULLS FIRST, pickup_date, pickup_hour, day_of_week, trip_duration_min)"
+)
+
 NULL_KEY = "'_dbt_utils_surrogate_key_null_'"
 
 
@@ -407,7 +421,7 @@ ORACLES: dict[str, str] = {
     "dim_vendor": over(DIM_VENDOR),
     "dim_payment_type": over(DIM_PAYMENT),
     "trip_seq": over("SELECT * FROM seq", SEQ, coarse=True),
-    "trip_seq_hot": over("SELECT * FROM seq", SEQ, coarse=True),
+    "trip_seq_hot": over("SELECT * FROM hot_seq", HOT, HOT_SEQ, coarse=True),
     "surrogate_key": "SELECT event_id, "
     + md5_key(
         "CAST(event_id AS VARCHAR)",
@@ -429,6 +443,7 @@ ORACLES: dict[str, str] = {
     "dim_vendor_rollup": over(DIM_VENDOR),
     "dim_zone_rollup": over(DIM_ZONE, TOUCHES),
     "agg_payment_type_rollup": over(rounded(AGG_PAYMENT, *PAYMENT_FLOATS)),
+    "built_fct_trip": over("SELECT * FROM fact", SEQ, FACT),
     "built_dim_date": over(DIM_DATE),
     "built_dim_payment_type": over(DIM_PAYMENT),
     "built_agg_route_daily": over(rounded(AGG_ROUTE, *ROUTE_FLOATS)),

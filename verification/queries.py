@@ -19,14 +19,13 @@ from tripmill.operators.normalize import (
     derive_date_parts,
     normalize_trips,
 )
-from tripmill.operators.numbering import hot_groups
 from tripmill.plans import models, quality, reports, views
 from tripmill.plans.models import serve
 from tripmill.schema import TRIP_KEY, TRIPS, staged
 from tripmill.session import configure, scratch_folder
 from tripmill.sinks.backfill import backfill
 from tripmill.sinks.tables import read_table, write_by_day, write_files
-from tripmill.sources.derived import LINES, raw_trips
+from tripmill.sources.derived import raw_trips
 from tripmill.sources.files import external_view, list_files, read_raw, read_trips, scan
 from tripmill.sources.months import month_frame, select_months
 from tripmill.sources.samples import first_trips, rows_per_file, sample_per_file
@@ -77,11 +76,6 @@ def stg(spark: SparkSession, sf_dir: str, coarse: bool = False) -> DataFrame:
     return models.stg_trips(trips(spark, sf_dir, coarse))
 
 
-def line_count(spark: SparkSession, sf_dir: str) -> int:
-    """Order lines, hence at most so many trips; comes from file footers."""
-    return spark.read.schema(LINES).parquet(f"{sf_dir}/lineitem.parquet").count()
-
-
 def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged trips with additive measures. The fact has the same rows, so it is not numbered."""
     return trip_measures(stg(spark, sf_dir))
@@ -220,14 +214,15 @@ def union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trip_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = stg(spark, sf_dir, coarse=True)
-    return models.trip_seq(frame, at_most=line_count(spark, sf_dir))
+    return models.trip_seq(stg(spark, sf_dir, coarse=True))
 
 
 def trip_seq_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The numbering of huge groups, forced on every group of more than one trip."""
+    """The same with a third of all trips under one key."""
     frame = stg(spark, sf_dir, coarse=True)
-    return models.trip_seq(frame, hot_groups(frame, TRIP_KEY, hot_rows=1))
+    hot = F.col("passenger_count") <= 2
+    keys = {name: F.when(~hot, F.col(name)).alias(name) for name in TRIP_KEY}
+    return models.trip_seq(frame.select([keys.get(name, F.col(name)) for name in frame.columns]))
 
 
 def surrogate_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,8 +235,7 @@ def surrogate_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fct_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = stg(spark, sf_dir, coarse=True)
-    return models.fct_trip(frame, at_most=line_count(spark, sf_dir))
+    return models.fct_trip(stg(spark, sf_dir, coarse=True))
 
 
 # --- aggregates and views ----------------------------------------------------------------------
@@ -281,8 +275,9 @@ def payment_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = measured(spark, sf_dir)
-    return views.v_zone_performance(models.agg_pickup_zone(frame), models.dim_zone(frame))
+    # One rollup of the trips feeds both sides; its shuffle is reused.
+    routes = rollup(measured(spark, sf_dir), ROUTE_GRAIN)
+    return views.v_zone_performance(models.agg_pickup_zone(routes), models.dim_zone(routes))
 
 
 def route_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,7 +324,7 @@ def relationships(column: str) -> Query:
 
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "roundtrip")
-    write_files(trips(spark, sf_dir), folder, files=16)
+    write_files(trips(spark, sf_dir), folder)
     return read_table(spark, folder, TRIPS)
 
 
@@ -377,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "dim_vendor_rollup": rolled_up("dim_vendor", CLOCK_GRAIN),
     "dim_zone_rollup": rolled_up("dim_zone", ROUTE_GRAIN),
     "agg_payment_type_rollup": rolled_up("agg_payment_type", CLOCK_GRAIN),
+    "built_fct_trip": lambda spark, sf_dir: tables(spark, sf_dir)["fct_trip"],
     "built_dim_date": built("dim_date"),
     "built_dim_payment_type": built("dim_payment_type"),
     "built_agg_route_daily": built("agg_route_daily"),

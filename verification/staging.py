@@ -60,12 +60,9 @@ def staged_months(spark: SparkSession, sf_dir: str) -> str:
 
 
 def built_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Warehouse over the fine trips; built once per application and test folder.
-
-    The test trips lie thinly over 2,400 days, so the fact is kept in plain files.
-    """
+    """Warehouse over the fine trips; built once per application and test folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:
         trips = clean_trips(normalize_trips(raw_trips(spark, sf_dir)))
-        _built[key] = build(spark, trips, scratch_folder(spark, "warehouse"), by_day=False)
+        _built[key] = build(spark, trips, scratch_folder(spark, "warehouse"))
     return _built[key]
