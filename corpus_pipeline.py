@@ -58,8 +58,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """All documents with their length bucket, batch and slot."""
+    """All documents with their length bucket, batch and slot; these replace columns of their names."""
     rows, names = _neutral(docs)
+    names = {name: own for name, own in names.items() if name not in packing.OUTPUT}
     packed = packing.pack(rows, packing.token_count(names["text"]), names["doc_id"])
     return _named(packed, names, *packing.OUTPUT)
 

@@ -1,4 +1,4 @@
-"""The registered query of each operator, over whole tables, and SQL where it can say the same."""
+"""The registered query of each operator, over whole tables."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.llm import bpe, chat, jaccard, language, pii, vector_dedup, weak_labels
+from tripmill.llm.oracles import ORACLES  # noqa: F401
 from tripmill.llm.packing import pack, token_count
 from tripmill.llm.quality_rules import judge, ledger
 from tripmill.llm.shared import source
@@ -74,4 +75,3 @@ QUERIES: dict[str, Query] = {
     "op9_url_graph": op9_url_graph,
     "op10_shingle_tiles": op10_shingle_tiles,
 }
-ORACLES: dict[str, str] = {}
