@@ -61,26 +61,26 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
     return values.groupBy(column).agg(F.count(F.lit(1)).alias("rows")).filter(repeated)
 
 
-def child_values(child: DataFrame, column: str) -> DataFrame:
-    """Non-null child values with their number of rows, so a hot value meets a join as one row."""
-    return child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-
-
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child values without a parent, with their number of rows. Nulls are left out."""
-    parents = parent.select(F.col(parent_column).alias(column))
-    return child_values(child, column).join(parents, column, "left_anti")
+def key_counts(child: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per combination of foreign keys, which the checks of all of them can share."""
+    return child.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def relationship_counts(
-    child: DataFrame, column: str, parent: DataFrame, parent_column: str
+    counts: DataFrame, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
-    """Child rows with a value, and those among them without a parent, in one pass."""
+    """Child rows with a value, and those among them without a parent, from ``key_counts``.
+
+    A hot value meets the join as one row. Nulls are left out at the end only: a filter would sink
+    below the counts and keep other checks from sharing them.
+    """
     parents = parent.select(F.col(parent_column).alias(column)).distinct()
-    known = child_values(child, column).join(parents.withColumn("_known", F.lit(True)), column, "left")
-    lost = F.when(F.col("_known").isNull(), F.col("rows")).otherwise(0)
+    values = counts.groupBy(column).agg(F.sum("rows").alias("rows"))
+    known = values.join(parents.withColumn("_known", F.lit(True)), column, "left")
+    given = F.when(F.col(column).isNotNull(), F.col("rows")).otherwise(0)
+    lost = F.when(F.col("_known").isNull(), given).otherwise(0)
     return known.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("checked_rows"),
+        F.coalesce(F.sum(given), F.lit(0)).alias("checked_rows"),
         F.coalesce(F.sum(lost), F.lit(0)).alias("failing_rows"),
     )
 
@@ -92,9 +92,9 @@ def unique_check(df: DataFrame, model: str, column: str) -> DataFrame:
 
 
 def relationship_check(
-    child: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str
+    counts: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
     """Report line: number of child rows without a parent."""
-    count = relationship_counts(child, column, parent, parent_column)
+    count = relationship_counts(counts, column, parent, parent_column)
     line = result_row(model, RELATIONSHIPS, column, F.col("failing_rows"))
     return count.select(F.inline(F.array(line)))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row
 from tripmill.operators.checks import (
     ERROR,
     WARN,
+    key_counts,
     relationship_check,
     row_checks,
     unique_check,
@@ -76,10 +77,16 @@ def expression_report(tables: Tables) -> DataFrame:
     return _union([row_checks(tables[m], m, expressions=rules) for m, rules in RULES.items()])
 
 
-def relationship_report(tables: Tables, column: str) -> DataFrame:
+def fact_keys(tables: Tables) -> DataFrame:
+    """Rows per combination of the fact's foreign keys: one scan for all of them."""
+    return key_counts(tables["fct_trip"], [column for _, column in PARENTS])
+
+
+def relationship_report(tables: Tables, column: str, counts: DataFrame | None = None) -> DataFrame:
     """Line of the fact's foreign key ``column``."""
     parent, parent_column = PARENTS["fct_trip", column]
-    return relationship_check(tables["fct_trip"], "fct_trip", column, tables[parent], parent_column)
+    counts = fact_keys(tables) if counts is None else counts
+    return relationship_check(counts, "fct_trip", column, tables[parent], parent_column)
 
 
 def quality_report(tables: Tables) -> DataFrame:
@@ -88,7 +95,8 @@ def quality_report(tables: Tables) -> DataFrame:
         row_checks(tables[m], m, columns, RULES.get(m, ())) for m, columns in NOT_NULL_COLUMNS.items()
     ]
     parts += [unique_check(tables[m], m, column) for m, column in UNIQUE_COLUMNS.items()]
-    parts += [relationship_report(tables, column) for _, column in PARENTS]
+    counts = fact_keys(tables)
+    parts += [relationship_report(tables, column, counts) for _, column in PARENTS]
     return _union(parts)
 
 

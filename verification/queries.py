@@ -313,8 +313,7 @@ def relationships(column: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         checked = tables(spark, sf_dir)
         parent, parent_column = quality.PARENTS["fct_trip", column]
-        fact = checked["fct_trip"]
-        return relationship_counts(fact, column, checked[parent], parent_column)
+        return relationship_counts(quality.fact_keys(checked), column, checked[parent], parent_column)
 
     return query
 
