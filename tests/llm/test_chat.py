@@ -100,7 +100,7 @@ def test_hard_turns(spark):
     df = frame(spark, rows).selectExpr("*", "'c' as piece", "1L as seq", "'r' as action")
     found = chat.format_chats(df).orderBy("seq").collect()
     assert [(r.conv_id, r.new_role, r.action, r.inserted) for r in found] == [
-        (None, "user", "keep+relabel", None), (None, "user", "merge", None), (5, "user", "keep", None), (5, "user", "merge", None),
+        (None, "system", "keep+relabel", None), (None, "user", "keep", None), (5, "user", "keep", None), (5, "user", "merge", None),
         (6, "assistant", "keep", "user"),
     ]
     assert chat.format_chats(df.limit(0)).count() == 0

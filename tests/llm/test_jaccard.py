@@ -81,7 +81,7 @@ def test_one_of_each_group_stays(documents, hard_rows):
     texts = [r.text for r in kept.collect()]
     expected = {t: 1 for _, t, *_ in rows if (t or "").strip() and not t.startswith(("lorem", "A b"))}
     assert {t: texts.count(t) for t in expected} == expected
-    assert sum((t or "").startswith("lorem") for t in texts) == 1
+    assert sum((t or "").startswith("lorem") for t in texts) == 2  # 5 of 6 shingles in common
     assert sum(not (t or "").strip() for t in texts) == 4
     assert jaccard.one_of_each(docs.limit(0)).count() == 0
 
@@ -104,6 +104,8 @@ def test_bounds_never_hide_a_pair():
         common = len(np.intersect1d(a, b))
         if 100 * common < 85 * (len(a) + len(b) - common):
             continue
+        differ = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(jaccard.signature(a), jaccard.signature(b)))
+        assert 185 * (len(a) + len(b) - differ) >= 2 * 85 * (len(a) + len(b))
         order = rng.integers(0, 5, jaccard.CELLS)
         first = [set(jaccard.first_shingles(x, order, 85).tolist()) for x in (a, b)]
         assert first[0] & first[1] and set(jaccard.bands(len(a), 85)) & set(jaccard.bands(len(b), 85))
@@ -124,3 +126,11 @@ def test_components(spark, edges, expected):
             parent[y] = x
         expected = {x: root(x) for e in edges for x in e}
     assert found == expected
+
+
+def test_filters_agree_in_spark_and_in_tasks(spark):
+    names = [0, 1, -1, 2**63 - 1, -(2**63), *(k << 33 | 5 for k in range(200)), *range(50)]
+    bits = jaccard.name_filter(spark.createDataFrame([(n,) for n in names], "x long"), "x")
+    assert jaccard.may_be_named(bits, np.array(names, dtype=np.int64)).all()
+    others = np.array([k << 33 | 70 for k in range(200)], dtype=np.int64)
+    assert jaccard.may_be_named(bits, others).mean() < 0.05

@@ -21,7 +21,7 @@ def test_hosts_paths_and_rules(pages):
     ]
     found = [tuple(r)[1:5] for r in url_graph.judge_urls(pages(*rows)).orderBy("page_id").collect()]
     assert found == [
-        ("www.a.net", "/x", "net/", "block"), ("b.example.net", "/en/1", "example.net/en/", "allow"), ("example.net", "", None, "block"),
+        ("www.a.net", "/x", "net/", "block"), ("b.example.net", "/en/1", "example.net/en/", "allow"), ("example.net", "", None, "allow"),
         ("x.example.com", "/de/p", "example.com/de/", "block"), ("anorg", "/fr/", None, "allow"), ("s.org", "/fr/q", "org/fr/", "allow"),
         ("", "", None, "allow"), ("", "", None, "allow"), ("b:", "//c/d", None, "allow"), ("net", "/", "net/", "block"), ("net", "", None, "block"),
     ]

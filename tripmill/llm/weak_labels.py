@@ -201,8 +201,7 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict:
     numbered = docs.select(F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("row"))
     chosen = numbered.where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(part * (1 << 30))).select("text")
     found = sorted((bytes(r["x"]), r["good"]) for r in map_arrow(chosen, run, "good double, x binary").collect())
-    x = np.frombuffer(b"".join(f[0] for f in found), dtype=np.float32).reshape(len(found), -1)
-    x = x if len(found) else np.zeros((0, DIMENSIONS + 9), dtype=np.float32)
+    x = np.array([np.frombuffer(f[0], dtype=np.float32) for f in found]).reshape(len(found), len(features("", Shape(""))))
     return {"posterior": posterior, "chances": chances, "share": share, "weights": train(x, np.array([f[1] for f in found]))}
 
 
