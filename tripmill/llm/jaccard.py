@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.components import components
@@ -37,7 +37,7 @@ PERCENT = 85
 CELL_BITS = 17
 CELLS = 1 << CELL_BITS
 CELL_BLOCK = 1 << 12
-SIGNATURE_BITS = 512
+SIGNATURE_BITS = 2_048
 # Bits of the filter that tells which sets have a possible partner; 8 MB, whatever the input.
 FILTER_BITS = 1 << 26
 FILTER_BLOCK = 1 << 15  # what one bitmap_construct_agg holds
@@ -65,10 +65,12 @@ def set_name(found: np.ndarray) -> int:
 
 
 def signature(found: np.ndarray) -> list[int]:
-    """The set's hashed bitmap as SIGNATURE_BITS / 64 whole numbers."""
-    bits = np.zeros(SIGNATURE_BITS, dtype=bool)
-    bits[(found % np.uint64(SIGNATURE_BITS)).astype(np.int64)] = True
-    return np.packbits(bits).view(np.int64).tolist()
+    """The set's hashed bitmap as SIGNATURE_BITS / 64 whole numbers.
+
+    A bit tells whether an odd number of elements falls on it, so large sets do not fill it up.
+    """
+    bits = np.bincount((found % np.uint64(SIGNATURE_BITS)).astype(np.int64), minlength=SIGNATURE_BITS) & 1
+    return np.packbits(bits.astype(bool)).view(np.int64).tolist()
 
 
 def cell(found: np.ndarray) -> np.ndarray:
@@ -76,54 +78,69 @@ def cell(found: np.ndarray) -> np.ndarray:
 
 
 def sets_and_cells(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """A row per document: key, set name (null if empty), size. And the totals of every task per
-    block of cells: in how many documents the shingles of a cell occur.
+    """A row per document: key, place in the input, set name (null if empty), size, bitmap. And the
+    totals of every task per block of cells: in how many documents the shingles of a cell occur.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, dtype=np.int64)
-        names, kind = ["key", "row", "set", "n", "block", "cells"], None
+        names, kind = ["key", "row", "place", "set", "n", "bits", "block", "cells"], None
         for batch in batches:
-            kind, sets, sizes = batch.column(0).type, [], []
+            kind, sets, sizes, bits = batch.column(0).type, [], [], []
             for value in batch.column(1).to_pylist():
                 found = shingle_set(value, words)
                 sets.append(set_name(found) if len(found) else None)
                 sizes.append(len(found))
+                bits.append(signature(found) if len(found) else None)
                 np.add.at(total, cell(found), 1)
             none = len(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.list_(pa.int64()))],
+                [
+                    *(batch.column(i) for i in (0, 2, 3)),
+                    pa.array(sets, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(bits, pa.list_(pa.int64())),
+                    pa.nulls(none, pa.int64()),
+                    pa.nulls(none, pa.list_(pa.int64())),
+                ],
                 names=names,
             )
         if kind is not None:
             blocks = list(total.reshape(-1, CELL_BLOCK))
             none = pa.nulls(len(blocks), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(blocks), kind), none, none, none, pa.array(range(len(blocks)), pa.int64()), pa.array(blocks, pa.list_(pa.int64()))],
+                [pa.nulls(len(blocks), kind), none, none, none, none, pa.nulls(len(blocks), pa.list_(pa.int64())), pa.array(range(len(blocks)), pa.int64()), pa.array(blocks, pa.list_(pa.int64()))],
                 names=names,
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    chosen = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), row_hash(key, text).alias("row"))
-    return map_arrow(chosen, run, f"key {kind}, row long, set long, n long, block long, cells array<long>")
+    chosen = docs.select(
+        F.col(f"`{key}`").alias("key"),
+        F.col(f"`{text}`").alias("text"),
+        row_hash(key, text).alias("row"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    columns = "row long, place long, set long, n long, bits array<long>, block long, cells array<long>"
+    return map_arrow(chosen, run, f"key {kind}, {columns}")
 
 
 def commonness(found: DataFrame) -> np.ndarray:
-    """Rank class of every cell: how far its count lies above the typical one, in doublings.
+    """In how many documents the shingles of every cell occur, which is the common order's rank.
 
-    The sums come to the driver, CELLS numbers for any input.
+    A cell sums many rare shingles, and its count strays from the others' by the root of that sum
+    only, so a shingle of more documents than that lifts its cell out of all prefixes. The sums come
+    to the driver, CELLS numbers for any input.
     """
     parts = found.where("block is not null").select("block", F.posexplode("cells").alias("at", "n"))
     sums = parts.groupBy("block", "at").agg(F.sum("n").alias("n")).select((F.col("block") * CELL_BLOCK + F.col("at")).alias("cell"), "n")
     totals = sums.toPandas()
     total = np.zeros(CELLS, dtype=np.int64)
     total[totals["cell"].to_numpy(dtype=np.int64)] = totals["n"].to_numpy(dtype=np.int64)
-    typical = max(1.0, float(np.median(total)))
-    return np.maximum(0, np.ceil(np.log2(np.maximum(total, 1) / typical / 1.25))).astype(np.uint8)
+    return total
 
 
 def first_shingles(found: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
-    """The prefix of a set under the common order: rare cells first, then by hash."""
+    """The prefix of a set under the common order: cells of few documents first, then by hash."""
     order = np.lexsort((found, classes[cell(found)]))
     return found[order[: prefix(len(found), percent)]]
 
@@ -133,7 +150,7 @@ def tiles(docs: DataFrame, classes: np.ndarray, text: str, words: int, percent:
 
     A tile is a shingle's upper bits and, in the lower ones, the size band.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(classes)  # CELLS bytes
+    shared = docs.sparkSession.sparkContext.broadcast(classes)  # CELLS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, told = shared.value, set()
@@ -159,19 +176,18 @@ def tiles(docs: DataFrame, classes: np.ndarray, text: str, words: int, percent:
     return map_arrow(docs.select(F.col(f"`{text}`").alias("text")), run, "tile long, set long")
 
 
-def shared_tiles(rows: DataFrame) -> DataFrame:
-    """(tile, set, first) of tiles that hold several sets, ``first`` the least of them.
-
-    Minima are combined before the shuffle, and the join is one that adaptive execution may split,
-    so a tile that a third of all sets share is nobody's alone.
-    """
-    ends = rows.groupBy("tile").agg(F.min("set").alias("first"), F.max("set").alias("last")).where("first <> last")
-    return rows.join(ends.select("tile", "first"), "tile").distinct()
+def folded(number):
+    """A bit for a number, as a column or an array. The upper half counts too: the row numbers of
+    different partitions differ only there."""
+    high = F.shiftright(number, 33) if isinstance(number, Column) else number >> 33
+    low = number.bitwiseAND(F.lit((1 << 33) - 1)) if isinstance(number, Column) else number & ((1 << 33) - 1)
+    mixed = low + high * 1_000_003
+    return F.pmod(mixed, F.lit(FILTER_BITS)) if isinstance(number, Column) else mixed % FILTER_BITS
 
 
-def name_filter(names: DataFrame) -> bytes:
+def name_filter(names: DataFrame, column: str) -> bytes:
     """FILTER_BITS bits with those of the names set; built in Spark, at most 8 MB at the driver."""
-    at = F.pmod("set", F.lit(FILTER_BITS))
+    at = folded(F.col(column))
     block = F.floor(at / FILTER_BLOCK)
     inside = F.pmod(at, F.lit(FILTER_BLOCK)).cast("long")
     parts = names.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(inside).alias("bits"))
@@ -182,72 +198,83 @@ def name_filter(names: DataFrame) -> bytes:
     return bytes(bits)
 
 
-def candidate_sets(docs: DataFrame, names: DataFrame, text: str, words: int) -> DataFrame:
-    """(set, n, bits, hashes) of the sets that have a possible partner, once each.
+def may_be_named(bits: bytes, names: np.ndarray) -> np.ndarray:
+    at = folded(names)
+    return (np.frombuffer(bits, dtype=np.uint8)[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
-    The sets are made from the texts again, which costs less than keeping all of them.
+
+def shared_tiles(rows: DataFrame) -> DataFrame:
+    """(tile, set, first) of tiles that hold several sets, ``first`` the least of them.
+
+    Minima are combined before the shuffle. Most tiles hold one set; a filter of fixed size keeps
+    nearly all of those out of the join, which adaptive execution may split where a third of all
+    sets share a tile.
     """
-    wanted = docs.sparkSession.sparkContext.broadcast(name_filter(names))
+    ends = rows.groupBy("tile").agg(F.min("set").alias("first"), F.max("set").alias("last"))
+    ends = cut(ends.where("first <> last").select("tile", "first"))
+    wanted = rows.sparkSession.sparkContext.broadcast(name_filter(ends, "tile"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, told = wanted.value, set()
         for batch in batches:
-            sets, sizes, signatures, hashes = [], [], [], []
-            for value in batch.column(0).to_pylist():
-                found = shingle_set(value, words)
-                if not len(found):
-                    continue
-                name = set_name(found)
-                at = name % FILTER_BITS
-                hit = bits[at // 8] >> (at % 8) & 1
-                if not hit or name in told:
-                    continue
-                if len(told) > 1_000_000:
-                    told.clear()
-                told.add(name)
-                sets.append(name)
-                sizes.append(len(found))
-                signatures.append(signature(found))
-                hashes.append(found.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.list_(pa.int64())), pa.array(hashes, pa.binary())],
-                names=["set", "n", "bits", "hashes"],
-            )
+            yield batch.filter(pa.array(may_be_named(wanted.value, batch.column(0).to_numpy())))
+
+    return map_arrow(rows, run, "tile long, set long").join(ends, "tile").distinct()
+
+
+def arrays(docs: DataFrame, names: DataFrame, text: str, words: int) -> DataFrame:
+    """(set, hashes) of the named sets, each made again from the text at its ``place``.
 
-    found = map_arrow(docs.select(F.col(f"`{text}`").alias("text")), run, "set long, n long, bits array<long>, hashes binary")
-    return found.dropDuplicates(["set"]).join(names, "set", "left_semi")
+    Making them anew costs less than keeping the sets of all documents.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(name_filter(names, "place"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = batch.filter(pa.array(may_be_named(wanted.value, batch.column(1).to_numpy())))
+            found = [shingle_set(value, words) for value in some.column(0).to_pylist()]
+            hashes = pa.array([v.tobytes() for v in found], pa.binary())
+            sets = pa.array([set_name(v) if len(v) else None for v in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([some.column(1), sets, hashes], names=["at", "set", "hashes"])
 
+    chosen = docs.select(F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("at"))
+    found = map_arrow(chosen, run, "at long, set long, hashes binary")
+    return found.join(names.select("set", "place"), "set").where("at = place").select("set", "hashes")
 
-def bit_bound(percent: int):
+
+def bit_bound(percent: int) -> Column:
     """Whether sets a and b may link: no more can be common than their bitmaps allow.
 
-    A bit that only one bitmap has is an element that only its set has.
+    A bit in which they differ needs an element that only one of them has, so twice the
+    intersection is at most the sum of the sizes less the number of such bits.
     """
-    both = [F.get(F.col("a.bits"), i).bitwiseAND(F.get(F.col("b.bits"), i)) for i in range(SIGNATURE_BITS // 64)]
-    count = lambda columns: sum((F.bit_count(c) for c in columns), F.lit(0))
-    common = count(both)
-    ones = lambda side: count(F.get(F.col(f"{side}.bits"), i) for i in range(SIGNATURE_BITS // 64))
-    most = F.least(F.col("a.n") - (ones("a") - common), F.col("b.n") - (ones("b") - common))
-    return (100 + percent) * most >= percent * (F.col("a.n") + F.col("b.n"))
+    words = range(SIGNATURE_BITS // 64)
+    differ = sum((F.bit_count(F.get(F.col("a.bits"), i).bitwiseXOR(F.get(F.col("b.bits"), i))) for i in words), F.lit(0))
+    both = F.col("a.n") + F.col("b.n")
+    return (100 + percent) * (both - differ) >= 2 * percent * both
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set names that link, by exact intersection of the sorted arrays."""
-    left = sets.select(F.col("set").alias("a"), F.col("hashes").alias("left"))
-    right = sets.select(F.col("set").alias("b"), F.col("hashes").alias("right"))
+    ends = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
+    names = cut(ends.join(sets.select("set", "place"), "set"))
+    found = arrays(docs, names, text, words)
+    left = found.select(F.col("set").alias("a"), F.col("hashes").alias("left"))
+    right = found.select(F.col("set").alias("b"), F.col("hashes").alias("right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2), batch.column(3)):
+                if not (x.is_valid and y.is_valid):
+                    raise RuntimeError("a text was not found again at its place; did the input change?")
                 x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * common >= percent * (len(x) + len(y) - common))
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return map_arrow(rows, run, "a long, b long")
+    rows = pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "left", "right")
+    return cut(map_arrow(rows, run, "a long, b long"))
 
 
 def similar_sets(docs: DataFrame, found: DataFrame, text: str, words: int, percent: int) -> DataFrame:
@@ -256,24 +283,30 @@ def similar_sets(docs: DataFrame, found: DataFrame, text: str, words: int, perce
     rows, folder = stored(tiles(docs, commonness(found), text, words, percent), "tiles")
     members = cut(shared_tiles(rows))
     discard(spark, folder)
-    sets = cut(candidate_sets(docs, members.select("set").distinct(), text, words))
+    own = found.where("set is not null").join(members.select("set").distinct(), "set", "left_semi")
+    sets = own.groupBy("set").agg(F.min(F.struct("place", "n", "bits")).alias("x")).select("set", "x.*")
+    sets = cut(sets)
 
     # Every set against the least set of its tiles.
-    hubs = members.where("set <> first").groupBy(F.col("set").alias("a")).agg(F.min("first").alias("b"))
-    edges = cut(linked(hubs, sets, percent))
+    a, b = sets.alias("a"), sets.alias("b")
+    sizes = (100 * F.col("a.n") >= percent * F.col("b.n")) & (100 * F.col("b.n") >= percent * F.col("a.n"))
+    hubs = members.where("set <> first").groupBy("set").agg(F.min("first").alias("first"))
+    hubs = hubs.join(a, hubs["set"] == F.col("a.set")).join(b, hubs["first"] == F.col("b.set"))
+    hubs = cut(hubs.where(sizes & bit_bound(percent)).select(F.col("a.set").alias("a"), F.col("b.set").alias("b")))
+    edges = linked(hubs, sets, docs, text, words, percent)
     label = components(edges)
 
     # Then all pairs of a tile that are in different components and pass the bounds.
     named = members.join(label.select(F.col("node").alias("set"), "component"), "set", "left")
     named = cut(named.select("tile", "set", F.coalesce("component", "set").alias("component")))
     mixed = named.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_rows = named.join(mixed.select("tile"), "tile").join(sets.drop("hashes"), "set")
+    open_rows = named.join(mixed.select("tile"), "tile").join(sets, "set")
     a, b = open_rows.alias("a"), open_rows.alias("b")
-    sizes = (100 * F.col("a.n") >= percent * F.col("b.n")) & (100 * F.col("b.n") >= percent * F.col("a.n"))
     pairs = a.join(b, (F.col("a.tile") == F.col("b.tile")) & (F.col("a.component") < F.col("b.component")) & sizes & bit_bound(percent))
     pairs = cut(pairs.select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).distinct())
-    more = cut(linked(pairs, sets, percent))
-    return components(edges.union(more))
+    if pairs.isEmpty():
+        return label
+    return components(edges.union(linked(pairs, sets, docs, text, words, percent)))
 
 
 def document_components(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
@@ -303,17 +336,32 @@ def one_of_each(
 ) -> DataFrame:
     """The documents without all but the first of each component; documents without words stay.
 
-    Only the rows to drop are joined to the texts, so the join is small where duplicates are few.
+    A filter of fixed size passes most texts straight through; only those it cannot rule out meet
+    the rows to drop in a join.
     """
     found = cut(document_components(docs, key, text, words, percent))
     grouped = found.where("n > 0 and component_id is not null")
     first = grouped.groupBy("component_id").agg(F.min(F.struct("key", "row")).alias("first"))
     dropped = grouped.join(first, "component_id").where(F.col("row") != F.col("first.row")).select("row").distinct()
-    rest = docs.withColumn("__row", row_hash(key, text))
-    rest = rest.join(dropped.withColumnRenamed("row", "__row"), "__row", "left_anti")
-    repeated = grouped.groupBy("row").count().where("count > 1")
-    if not repeated.isEmpty():  # rows that are equal in id and text
-        rest = rest.where(F.length(F.col(f"`{text}`")) > 0).dropDuplicates(["__row"]).union(
-            rest.where(F.coalesce(F.length(F.col(f"`{text}`")) == 0, F.lit(True)))
-        )
-    return rest.select(*(F.col(f"`{c}`") for c in docs.columns))
+    # Rows that are equal in id and text share their hash; all but one of them go as well.
+    repeated = grouped.groupBy("row").count().where("count > 1").select("row")
+    marked = cut(dropped.union(repeated).distinct())
+    wanted = docs.sparkSession.sparkContext.broadcast(name_filter(marked, "row"))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+
+    def side(marked_rows: bool) -> DataFrame:
+        """The rows that the filter passes, or those it rules out."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = may_be_named(wanted.value, batch.column(len(names)).to_numpy())
+                yield batch.filter(pa.array(hit == marked_rows))
+
+        schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields))
+        return map_arrow(docs.withColumn("__row", row_hash(key, text)).toDF(*names, "row"), run, schema + ", row long")
+
+    rest = side(True).join(dropped, "row", "left_anti").select(*names, "row")
+    if not repeated.isEmpty():
+        again = rest.join(repeated, "row", "left_semi").where(F.length(names[docs.columns.index(text)]) > 0)
+        rest = rest.join(repeated, "row", "left_anti").unionByName(again.dropDuplicates(["row"]))
+    return side(False).unionByName(rest).select(names).toDF(*docs.columns)
