@@ -127,9 +127,11 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     rows, seen = frequencies(learn)
     idf = np.log((1 + rows) / (1 + seen)).astype(np.float32) + 1
     sizes = docs.where(~held_out(key)).groupBy(F.col(f"`{lang}`").alias("lang")).agg(F.count("*").alias("n"))
-    share = F.when(F.col("n") <= SAMPLE, 1.0).otherwise(F.lit(SAMPLE) / F.col("n"))
-    # One row per language, far below any broadcast limit; the hint is left to adaptive execution.
-    chosen = learn.join(sizes, "lang").where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < share * (1 << 20))
+    # One number per language goes into the plan itself, so no text is shuffled to be sampled.
+    found = sizes.where("lang is not null").collect()
+    limits = [F.lit(x) for row in found for x in (row["lang"], int(min(1.0, SAMPLE / row["n"]) * (1 << 20)))]
+    limit = F.create_map(*limits)[F.col("lang")] if limits else F.lit(0)
+    chosen = learn.where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < limit)
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
