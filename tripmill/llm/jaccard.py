@@ -8,8 +8,8 @@ are bounded from above by the bits their hashed bitmaps have in common, and only
 compared exactly, as intersections of sorted arrays. Nothing is capped and nothing is sampled.
 
 Equal sets are one set from the start, so copies cost no pairs. Since the result is connected
-components, a tile first joins every member to its first set; only pairs still in different
-components are compared after that.
+components, tiles first join their members to hubs, one comparison a set and round; only pairs still
+in different components are compared after that.
 
 Defined results: a null, empty or blank text has an empty set and is linked with nothing; fewer
 words than a shingle count as one shingle; repeated rows are copies; rows with a null id get a
@@ -38,8 +38,10 @@ CELL_BITS = 17
 CELLS = 1 << CELL_BITS
 CELL_BLOCK = 1 << 12
 SIGNATURE_BITS = 2_048
-# Bits of the filter that tells which sets have a possible partner; 8 MB, whatever the input.
-FILTER_BITS = 1 << 26
+# Rounds of one comparison a set; the pairs they leave are all compared afterwards.
+HUB_ROUNDS = 2
+# Bits of the filters that keep most rows out of joins; 2 MB, whatever the input.
+FILTER_BITS = 1 << 24
 FILTER_BLOCK = 1 << 15  # what one bitmap_construct_agg holds
 
 
@@ -186,7 +188,7 @@ def folded(number):
 
 
 def name_filter(names: DataFrame, column: str) -> bytes:
-    """FILTER_BITS bits with those of the names set; built in Spark, at most 8 MB at the driver."""
+    """FILTER_BITS bits with those of the names set; built in Spark, at most 2 MB at the driver."""
     at = folded(F.col(column))
     block = F.floor(at / FILTER_BLOCK)
     inside = F.pmod(at, F.lit(FILTER_BLOCK)).cast("long")
@@ -287,28 +289,59 @@ def similar_sets(docs: DataFrame, found: DataFrame, text: str, words: int, perce
     sets = own.groupBy("set").agg(F.min(F.struct("place", "n", "bits")).alias("x")).select("set", "x.*")
     sets = cut(sets)
 
-    # Every set against the least set of its tiles.
-    a, b = sets.alias("a"), sets.alias("b")
-    sizes = (100 * F.col("a.n") >= percent * F.col("b.n")) & (100 * F.col("b.n") >= percent * F.col("a.n"))
-    hubs = members.where("set <> first").groupBy("set").agg(F.min("first").alias("first"))
-    hubs = hubs.join(a, hubs["set"] == F.col("a.set")).join(b, hubs["first"] == F.col("b.set"))
-    hubs = cut(hubs.where(sizes & bit_bound(percent)).select(F.col("a.set").alias("a"), F.col("b.set").alias("b")))
-    edges = linked(hubs, sets, docs, text, words, percent)
-    label = components(edges)
+    edges, label = _hub_links(members, sets, docs, text, words, percent)
 
-    # Then all pairs of a tile that are in different components and pass the bounds.
-    named = members.join(label.select(F.col("node").alias("set"), "component"), "set", "left")
-    named = cut(named.select("tile", "set", F.coalesce("component", "set").alias("component")))
+    # What is left: pairs of a tile in different components that pass the bounds.
+    named = _named_members(members, label)
     mixed = named.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     open_rows = named.join(mixed.select("tile"), "tile").join(sets, "set")
     a, b = open_rows.alias("a"), open_rows.alias("b")
-    pairs = a.join(b, (F.col("a.tile") == F.col("b.tile")) & (F.col("a.component") < F.col("b.component")) & sizes & bit_bound(percent))
+    same_tile = (F.col("a.tile") == F.col("b.tile")) & (F.col("a.component") < F.col("b.component"))
+    pairs = a.join(b, same_tile & near_sizes(percent) & bit_bound(percent))
     pairs = cut(pairs.select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).distinct())
     if pairs.isEmpty():
         return label
     return components(edges.union(linked(pairs, sets, docs, text, words, percent)))
 
 
+def near_sizes(percent: int) -> Column:
+    return (100 * F.col("a.n") >= percent * F.col("b.n")) & (100 * F.col("b.n") >= percent * F.col("a.n"))
+
+
+def _named_members(members: DataFrame, label: DataFrame) -> DataFrame:
+    named = members.join(label.select(F.col("node").alias("set"), "component"), "set", "left")
+    return cut(named.select("tile", "set", F.coalesce("component", "set").alias("component")))
+
+
+def _hub_links(
+    members: DataFrame, sets: DataFrame, docs: DataFrame, text: str, words: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links to hubs, and the components they make.
+
+    In every tile the least set of the least component is the hub; each set of another component
+    is compared with the least hub that the bounds allow. That is one pair a set and round. Rounds
+    go on as long as they join components, so large groups of near copies come together without
+    their pairs.
+    """
+    edges = label = None
+    for _ in range(HUB_ROUNDS):
+        named = members.select("tile", "set", F.col("set").alias("component")) if label is None else _named_members(members, label)
+        hub = named.groupBy("tile").agg(F.min(F.struct("component", "set")).alias("hub"))
+        pairs = named.join(hub, "tile").where(F.col("component") != F.col("hub.component"))
+        pairs = pairs.select("set", F.col("hub.set").alias("first")).distinct()
+        pairs = pairs.join(sets.alias("a"), pairs["set"] == F.col("a.set")).join(sets.alias("b"), pairs["first"] == F.col("b.set"))
+        pairs = pairs.where(near_sizes(percent) & bit_bound(percent))
+        pairs = cut(pairs.groupBy(F.col("a.set").alias("a")).agg(F.min("b.set").alias("b")))
+        if label is not None and pairs.isEmpty():
+            break
+        found = linked(pairs, sets, docs, text, words, percent)
+        if label is not None and found.isEmpty():
+            break
+        edges = found if edges is None else edges.union(found)
+        label = components(edges)
+    return edges, label
+
+
 def document_components(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
     """(key, row, n, component_id), a row per document; ``row`` is a hash of id and text."""
     found = cut(sets_and_cells(docs, key, text, words))
