@@ -39,7 +39,7 @@ CELLS = 1 << CELL_BITS
 CELL_BLOCK = 1 << 12
 SIGNATURE_BITS = 2_048
 # Rounds of one comparison a set; the pairs they leave are all compared afterwards.
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 # Bits of the filters that keep most rows out of joins; 2 MB, whatever the input.
 FILTER_BITS = 1 << 24
 FILTER_BLOCK = 1 << 15  # what one bitmap_construct_agg holds
