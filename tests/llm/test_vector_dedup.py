@@ -60,3 +60,20 @@ def test_no_rows_and_clashing_columns(spark):
     assert found(frame(spark, []).limit(0)) == []
     df = frame(spark, [(1, [1.0, 0.0]), (2, [1.0, 0.01])]).selectExpr("*", "1 as weight", "2 as rep", "'x' as component")
     assert found(df) == [(1, 1, 1, True), (2, 1, 1, False)]
+
+
+@pytest.mark.parametrize("tile", [2_048, 5])
+def test_links_that_no_window_shows(spark, monkeypatch, tile):
+    monkeypatch.setattr(vector_dedup, "TILE", tile)
+    rng = np.random.default_rng(9)
+    units = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    topic = units(rng.standard_normal(32))
+    many = np.concatenate([rng.standard_normal((200, 32)), 2 * topic + 0.18 * rng.standard_normal((200, 32)), -5 * topic + 0.1 * rng.standard_normal((50, 32))])
+    many = units(many)
+    across = rng.standard_normal((60, 32))
+    across = units(across - np.sum(across * many[:60], axis=1, keepdims=True) * many[:60])
+    pairs = 0.955 * many[:60] + np.sqrt(1 - 0.955**2) * across  # single pairs just over the limit
+    rows = [(k, v.astype(np.float32).tolist()) for k, v in enumerate(np.concatenate([many, pairs]))]
+    rows += [(len(rows) + k, [1.0, 0.1 * k]) for k in range(5)]
+    result = vector_dedup.near_duplicates(frame(spark, rows), passes=1, window=1)
+    assert sorted(tuple(r) for r in result.collect()) == sorted(brute(rows))

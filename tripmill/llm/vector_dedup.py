@@ -4,9 +4,11 @@ In every pass the vectors are ordered by the concatenated signs of random projec
 compared with its next WINDOW neighbours. Near vectors share long prefixes, so some pass puts them
 side by side. Pairs whose cosine holds are united across passes into components.
 
-A window sees only part of a large group, so links are counted afterwards: inside every component
-all pairs are compared, tile by tile, and only counts leave a tile. Equal vectors are one vector from
-the start, with a weight.
+A window sees only part of a large group, and misses more pairs the more rows there are, so an exact
+step follows: vectors are dealt into chunks by their nearest pivot, and all pairs of chunks that the
+triangle inequality cannot rule out are compared, tile by tile. Link counts leave a tile, and edges
+between components that the windows had not joined. Equal vectors are one vector from the start,
+with a weight.
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite number links with
 nothing and is its own component; vectors of different length never link; repeated rows are equal
@@ -33,6 +35,13 @@ PASSES = 8
 BITS = 62
 WINDOW = 24
 TILE = 2_048
+# A chunk has at most this many times TILE vectors, and bytes of doubles.
+CHUNK_TILES = 8
+CHUNK_BYTES = 1 << 23
+# Most pivots of a vector size; a chunk's bounds are one range of angles to each.
+PIVOTS = 256
+# Angles lose about 1e-8 in arccos; bounds give way by more than that.
+ROUNDING = 1e-6
 
 
 def usable(column: str) -> Column:
@@ -175,37 +184,124 @@ def window_edges(keys: DataFrame, window: int, cosine: float) -> DataFrame:
     return cut(inside.union(across))
 
 
-def link_counts(members: DataFrame, cosine: float) -> DataFrame:
-    """(rep, links): weights of the other vectors each one links with, all pairs of a component.
+def chunk_limit(size: int) -> int:
+    """Most vectors of a chunk, for vectors of ``size`` numbers."""
+    return max(1, min(CHUNK_TILES * TILE, CHUNK_BYTES // (8 * size)))
 
-    A component is dealt into chunks of about TILE vectors, and each pair of chunks is one task's
-    tile, so memory is bounded; the work is the square of a component, as the counts themselves are.
+
+def pivots(classes: DataFrame) -> dict[int, np.ndarray]:
+    """Pivots of every vector size: those of least hash, one for a chunk, PIVOTS at most."""
+    sizes = {row["size"]: row["n"] for row in classes.groupBy("size").agg(F.count("*").alias("n")).collect()}
+    found = {}
+    for size, n in sizes.items():
+        wanted = min(PIVOTS, -(-n // chunk_limit(size)))
+        some = classes.where(F.col("size") == size).orderBy(F.xxhash64("rep"), "rep").limit(wanted).select("v").collect()
+        found[size] = units([bytes(row["v"]) for row in some])
+    return found
+
+
+def placed(members: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
+    """``members`` with ``cell``, the nearest pivot, and ``angles`` to all pivots of their size."""
+    shared = members.sparkSession.sparkContext.broadcast(centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column(3).to_pylist()
+            sizes = np.array([len(v) // 8 for v in raw], dtype=np.int64)
+            for size in np.unique(sizes):
+                own = np.flatnonzero(sizes == size)
+                angles = np.arccos(np.clip(units([raw[i] for i in own]) @ shared.value[int(size)].T, -1, 1))
+                taken = batch.take(pa.array(own))
+                more = [pa.array(np.full(len(own), size)), pa.array(np.argmin(angles, axis=1)), pa.array(list(angles), pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*taken.columns, *more], names=["component", "rep", "weight", "v", "size", "cell", "angles"])
+
+    schema = "component long, rep long, weight long, v binary, size long, cell long, angles array<double>"
+    return map_arrow(members.select("component", "rep", "weight", "v"), run, schema)
+
+
+def chunk_bounds(members: DataFrame) -> DataFrame:
+    """(size, cell, chunk, low, high): the least and greatest angle of a chunk to every pivot."""
+    names = ["size", "cell", "chunk", "low", "high"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds: dict[tuple, list[np.ndarray]] = {}
+        for batch in batches:
+            chunks = zip(*(batch.column(i).to_pylist() for i in range(3)))
+            for name, angles in zip(chunks, batch.column(3)):
+                angles = angles.values.to_numpy()
+                low, high = bounds.setdefault(name, [angles, angles])
+                bounds[name] = [np.minimum(low, angles), np.maximum(high, angles)]
+        for name, both in bounds.items():
+            yield pa.RecordBatch.from_arrays([*(pa.array([x]) for x in name), *(pa.array([x.tolist()], pa.list_(pa.float64())) for x in both)], names=names)
+
+    parts = map_arrow(members.select("size", "cell", "chunk", "angles"), run, "size long, cell long, chunk long, low array<double>, high array<double>")
+    ends = parts.select("size", "cell", "chunk", F.posexplode(F.arrays_zip("low", "high")).alias("at", "x"))
+    ends = ends.groupBy("size", "cell", "chunk", "at").agg(F.min("x.low").alias("low"), F.max("x.high").alias("high"))
+    ordered = ends.groupBy("size", "cell", "chunk").agg(F.array_sort(F.collect_list(F.struct("at", "low", "high"))).alias("x"))
+    return ordered.select("size", "cell", "chunk", F.col("x.low").alias("low"), F.col("x.high").alias("high"))
+
+
+def all_links(members: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """Every pair of vectors of one size: (rep, links), the weights of the others each one links with,
+    and edges (a, b) that join components.
+
+    Two vectors that link have angles to any pivot that differ by at most that of ``cosine``, so a pair
+    of chunks whose ranges lie further apart for some pivot holds no link. A chunk has a bounded number
+    of vectors, and each pair of chunks is one task's tile, so memory is bounded; the work is the square
+    of the vectors at worst.
     """
-    sizes = members.groupBy("component").agg(F.count("*").alias("m"))
-    chunked = members.join(sizes, "component").withColumn("chunks", F.ceil(F.col("m") / TILE).cast("int"))
-    chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-    tiled = chunked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tiled = tiled.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
+    sized = members.withColumn("size", F.expr("length(v) div 8"))
+    near = cut(placed(members, pivots(sized)))
+    cells = near.groupBy("size", "cell").agg(F.count("*").alias("m"))
+    limit = F.greatest(F.lit(1), F.least(F.lit(CHUNK_TILES * TILE), F.expr(f"{CHUNK_BYTES} div (8 * size)")))
+    cells = cells.withColumn("chunks", F.ceil(F.col("m") / limit).cast("long"))
+    near = near.join(F.broadcast(cells.drop("m")), ["size", "cell"])
+    near = near.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    bounds = cut(chunk_bounds(near))
+    reach = float(np.arccos(cosine)) + ROUNDING
+    left = bounds.select("size", F.struct("cell", "chunk").alias("one"), F.col("low").alias("l1"), F.col("high").alias("h1"))
+    right = bounds.select("size", F.struct("cell", "chunk").alias("two"), F.col("low").alias("l2"), F.col("high").alias("h2"))
+    apart = F.exists(F.arrays_zip("l1", "h1", "l2", "h2"), lambda x: (x["l1"] - reach > x["h2"]) | (x["l2"] - reach > x["h1"]))
+    pairs = left.join(right, "size").where("one <= two").where(~apart).select("size", "one", "two")
+    # A tile's name goes to the members of both its chunks; ``side`` tells which they came from.
+    sides = F.when(F.col("one") == F.col("two"), F.array(F.struct(F.col("one").alias("of"), F.lit(0).alias("side")))).otherwise(
+        F.array(F.struct(F.col("one").alias("of"), F.lit(0).alias("side")), F.struct(F.col("two").alias("of"), F.lit(1).alias("side")))
+    )
+    sent = pairs.select("size", F.xxhash64("size", "one", "two").alias("tile"), F.explode(sides).alias("x"))
+    sent = sent.select("size", "tile", F.col("x.of.cell").alias("cell"), F.col("x.of.chunk").alias("chunk"), F.col("x.side").alias("side"))
+    tiled = near.select("size", "cell", "chunk", "component", "rep", "weight", "v").join(sent, ["size", "cell", "chunk"])
 
     def count(tile: pd.DataFrame) -> pd.DataFrame:
-        unit, weight = units(list(tile["v"])), tile["weight"].to_numpy()
-        chunk, low, high = tile["chunk"].to_numpy(), tile["low"].iloc[0], tile["high"].iloc[0]
-        left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
+        tile = tile.sort_values(["side", "rep"], kind="stable")
+        unit, weight, component = units(list(tile["v"])), tile["weight"].to_numpy(), tile["component"].to_numpy()
+        rep, side = tile["rep"].to_numpy(), tile["side"].to_numpy()
+        alone = side.max() == 0
+        left = np.flatnonzero(side == 0)
+        right = left if alone else np.flatnonzero(side == 1)
         links = np.zeros(len(tile), dtype=np.int64)
+        joined = (rep[:0], rep[:0])
         for start in range(0, len(left), 512):
             rows = left[start : start + 512]
             hit = unit[rows] @ unit[right].T >= cosine
-            if low == high:
+            if alone:
                 hit[np.arange(len(rows)), np.arange(start, start + len(rows))] = False
             links[rows] += hit @ weight[right]
-            if low != high:
+            if not alone:
                 links[right] += weight[rows] @ hit
-        return pd.DataFrame({"rep": tile["rep"], "links": links})
+            hit &= component[rows][:, None] != component[right][None, :]
+            i, j = np.nonzero(hit)
+            a, b = (np.concatenate(both) for both in zip(joined, (component[rows][i], component[right][j])))
+            kept = forest(a, b)
+            joined = a[kept], b[kept]
+        linked = np.flatnonzero(links)
+        counts = pd.DataFrame({"rep": rep[linked], "links": links[linked], "a": None, "b": None})
+        edges = pd.DataFrame({"rep": None, "links": None, "a": joined[0], "b": joined[1]}, dtype="object")
+        return pd.concat([counts.astype("object"), edges]).astype("Int64")
 
     on_workers(members.sparkSession)
-    columns = tiled.select("component", "low", "high", "chunk", "rep", "weight", "v")
-    counted = columns.groupBy("component", "low", "high").applyInPandas(count, "rep long, links long")
-    return counted.groupBy("rep").agg(F.sum("links").alias("links"))
+    found = cut(tiled.select("tile", "side", "component", "rep", "weight", "v").groupBy("tile").applyInPandas(count, "rep long, links long, a long, b long"))
+    counted = found.where("rep is not null").groupBy("rep").agg(F.sum("links").alias("links"))
+    return counted, found.where("a is not null").select("a", "b")
 
 
 def near_duplicates(
@@ -225,10 +321,14 @@ def near_duplicates(
     classes = cut(with_bytes(classes))
     edges = window_edges(sort_keys(classes, passes), window, cosine)
     label = components(edges).withColumnRenamed("node", "rep")
-    members = cut(classes.join(label, "rep"))
-    links = link_counts(members.select("component", "rep", "weight", "v"), cosine)
+    # A vector that the windows left alone is a component of its own until all pairs are compared.
+    members = classes.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    members = cut(members)
+    links, joins = all_links(members.select("component", "rep", "weight", "v"), cosine)
+    further = components(joins).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    members = members.join(further, "component", "left").withColumn("component", F.coalesce("root", "component"))
     least = members.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = classes.select("rep", "weight", "least").join(label, "rep", "left").join(least, "component", "left").join(links, "rep", "left")
+    found = members.select("rep", "weight", "least", "component").join(least, "component").join(links, "rep", "left")
     found = found.select(
         "rep",
         (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
