@@ -65,3 +65,17 @@ def test_clashing_columns_repeats_and_no_rows(pages):
     df = pages(row, row)
     assert [(r.host, r.verdict) for r in url_graph.judge_urls(df).collect()] == [("x.net", "block")] * 2
     assert url_graph.judge_urls(df.limit(0)).count() == 0
+
+
+def test_verdicts_depend_neither_on_copies_nor_on_distance(spark):
+    """3,000 disjoint copies of a graph with a busy blocked host, and a chain of more hosts than ITERATIONS."""
+    copies, chain = 3_000, 16
+    link = '<a href="http://{}/">'.format
+    rows = [(f"http://bad{c}.net/", "") for c in range(copies)]
+    rows += [(f"http://farm{k}of{c}.io/", link(f"bad{c}.net")) for c in range(copies) for k in range(3)]
+    rows += [("http://c0.io/", link("bad0.net"))]
+    rows += [(f"http://c{k}.io/", link(f"c{k - 1}.io")) for k in range(1, chain)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    hot = spark.range(300_000).selectExpr("-1 - id as page_id", "'http://hot.net/' as url", "cast(null as string) as html")
+    found = url_graph.judge_urls(df.union(hot)).where("host like '%.io'").groupBy("verdict").count().collect()
+    assert [tuple(r) for r in found] == [("block", 3 * copies + chain)]

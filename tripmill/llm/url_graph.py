@@ -3,7 +3,8 @@
 Explicit rules judge a url first. Where none fits, its host is judged by two walks over the host
 graph: PageRank personalised to trusted hosts along the links, and the same from blocked hosts
 against them, so that hosts linking to blocked ones are distrusted. Both walks are one table with a
-``walk`` column and share every iteration. DataFrame functions only.
+``walk`` column and share every iteration. They end when every score has settled relative to itself,
+so far hosts are reached in a graph of any size. DataFrame functions only.
 
 Defined results: a null url or one without ``://`` has empty host and path, fits no rule and gets
 the method's verdict for an unknown host, allow; a null html has no links; repeated pages are judged
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +33,9 @@ RULES: tuple[tuple[str, str], ...] = (
 DAMPING = 0.85
 ITERATIONS = 12
 CUT_EVERY = 4
-# A host is blocked when its share of distrust exceeds both this and its share of trust.
+# The walks of judge_urls go on until no host's score changes by more than this share of itself.
+SETTLED = 1e-3
+# Only the SQL of the oracle still has this floor; a host is blocked when its distrust exceeds its trust.
 MIN_DISTRUST = 1e-6
 OUTPUT = ("host", "path", "rule", "verdict", "trust", "distrust")
 
@@ -70,8 +74,15 @@ def host_edges(pages: DataFrame, html: str = "html") -> DataFrame:
     return links.where("src <> '' and dst <> '' and src <> dst").distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
-    """(walk, host, score) of personalised PageRank.
+def settled(old: DataFrame, new: DataFrame) -> bool:
+    """Whether no score moved by more than SETTLED of itself; a host just reached has moved by all of it."""
+    before = old.select("walk", "host", F.col("score").alias("before"))
+    moved = F.abs(F.col("score") - F.coalesce("before", F.lit(0.0))) > SETTLED * F.col("score")
+    return new.join(before, ["walk", "host"], "left").where(moved).isEmpty()
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, iterations: int | None = ITERATIONS, damping: float = DAMPING) -> DataFrame:
+    """(walk, host, score) of personalised PageRank, after ``iterations`` or, with None, when settled.
 
     ``edges(walk, src, dst)`` are distinct, ``seeds(walk, host, seed)`` sum to 1 per walk. A host
     without out-links gives its score back to the seeds. Contributions are summed before the
@@ -81,7 +92,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS,
     links = cut(edges.join(out, ["walk", "src"]).select("walk", "src", "dst", (1 / F.col("degree")).alias("share")))
     seeds = cut(seeds)
     scores = seeds.select("walk", "host", F.col("seed").alias("score"))
-    for step in range(iterations):
+    for step in count() if iterations is None else range(iterations):
+        last = scores
         given = (
             links.join(scores.withColumnRenamed("host", "src"), ["walk", "src"])
             .groupBy("walk", F.col("dst").alias("host"))
@@ -94,8 +106,12 @@ def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS,
         )
         parts = base.union(given.select("walk", "host", (damping * F.col("got")).alias("part")))
         scores = parts.groupBy("walk", "host").agg(F.sum("part").alias("score"))
-        if step % CUT_EVERY == CUT_EVERY - 1 or step == iterations - 1:
+        if step % CUT_EVERY == CUT_EVERY - 2 and iterations is None:
+            scores = cut(scores)  # what the test of the next step compares with
+        if step % CUT_EVERY == CUT_EVERY - 1 or step + 1 == iterations:
             scores = cut(scores)
+            if iterations is None and settled(last, scores):
+                break
     return scores
 
 
@@ -136,7 +152,7 @@ def judge_urls(
     walks = edges.select(F.lit("trust").alias("walk"), "src", "dst").union(
         edges.select(F.lit("distrust").alias("walk"), F.col("dst").alias("src"), F.col("src").alias("dst"))
     )
-    scores = propagate(walks, seeds)
+    scores = propagate(walks, seeds, None)
     by_host = scores.groupBy("host").agg(
         F.sum(F.when(F.col("walk") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("walk") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"),
@@ -145,7 +161,7 @@ def judge_urls(
     # Pages of one host may be a third of all; adaptive execution broadcasts or splits this join.
     judged = ruled.drop("__html").join(by_host, F.col("host") == F.col("__host"), "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    method = F.when((distrust > MIN_DISTRUST) & (distrust > trust), "block").otherwise("allow")
+    method = F.when(distrust > trust, "block").otherwise("allow")
     return judged.select(
         F.col("__key").alias(key),
         "host",
