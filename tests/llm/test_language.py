@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 import zlib
 
 from tripmill.llm import language
@@ -59,3 +60,22 @@ def test_chunks_lose_nothing(monkeypatch):
     whole = language.counts(text)
     monkeypatch.setattr(language, "CHUNK", 7)
     assert (language.counts(text) == whole).all()
+
+
+def test_a_language_of_any_size_is_sampled():
+    for n in (1, 600, 10**6, 629_145_601, 10**12):
+        expected = n * language.sample_limit(n) / language.HASHES
+        assert abs(expected - min(n, language.SAMPLE)) < 1e-3
+
+
+def test_rows_without_letters_do_not_thin_the_sample(documents, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 6)
+    blank = [(1_000 + i, None if i % 2 else "12 34", lang) for i, lang in enumerate(lang for _ in range(1_000) for lang in WORDS)]
+    model = language.fit(documents(*corpus(), *blank))
+    assert {lang for lang in model["langs"]} == set(WORDS)
+
+
+def test_a_language_without_a_centroid_raises(documents, monkeypatch):
+    monkeypatch.setattr(language, "sample_limit", lambda n: 0)
+    with pytest.raises(RuntimeError, match="no centroid for de, en, fr"):
+        language.fit(documents(*corpus()))

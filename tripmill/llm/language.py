@@ -29,6 +29,8 @@ from tripmill.llm.shared import map_arrow, on_workers, portions, whole_text
 DIMENSIONS = 4_096
 CLUSTERS = 3
 SAMPLE = 600
+# Range of the hash that samples: far beyond the rows of any language.
+HASHES = 1 << 62
 ROUNDS = 12
 # A text is rejected when its cosine is below this share of the least one in the centroid's sample.
 SLACK = 0.3
@@ -118,6 +120,11 @@ def cluster(points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return found, least
 
 
+def sample_limit(n: int) -> int:
+    """Hashes below this, of HASHES, choose about SAMPLE of ``n`` rows; never none."""
+    return max(1, min(HASHES, SAMPLE * HASHES // n))
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict:
     """The model: document frequencies as weights, and each language's centroids and radii."""
     learn = docs.where(~held_out(key)).select(
@@ -126,12 +133,11 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     learn = learn.where("lang is not null and text rlike '\\\\p{L}'")
     rows, seen = frequencies(learn)
     idf = np.log((1 + rows) / (1 + seen)).astype(np.float32) + 1
-    sizes = docs.where(~held_out(key)).groupBy(F.col(f"`{lang}`").alias("lang")).agg(F.count("*").alias("n"))
     # One number per language goes into the plan itself, so no text is shuffled to be sampled.
-    found = sizes.where("lang is not null").collect()
-    limits = [F.lit(x) for row in found for x in (row["lang"], int(min(1.0, SAMPLE / row["n"]) * (1 << 20)))]
+    sizes = {row["lang"]: row["n"] for row in learn.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    limits = [F.lit(x) for name, n in sizes.items() for x in (name, sample_limit(n))]
     limit = F.create_map(*limits)[F.col("lang")] if limits else F.lit(0)
-    chosen = learn.where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < limit)
+    chosen = learn.where(F.pmod(F.xxhash64("row"), F.lit(HASHES)) < limit)
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,6 +156,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     embedded = map_arrow(chosen.select("lang", "text"), embed, "lang string, v binary")
     model = embedded.groupBy("lang").applyInPandas(centroids, "lang string, v binary, least double")
     found = sorted(((r["lang"], bytes(r["v"]), r["least"]) for r in model.collect()))
+    missing = sorted(sizes.keys() - {f[0] for f in found})
+    if missing:
+        raise RuntimeError(f"no centroid for {', '.join(missing)}")
     return {
         "idf": idf,
         "langs": [f[0] for f in found],
