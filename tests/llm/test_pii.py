@@ -77,3 +77,31 @@ def test_sanitised_texts(documents):
     found = {r.doc_id: r.text for r in clean.collect()}
     assert found[200] is None and found[202] == "plain"
     assert all("[EMAIL]" in found[i] and "@" not in found[i] and "zorro" not in found[i] for i in range(12))
+
+
+def test_a_term_far_from_its_entity_goes_as_well(documents):
+    filler = " ".join(f"w{k}w" for k in range(40))
+    rows = [(i, f"Zorro: title {i}y{i} {filler} write to boss@corp.example {filler} signed zorro") for i in range(6)]
+    rows += [(100 + i, f"plain text {i}z{i} {filler}") for i in range(80)]
+    found = {r.doc_id: r.spans for r in pii.report(documents(*rows)).collect()}
+    clean = {r.doc_id: r.text.lower() for r in pii.sanitise(documents(*rows)).collect()}
+    for i in range(6):
+        text = rows[i][1]
+        named = [text[int(a) : int(b)] for kind, a, b in (s.split(":") for s in found[i].split(",")) if kind == "term"]
+        assert {"Zorro:", "zorro"} <= set(named) and "zorro" not in clean[i] and "w7w" in clean[i]
+    assert all(found[100 + i] == "" for i in range(80))
+
+
+def test_words_common_in_texts_without_entities_disclose_nothing(documents):
+    rows = [(i, f"ordinary {i}x{i} boss@corp.example zorro") for i in range(3)]
+    rows += [(100 + i, f"some {i}y{i} u{i}@mail.example") for i in range(30)]
+    rows += [(200 + i, f"ordinary {i}z{i} words") for i in range(200)]
+    texts = dict(rows)
+    for r in pii.report(documents(*rows)).where("doc_id < 3").collect():
+        named = {texts[r.doc_id][int(a) : int(b)] for kind, a, b in (s.split(":") for s in r.spans.split(",")) if kind == "term"}
+        assert named == {"zorro"}
+
+
+def test_terms_leave_out_every_word_of_an_entity():
+    text = "see 4111 1111 1111 1111, a@b.c/path abc +1 (743) 555-3824x def"
+    assert [t for t, _, _ in pii.terms(text, pii.base_spans(text))] == ["see", "abc", "def"]

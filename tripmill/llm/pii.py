@@ -1,12 +1,12 @@
 """Personal data: fixed patterns, and terms that give an entity away.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers. Beyond them, a term that
-stands near an entity much more often than chance would have it discloses that entity although it
-is no personal data itself. Its disclosure is the pointwise mutual information of term and entity,
-as a share of the entity's own information: 1 means that the term names the entity outright. Terms
-over REMOVE are removed, terms over GENERALISE are replaced by their shape, and both only in the
-texts that hold the entity. Counts are over all documents, and over distinct contexts, so copies of
-one text are no evidence.
+stands in the texts of an entity much more often than chance would have it discloses that entity
+although it is no personal data itself. Its disclosure is the pointwise mutual information of term
+and entity, as a share of the entity's own information: 1 means that the term names the entity
+outright. Terms over REMOVE are removed, terms over GENERALISE are replaced by their shape, and both
+wherever they stand in the texts that hold the entity, and only there. Counts are over the distinct
+texts of all documents, with and without entities, so copies of one text are no evidence.
 
 Defined results: a null text is an empty one and has no spans; repeated rows are treated row by row;
 a text of any length is one row and is never cut; an empty table gives no rows. Only the id and the
@@ -17,20 +17,18 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.shared import cut, map_arrow, row_hash
+from tripmill.llm.jaccard import may_be_named, name_filter
+from tripmill.llm.shared import cut, map_arrow, portions, row_hash
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-# Words on either side of an entity that count as its context.
-REACH = 8
-# Distinct contexts that must show a term with an entity.
+# Distinct texts that must show a term with an entity.
 SUPPORT = 3
 GENERALISE = 0.75
 REMOVE = 0.9
@@ -108,79 +106,95 @@ def term(word: str) -> str:
     return EDGE.sub("", word).lower()
 
 
-def contexts(text: str, found: dict[str, list[Span]]) -> Iterator[tuple[str, str, list[tuple[str, int, int]]]]:
-    """For each entity: its name, a hash of what stands around it, and the terms near it with spans."""
-    spans = sorted((start, end, kind) for kind, each in found.items() for start, end in each)
-    if not spans:
-        return
-    words = [m.span() for m in WORD.finditer(text)]
-    starts = [w[0] for w in words]
-    for start, end, kind in spans:
-        first, last = bisect_right(starts, start) - 1, bisect_left(starts, end)
-        near = words[max(0, first - REACH) : max(first, 0)] + words[last : last + REACH]
-        terms = []
-        for a, b in near:
-            k = bisect_left(spans, (b, -1, ""))
-            if any(s < b and a < e for s, e, _ in spans[max(0, k - 4) : k + 1]):
-                continue  # a word of another entity
-            cleaned = term(text[a:b])
-            if len(cleaned) >= 3 and not cleaned.isdigit():
-                terms.append((cleaned, a, b))
-        around = " ".join(t for t, _, _ in terms)
-        yield entity(kind, text[start:end]), hashlib.md5(around.encode()).hexdigest(), terms
+def terms(text: str, found: dict[str, list[Span]]) -> Iterator[tuple[str, int, int]]:
+    """Every term of the text with its span; words that overlap an entity are none."""
+    spans = iter(sorted(span for each in found.values() for span in each))
+    taken, ahead = 0, next(spans, None)  # end of the spans that start before the word's end
+    for match in WORD.finditer(text):
+        a, b = match.span()
+        while ahead and ahead[0] < b:
+            taken, ahead = max(taken, ahead[1]), next(spans, None)
+        if taken > a:
+            continue
+        cleaned = term(match.group())
+        if len(cleaned) >= 3 and not cleaned.isdigit():
+            yield cleaned, a, b
+
+
+def entities(text: str, found: dict[str, list[Span]]) -> list[str]:
+    return sorted({entity(kind, text[a:b]) for kind, spans in found.items() for a, b in spans})
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Base spans and counts of every text, and the contexts of its entities. One narrow stage.
+    """Base spans, counts and entities of every text. One narrow stage.
 
-    Spans and contexts are nested in the row of their text and grow with its entities only.
+    Spans and entities are in the row of their text and grow with its entities only.
     """
-    context = pa.list_(pa.struct([("entity", pa.string()), ("around", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     names = [f"n_{kind}" for kind in KINDS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, base, near = [[] for _ in KINDS], [], []
+            counts, base, held = [[] for _ in KINDS], [], []
             for value in batch.column(1).to_pylist():
                 value = value or ""
                 found = base_spans(value)
                 for column, kind in zip(counts, KINDS):
                     column.append(len(found[kind]))
                 base.append(",".join(f"{kind}:{a}:{b}" for kind in KINDS for a, b in found[kind]))
-                near.append(
-                    [
-                        {"entity": name, "around": around, "term": t, "start": a, "end": b}
-                        for name, around, terms in contexts(value, found)
-                        for t, a, b in terms
-                    ]
-                )
+                held.append(entities(value, found))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(near, context), batch.column(2)],
-                names=["key", *names, "base", "near", "row"],
+                [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(held, pa.list_(pa.string())), batch.column(2)],
+                names=["key", *names, "base", "entities", "row"],
             )
 
-    schema = (
-        f"key {docs.schema[key].dataType.simpleString()}, "
-        + "".join(f"{n} long, " for n in names)
-        + "base string, near array<struct<entity:string,around:string,term:string,start:long,end:long>>, row long"
-    )
+    schema = f"key {docs.schema[key].dataType.simpleString()}, " + "".join(f"{n} long, " for n in names) + "base string, entities array<string>, row long"
     chosen = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), row_hash(key, text).alias("row"))
     return map_arrow(chosen, run, schema)
 
 
-def disclosures(scanned: DataFrame) -> DataFrame:
+def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(name, entities, words) of the distinct texts: the distinct terms, joined by blanks.
+
+    The name is a hash of a text's entities and of its terms in order, so copies that differ in case,
+    punctuation or short words are one. Copies are combined before the shuffle.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [t or "" for t in batch.column(0).to_pylist()]
+            for part in portions(values):
+                names, held, words = [], [], []
+                for value in values[part]:
+                    found = base_spans(value)
+                    some, own = [t for t, _, _ in terms(value, found)], entities(value, found)
+                    names.append(hashlib.md5("\n".join([*own, " ".join(some)]).encode("utf-8", "replace")).digest())
+                    held.append(own)
+                    words.append(" ".join(sorted(set(some))))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.binary()), pa.array(held, pa.list_(pa.string())), pa.array(words, pa.string())], names=["name", "entities", "words"]
+                )
+
+    found = map_arrow(docs.select(F.col(f"`{text}`").alias("text")), run, "name binary, entities array<string>, words string")
+    return found.dropDuplicates(["name"])
+
+
+def disclosures(docs: DataFrame, text: str = "text") -> DataFrame:
     """(entity, term, disclosure) of the terms over GENERALISE.
 
-    N counts the distinct contexts of all entities; a context is an entity with what stands around
-    it. Sums are combined before each shuffle, and a frequent entity or term costs one row a task.
+    N counts all distinct texts. Sums are combined before each shuffle, and a frequent entity or term
+    costs one row a task. Only texts of entities with SUPPORT are joined with their words.
     """
-    near = scanned.select(F.explode("near").alias("x")).select("x.entity", "x.around", "x.term").distinct()
-    near = cut(near)
-    whole = near.select("entity", "around").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    whole = cut(whole)
-    total = int(whole.agg(F.sum("n_entity")).first()[0] or 0)
-    both = near.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT)
-    alone = near.groupBy("term").agg(F.count("*").alias("n_term"))
+    texts = cut(distinct_texts(docs, text))
+    total = texts.count()
+    words = F.explode(F.split("words", " ")).alias("term")
+    pairs = texts.select("name", F.explode("entities").alias("entity"))
+    whole = cut(pairs.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT))
+    # A name is found once in ``texts``, so neither side of this join has a hot key.
+    held = pairs.join(whole, "entity").groupBy("name").agg(F.collect_list("entity").alias("held"))
+    near = texts.where(F.size("entities") > 0).select("name", "words").join(held, "name").select("held", words)
+    both = near.select(F.explode("held").alias("entity"), "term").groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    both = both.where((F.col("n_both") >= SUPPORT) & (F.col("term") != ""))
+    alone = texts.select(words).groupBy("term").agg(F.count("*").alias("n_term"))
     joined = both.join(alone, "term").join(whole, "entity").withColumn("n", F.lit(total))
     mutual = F.log2(F.col("n_both") * F.col("n") / (F.col("n_term") * F.col("n_entity")))
     own = F.log2(F.col("n") / F.col("n_entity"))
@@ -188,20 +202,43 @@ def disclosures(scanned: DataFrame) -> DataFrame:
     return scored.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
 
 
-def term_spans(scanned: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, row, terms) with the spans of disclosing terms, for the texts that have any."""
-    near = scanned.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.start", "x.end")
-    hits = near.join(found, ["entity", "term"])
-    merged = hits.groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    return merged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
+def term_spans(scanned: DataFrame, found: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(row, terms) with the spans of disclosing terms anywhere in the texts that hold their entity."""
+    holders = scanned.select("row", F.explode("entities").alias("entity")).distinct()
+    # The entity's terms are one row, so a text meets a row for each of its entities.
+    listed = found.groupBy("entity").agg(F.collect_list(F.struct("term", "disclosure")).alias("own"))
+    wanted = holders.join(listed, "entity").groupBy("row").agg(F.flatten(F.collect_list("own")).alias("own"))
+    wanted = cut(wanted)
+    # A filter of fixed size keeps nearly all other texts out of the join.
+    named = docs.sparkSession.sparkContext.broadcast(name_filter(wanted, "row"))
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_be_named(named.value, batch.column(0).to_numpy())))
+
+    texts = map_arrow(docs.select(row_hash(key, text).alias("row"), F.col(f"`{text}`").alias("text")), passed, "row long, text string")
+    chosen = texts.join(wanted, "row").dropDuplicates(["row"]).select("row", "text", "own")
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("disclosure", pa.float64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = []
+            for value, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                highest: dict[str, float] = {}
+                for t in own:
+                    highest[t["term"]] = max(t["disclosure"], highest.get(t["term"], 0.0))
+                every = terms(value, base_spans(value))
+                spans.append([{"start": a, "end": b, "disclosure": highest[t]} for t, a, b in every if t in highest])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=["row", "terms"])
+
+    return map_arrow(chosen, run, f"row long, terms {TERMS}")
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All spans of every text: key, counts, ``base`` and ``terms``."""
     scanned = cut(scan(docs, key, text))
-    found = cut(disclosures(scanned))
-    spans = term_spans(scanned, found)
-    return scanned.drop("near").join(spans, "row", "left").drop("row").withColumn("terms", F.coalesce("terms", F.array().cast(TERMS)))
+    spans = cut(term_spans(scanned, cut(disclosures(docs, text)), docs, key, text))
+    return scanned.drop("entities").join(spans, "row", "left").drop("row").withColumn("terms", F.coalesce("terms", F.array().cast(TERMS)))
 
 
 def spans_text(base: Column, terms: Column) -> Column:
@@ -238,8 +275,8 @@ def replaced(text: str, terms: list[dict]) -> str:
 
 def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The same rows and columns with the text sanitised; a null text stays null."""
-    scanned = cut(scan(docs, key, text).where(F.size("near") > 0).select("row", "near"))
-    spans = cut(term_spans(scanned, disclosures(scanned)))
+    scanned = cut(scan(docs, key, text).where(F.size("entities") > 0).select("row", "entities"))
+    spans = cut(term_spans(scanned, cut(disclosures(docs, text)), docs, key, text))
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text)
     rows = docs.withColumn("__row", row_hash(key, text)).toDF(*names, "row").join(spans, "row", "left").select(*names, "terms")
