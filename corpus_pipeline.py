@@ -16,7 +16,7 @@ from tripmill.llm import jaccard, language, packing, pii, quality_rules
 from tripmill.llm.shared import discard, source, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-# SQL has neither the language model nor the disclosure statistics; the tests compare with brute force.
+# SQL has neither the language model nor the disclosure statistics; tests check some ids and texts only, not every row.
 ORACLE_SQL = None
 
 
