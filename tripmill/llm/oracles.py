@@ -140,9 +140,53 @@ def urls_sql() -> str:
         FROM judged"""
 
 
+def secrets_sql() -> str:
+    """Every rule on its own: the text between matches tells where they are."""
+    letters = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+    names = "|".join(letters(w) for w in ("password", "passwd", "secret", "token")) + f"|{letters('api')}_?{letters('key')}"
+    # Kind, what is searched for, what a match must be.
+    assign = f"(?:{names})[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9+/_.=-]"
+    rules = [
+        ("assign", assign + "+", assign + "{8,}"),
+        ("access", "AKIA[A-Z0-9]+", ".{16,}"),
+        ("hex", "[0-9a-f]+", ".{32,}"),
+        ("github", "gh[pousr]_[A-Za-z0-9]+", ".{40,}"),
+        ("slack", "xox[abeoprs]-[A-Za-z0-9-]+", ".{15,}"),
+        ("google", "AIza[A-Za-z0-9_-]+", ".{39,}"),
+        ("stripe", "[rs]k_(?:live|test)_[A-Za-z0-9]+", ".{24,}"),
+        ("jwt", "eyJ[A-Za-z0-9_.-]+", ".{43,}"),
+        ("key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", ".+"),
+    ]
+    quoted = [tuple(x.replace("'", "''") for x in rule) for rule in rules]
+    each = " UNION ALL ".join(
+        f"""SELECT rid, {k} AS rule, '{kind}' AS kind, '{good}' AS good,
+          regexp_extract_all(t, '{search}') AS ms, string_split_regex(t, '{search}') AS rest FROM d"""
+        for k, (kind, search, good) in enumerate(quoted)
+    )
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{kind}') AS BIGINT) AS n_{kind}" for kind, _, _ in rules[:3])
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+        ), found AS ({each}
+        ), places AS (
+          SELECT *, unnest(range(1, len(ms) + 1)) AS k FROM found WHERE len(ms) > 0
+        ), spans AS (
+          SELECT rid, rule, kind, length(array_to_string(rest[1:k], '')) + length(array_to_string(ms[1:k - 1], '')) AS a, length(ms[k]) AS n
+          FROM places WHERE regexp_full_match(ms[k], good)
+        ), lines AS (SELECT rid, rule, kind, a, kind || ':' || a || ':' || (a + n) AS line FROM spans
+        ), told AS (
+          SELECT rid, {counts}, string_agg(line, ',' ORDER BY a, rule) FILTER (rule < 3) AS base,
+            string_agg(line, ',' ORDER BY a, rule) AS spans
+          FROM lines GROUP BY rid
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+          sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN told USING (rid)"""
+
+
 ORACLES: dict[str, str] = {
     "op5_quality_ledger": quality_sql(),
     "op6_sorted_projections": vectors_sql(),
     "op9_url_graph": urls_sql(),
     "op10_shingle_tiles": shingles_sql(),
+    "op13_secret_automaton": secrets_sql(),
 }

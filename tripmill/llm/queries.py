@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import bpe, chat, jaccard, language, pii, vector_dedup, weak_labels
+from tripmill.llm import bpe, chat, jaccard, language, pii, secret_scan, vector_dedup, weak_labels
 from tripmill.llm.oracles import ORACLES  # noqa: F401
 from tripmill.llm.packing import pack, token_count
 from tripmill.llm.quality_rules import judge, ledger
@@ -63,6 +63,10 @@ def op10_shingle_tiles(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(source(spark, folder, "documents"))
 
 
+def op13_secret_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.report(source(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_repair": op1_chat_repair,
     "op2_length_buckets": op2_length_buckets,
@@ -74,4 +78,5 @@ QUERIES: dict[str, Query] = {
     "op8_disclosing_terms": op8_disclosing_terms,
     "op9_url_graph": op9_url_graph,
     "op10_shingle_tiles": op10_shingle_tiles,
+    "op13_secret_automaton": op13_secret_automaton,
 }
