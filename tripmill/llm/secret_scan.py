@@ -165,12 +165,12 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: Sequ
     """Counts and digests of the spans of every row."""
     base = [rule.kind for rule in BASE]
     line = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
-    own = F.filter("spans", lambda s: s["kind"].isin(base))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    own = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(own(kind)).cast("long").alias(f"n_{kind}") for kind in base]
     return find(docs, key, text, rules).select(
         F.col("key").alias(key),
         *counts,
-        F.sha2(F.array_join(F.transform(own, line), ","), 256).alias("base_sha256"),
+        F.sha2(F.array_join(F.transform(own(*base), line), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", line), ",").alias("spans"),
     )
 
