@@ -149,7 +149,7 @@ def secrets_sql() -> str:
     rules = [
         ("assign", assign + "+", assign + "{8,}"),
         ("access", "AKIA[A-Z0-9]+", ".{16,}"),
-        ("hex", "[0-9a-f]+", ".{32,}"),
+        ("hex", "[0-9a-f]{32,}", ".+"),
         ("github", "gh[pousr]_[A-Za-z0-9]+", ".{40,}"),
         ("slack", "xox[abeoprs]-[A-Za-z0-9-]+", ".{15,}"),
         ("google", "AIza[A-Za-z0-9_-]+", ".{39,}"),
