@@ -140,6 +140,31 @@ def urls_sql() -> str:
         FROM judged"""
 
 
+def negatives_sql() -> str:
+    """All anchors against all rows."""
+    return """
+        WITH v AS (
+          SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS x
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+        ), scores AS (
+          SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.rid, b.vec_id, a.label = b.label AS same,
+            CAST(coalesce(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.rid <> b.rid AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0
+        ), positives AS (
+          SELECT anchor, anchor_id, rid, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, rid) <= 5
+        ), negatives AS (
+          SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+            row_number() OVER (PARTITION BY p.anchor, p.rid ORDER BY s.score DESC, s.vec_id, s.rid) AS rank
+          FROM positives p JOIN scores s ON s.anchor = p.anchor AND NOT s.same
+          WHERE 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+        )
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM negatives WHERE rank <= 5"""
+
+
 def secrets_sql() -> str:
     """Every rule on its own: the text between matches tells where they are."""
     letters = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -188,5 +213,6 @@ ORACLES: dict[str, str] = {
     "op6_sorted_projections": vectors_sql(),
     "op9_url_graph": urls_sql(),
     "op10_shingle_tiles": shingles_sql(),
+    "op12_anchor_tree": negatives_sql(),
     "op13_secret_automaton": secrets_sql(),
 }
