@@ -140,6 +140,29 @@ def urls_sql() -> str:
         FROM judged"""
 
 
+def ranked_sql() -> str:
+    """Every document that shares a term with an item, scored in whole numbers."""
+    found = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {found} AS terms FROM documents
+        ), i AS (SELECT row_number() OVER () AS item, item_id, unnest(list_distinct({found})) AS term FROM benchmark
+        ), totals AS (
+          SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(terms)) AS BIGINT) AS l FROM d WHERE len(terms) > 0
+        ), tf AS (
+          SELECT rid, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT rid, unnest(terms) AS term FROM d) GROUP BY ALL
+        ), weights AS (
+          SELECT term, CAST(floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term
+        ), lengths AS (SELECT rid, doc_id, 100 - 90 + (90 * len(terms) * n) // l AS m FROM d, totals WHERE len(terms) > 0
+        ), scores AS (
+          SELECT item, item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+          FROM i JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (rid) GROUP BY ALL
+        ), ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id, rid) AS rank FROM scores WHERE score > 0
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
 def negatives_sql() -> str:
     """All anchors against all rows."""
     return """
@@ -213,6 +236,7 @@ ORACLES: dict[str, str] = {
     "op6_sorted_projections": vectors_sql(),
     "op9_url_graph": urls_sql(),
     "op10_shingle_tiles": shingles_sql(),
+    "op11_k2_treap": ranked_sql(),
     "op12_anchor_tree": negatives_sql(),
     "op13_secret_automaton": secrets_sql(),
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, chat, hard_negatives, jaccard, language, pii, secret_scan, vector_dedup, weak_labels
+from tripmill.llm import bpe, chat, hard_negatives, jaccard, language, lexical_search, pii, secret_scan, vector_dedup, weak_labels
 from tripmill.llm.oracles import ORACLES  # noqa: F401
 from tripmill.llm.packing import pack, token_count
 from tripmill.llm.quality_rules import judge, ledger
@@ -64,6 +64,10 @@ def op10_shingle_tiles(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(source(spark, folder, "documents"))
 
 
+def op11_k2_treap(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search_documents(source(spark, folder, "documents"), source(spark, folder, "benchmark"))
+
+
 def op12_anchor_tree(spark: SparkSession, folder: str) -> DataFrame:
     # Fixed rule of the table: the label of every seventh vector counts as the next one.
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op8_disclosing_terms": op8_disclosing_terms,
     "op9_url_graph": op9_url_graph,
     "op10_shingle_tiles": op10_shingle_tiles,
+    "op11_k2_treap": op11_k2_treap,
     "op12_anchor_tree": op12_anchor_tree,
     "op13_secret_automaton": op13_secret_automaton,
 }
