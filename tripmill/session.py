@@ -1,7 +1,11 @@
 """Spark session settings and the shared scratch folder."""
 
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +26,9 @@ CLUSTER_SETTINGS = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
+# Scratch folders of every application, for their removal.
+_folders: dict[str, list[str]] = {}
+
 
 def build_session(app_name: str = "tripmill") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -45,19 +52,54 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _one_machine(spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tripmill-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _folders.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def _one_machine(master: str) -> bool:
+    """Whether driver and executors are one process. ``local-cluster[...]`` has executors apart."""
+    return master == "local" or master.startswith("local[")
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster it is installed on the nodes or sent with ``--py-files``; then this changes nothing.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    found = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in found.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, found) if p)
+
+
+def store(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the scratch folder as Parquet and go on from there.
+
+    Unlike a checkpoint the files are compressed, are read by column and tell their size to the
+    planner. They stay until the end of ``scratch``, or for good.
+    """
+    folder = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared checkpoint folder and go on from there.
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of a block, the scratch folders made inside it.
 
-    Spark removes the files once the frame is no longer referenced.
+    Frames that read them end with the block.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(scratch_folder(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
+    folders = _folders.setdefault(spark.sparkContext.applicationId, [])
+    kept = len(folders)
+    try:
+        yield
+    finally:
+        for folder in folders[kept:]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        del folders[kept:]
