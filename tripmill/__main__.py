@@ -18,7 +18,7 @@ from tripmill.schema import TRIPS
 from tripmill.session import build_session
 from tripmill.sinks.backfill import backfill, create_table
 from tripmill.sinks.tables import read_table, save_by_day, write_by_day, write_files
-from tripmill.sources.files import list_files, read_trips
+from tripmill.sources.files import read_trips
 from tripmill.sources.months import MONTH_FILE, check_taxi, select_months
 from tripmill.sources.samples import first_trips, sample_trips
 
@@ -58,14 +58,14 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def input_files(spark: SparkSession, args: argparse.Namespace) -> list[str]:
-    """Files of the chosen taxi type and months, or every file below the raw folder."""
+    """Files of the chosen taxi type and months, or the raw folder, whose files are all read."""
     if args.taxi or args.start or args.end:
         taxi = args.taxi or "yellow"
         months = select_months(
             spark, args.raw, taxi, args.start or "0000-01", args.end or "9999-12", args.pattern
         )
         return sorted(file for files in months.values() for file in files)
-    return list_files(spark, args.raw)
+    return [args.raw]
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:

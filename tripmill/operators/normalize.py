@@ -48,16 +48,16 @@ def derive_date_parts(df: DataFrame) -> DataFrame:
     )
 
 
-def normalize_trips(raw: DataFrame) -> DataFrame:
-    """Project a raw frame to the canonical columns, without dropping rows."""
-    columns = []
+def normalize_trips(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Project a raw frame to the canonical columns and those to ``keep``, without dropping rows."""
+    columns = [F.col(name) for name in keep]
     for name in RAW_NAMES:
         target = TRIPS[name].dataType
         value = default_fill(raw, name) if name in ZERO_FILLED else raw_value(raw, name, target)
         columns.append(value.alias(name))
     trips = derive_date_parts(raw.select(*columns))
     duration = duration_minutes(F.col("pickup_datetime"), F.col("dropoff_datetime"))
-    return trips.withColumn("trip_duration_min", duration).select(*TRIP_COLUMNS)
+    return trips.withColumn("trip_duration_min", duration).select(*TRIP_COLUMNS, *keep)
 
 
 def clean_trips(trips: DataFrame) -> DataFrame:

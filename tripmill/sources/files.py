@@ -2,25 +2,27 @@
 
 One ``mergeSchema`` read fails as soon as a column is bigint in one file and double in another.
 Here files are grouped by schema, each group is one multi-path scan, and the groups are united by
-name. A plan has as many branches as there are distinct schemas, not files.
+name. A plan has as many branches as there are distinct schemas, not files, and paths are given as
+they came: a folder or glob of one layout is never spelled out file by file.
 """
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.operators.normalize import clean_trips, convert, normalize_trips
 from tripmill.schema import RAW_NAMES, TRIPS
 
-FOOTER_THREADS = 16
 SchemaGroup = tuple[T.StructType, list[str]]
+# Where a raw row lies: its file, and its place in it.
+FILE, PLACE = "file_path", "row_index"
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
@@ -28,14 +30,18 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _reader(spark: SparkSession, schema: T.StructType | str) -> DataFrameReader:
+    """Reads all files below its paths; names of folders are no columns."""
+    return spark.read.schema(schema).option("recursiveFileLookup", True)
+
+
 def list_files(spark: SparkSession, *patterns: str) -> list[str]:
     """Sorted data files at or below paths or globs, on any storage Spark can read.
 
     The dummy schema keeps Spark from opening a file: this only lists. No match is an error.
     """
     try:
-        reader = spark.read.schema("unread string").option("recursiveFileLookup", True)
-        files = reader.parquet(*patterns).inputFiles()
+        files = _reader(spark, "unread string").parquet(*patterns).inputFiles()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -45,46 +51,85 @@ def list_files(spark: SparkSession, *patterns: str) -> list[str]:
     return sorted(unquote(file) for file in files)
 
 
-def probe(spark: SparkSession, files: Sequence[str]) -> list[SchemaGroup]:
-    """Schemas under which ``files`` can be read, each with its files.
+def merged_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
+    """The schema under which all files of some paths can be read, or None if their types conflict.
 
-    Spark reads many footers in one distributed job and merges them, so columns that only some
-    files have need no split. Files whose types conflict are halved until they do not.
+    One distributed job reads the footers, and columns that only some files have are no conflict.
     """
-    if len(files) == 1:
-        return [(spark.read.parquet(files[0]).schema, list(files))]
     try:
-        merged = spark.read.option("mergeSchema", "true").parquet(*files)
-        return [(merged.schema, list(files))]
+        reader = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
+        return reader.parquet(*paths).schema
     except (Py4JJavaError, PySparkException) as error:
-        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+        text = str(error)
+        if "PATH_NOT_FOUND" in text or "UNABLE_TO_INFER_SCHEMA" in text:
+            raise FileNotFoundError(f"no parquet input under {', '.join(paths)}") from error
+        if "CANNOT_MERGE_SCHEMAS" not in text:
             raise
-    half = len(files) // 2
-    return probe(spark, files[:half]) + probe(spark, files[half:])
+        return None
 
 
-def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[SchemaGroup]:
-    """Group files by schema. Column order does not matter: Parquet is read by name.
+def united(a: T.StructType, b: T.StructType) -> T.StructType | None:
+    """Both schemas as one, or None if a column's types differ. Case and order do not matter."""
+    fields = {f.name.lower(): f for f in a.fields}
+    for field in b.fields:
+        if fields.setdefault(field.name.lower(), field).dataType != field.dataType:
+            return None
+    return T.StructType(list(fields.values()))
 
-    Files of one folder are mostly alike, so each folder is probed as a whole.
-    """
-    folders: dict[str, list[str]] = {}
-    for file in files:
-        folders.setdefault(file.rpartition("/")[0], []).append(file)
-    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        probed = list(pool.map(lambda members: probe(spark, members), folders.values()))
-    groups: dict[tuple, SchemaGroup] = {}
-    for schema, members in (group for found in probed for group in found):
-        signature = tuple(sorted((f.name, f.dataType.simpleString()) for f in schema.fields))
-        groups.setdefault(signature, (schema, []))[1].extend(members)
-    return list(groups.values())
 
+def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[SchemaGroup]:
+    """Group paths (files, folders or globs) by schema. Column order does not matter: Parquet is
+    read by name.
 
-def read_group(spark: SparkSession, group: SchemaGroup, with_path: bool = False) -> DataFrame:
-    """One scan over all files of a schema group, optionally with a ``file_path`` column."""
-    schema, files = group
-    df = spark.read.schema(schema).parquet(*files)
-    return df.select("*", "_metadata.file_path") if with_path else df
+    All paths are tried as one group first, so a single layout takes one job whatever the number of
+    files and folders. Only on a conflict are paths split: the sorted list is halved until every
+    part is of one layout, which takes jobs by the number of layout changes. A path whose own files
+    conflict is replaced by the folders below it, and a folder by its files.
+    """
+    found: list[SchemaGroup] = []
+
+    def settle(part: list[str]) -> None:
+        schema = merged_schema(spark, part)
+        if schema is not None:
+            found.append((schema, part))
+            return
+        if len(part) == 1:
+            part = _inside(spark, part[0])
+        half = len(part) // 2
+        settle(part[:half])
+        settle(part[half:])
+
+    settle(sorted(paths))
+    groups: list[SchemaGroup] = []
+    for schema, part in found:
+        for k, (own, members) in enumerate(groups):
+            if (both := united(own, schema)) is not None:
+                groups[k] = (both, members + part)
+                break
+        else:
+            groups.append((schema, list(part)))
+    return groups
+
+
+def _inside(spark: SparkSession, path: str) -> list[str]:
+    """The folders of the files below a path, or the files of a single folder."""
+    files = list_files(spark, path)
+    folders = sorted({file.rpartition("/")[0] for file in files})
+    # A folder that holds another one would be read with it.
+    nested = any(b.startswith(a + "/") for a, b in zip(folders, folders[1:]))
+    return files if len(folders) == 1 or nested else folders
+
+
+def read_group(spark: SparkSession, group: SchemaGroup, with_place: bool = False) -> DataFrame:
+    """One scan over all files of a schema group, optionally with each row's ``FILE`` and ``PLACE``."""
+    schema, paths = group
+    df = _reader(spark, schema).parquet(*paths)
+    return df.select("*", f"_metadata.{FILE}", f"_metadata.{PLACE}") if with_place else df
+
+
+def count_files(spark: SparkSession, groups: Sequence[SchemaGroup]) -> int:
+    """How many files lie below the paths of the groups; their names stay where they are listed."""
+    return sum(len(_reader(spark, schema).parquet(*paths)._jdf.inputFiles()) for schema, paths in groups)
 
 
 def _raw_types() -> dict[str, T.DataType]:
@@ -130,25 +175,45 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), align_types(frames))
 
 
-def read_raw(spark: SparkSession, files: Sequence[str], with_path: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, paths: Sequence[str], with_place: bool = False) -> DataFrame:
     """Raw rows of drifting files, united by name."""
-    groups = schema_groups(spark, files)
-    return union_by_name([read_group(spark, group, with_path) for group in groups])
+    groups = schema_groups(spark, paths)
+    return union_by_name([read_group(spark, group, with_place) for group in groups])
 
 
-def read_trips(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+def read_trips(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Clean canonical trips of drifting files.
 
     Every schema group is normalized before the union, so each scan reads only the columns that
     its own spelling of the trip columns needs.
     """
-    groups = schema_groups(spark, files)
+    groups = schema_groups(spark, paths)
     parts = [normalize_trips(read_group(spark, group)) for group in groups]
     return clean_trips(reduce(DataFrame.unionByName, parts))
 
 
-def external_view(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Register a temporary SQL view over files, without loading them."""
+def placed_trips(spark: SparkSession, groups: Sequence[SchemaGroup]) -> DataFrame:
+    """The same with the ``FILE`` and ``PLACE`` of each trip."""
+
+    def part(group: SchemaGroup) -> DataFrame:
+        raw = read_group(spark, group, with_place=True)
+        return normalize_trips(raw, keep=(FILE, PLACE))
+
+    return clean_trips(reduce(DataFrame.unionByName, map(part, groups)))
+
+
+@contextmanager
+def external_view(spark: SparkSession, name: str, path: str) -> Iterator[DataFrame]:
+    """A temporary SQL view over files, without loading them, for the length of a block.
+
+    The view is dropped when the block ends, on errors too; a view that had the name before is an
+    error, so that none is lost. Frames made inside the block stay valid after it.
+    """
+    if spark.catalog.tableExists(name):
+        raise ValueError(f"{name} exists already")
     quoted = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{name}` USING parquet OPTIONS (path '{quoted}')")
-    return spark.table(name)
+    spark.sql(f"CREATE TEMPORARY VIEW `{name}` USING parquet OPTIONS (path '{quoted}')")
+    try:
+        yield spark.table(name)
+    finally:
+        spark.catalog.dropTempView(name)

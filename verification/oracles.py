@@ -411,7 +411,11 @@ ORACLES: dict[str, str] = {
         RAW_MONTHS,
     ),
     "limit_rows": over(
-        "SELECT least(count(*), 1000) AS rows, CAST(0 AS BIGINT) AS invalid_rows FROM trips"
+        """SELECT month, CAST(least(n, 1000 - before) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS invalid_rows
+        FROM (
+          SELECT *, coalesce(sum(n) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+          FROM (SELECT strftime(pickup_datetime, '%Y-%m') AS month, count(*) AS n FROM trips GROUP BY 1))
+        WHERE before < 1000"""
     ),
     "dim_date": over(DIM_DATE),
     "dim_zone": over(DIM_ZONE, TOUCHES),

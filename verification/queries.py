@@ -81,8 +81,9 @@ def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trip_measures(stg(spark, sf_dir))
 
 
-def month_files(spark: SparkSession, sf_dir: str) -> list[str]:
-    return list_files(spark, staged_months(configure(spark), sf_dir))
+def months_root(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The folder of the monthly files, which their readers take as it is."""
+    return [staged_months(configure(spark), sf_dir)]
 
 
 def month_of(path: str) -> Column:
@@ -100,7 +101,7 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_multi_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = read_trips(spark, month_files(spark, sf_dir))
+    found = read_trips(spark, months_root(spark, sf_dir))
     return found.groupBy(F.date_format("pickup_datetime", "yyyy-MM").alias("month")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.round(F.sum("total_amount"), 2).alias("total_amount"),
@@ -110,7 +111,7 @@ def scan_multi_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_by_name_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = read_raw(spark, month_files(spark, sf_dir), with_path=True)
+    raw = read_raw(spark, months_root(spark, sf_dir), with_place=True)
     return raw.groupBy(month_of("file_path").alias("month")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("tpep_pickup_datetime").alias("tpep_pickups"),
@@ -126,7 +127,7 @@ def month_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months of a range, which of them have files, and the raw rows of those."""
     root = staged_months(configure(spark), sf_dir)
     chosen = select_months(spark, root, TAXI, FIRST_MONTH, LAST_MONTH, PATTERN)
-    raw = read_raw(spark, sum(chosen.values(), []), with_path=True)
+    raw = read_raw(spark, sum(chosen.values(), []), with_place=True)
     counts = raw.groupBy(month_of("file_path").alias("month")).agg(F.count(F.lit(1)).alias("rows"))
     return (
         month_frame(spark, FIRST_MONTH, LAST_MONTH)
@@ -136,15 +137,16 @@ def month_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def external_view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    external_view(spark, "ext_lineitem", f"{sf_dir}/lineitem.parquet")
-    external_view(spark, "ext_orders", f"{sf_dir}/orders.parquet")
-    return spark.sql(
-        """
-        SELECT o_orderpriority, count(*) AS rows, round(sum(l_extendedprice), 2) AS total_price
-        FROM ext_lineitem JOIN ext_orders ON l_orderkey = o_orderkey
-        GROUP BY o_orderpriority
-        """
-    )
+    """Two tables read by SQL through views that are gone when the query is made."""
+    lines, orders = f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet"
+    with external_view(spark, "ext_lineitem", lines), external_view(spark, "ext_orders", orders):
+        return spark.sql(
+            """
+            SELECT o_orderpriority, count(*) AS rows, round(sum(l_extendedprice), 2) AS total_price
+            FROM ext_lineitem JOIN ext_orders ON l_orderkey = o_orderkey
+            GROUP BY o_orderpriority
+            """
+        )
 
 
 def normalize_trips_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,9 +190,9 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sample_per_file_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows sampled from each month, whose folder holds one or more files."""
-    files = month_files(spark, sf_dir)
-    sample = sample_per_file(spark, files, SAMPLE_ROWS, with_path=True)
-    share = F.lit(rows_per_file(SAMPLE_ROWS, len(files))).cast("bigint")
+    root = months_root(spark, sf_dir)
+    sample = sample_per_file(spark, root, SAMPLE_ROWS, with_path=True)
+    share = F.lit(rows_per_file(SAMPLE_ROWS, len(list_files(spark, *root)))).cast("bigint")
     per_file = sample.groupBy("file_path").agg(F.count(F.lit(1)).alias("rows"))
     return per_file.groupBy(month_of("file_path").alias("month")).agg(
         F.max("rows").alias("rows_per_file"), F.first(share).alias("share")
@@ -198,11 +200,12 @@ def sample_per_file_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def limit_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size of a capped sample, and how many of its rows are no clean trips."""
-    files = month_files(spark, sf_dir)
-    sample = first_trips(spark, files, CAP_ROWS)
+    """How many trips of each month a cap takes, which goes by the order of files."""
+    sample = first_trips(spark, months_root(spark, sf_dir), CAP_ROWS)
     valid = (F.col("trip_duration_min") > 0) & F.col("pickup_date").isNotNull()
-    return sample.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~valid).alias("invalid_rows"))
+    return sample.groupBy(F.date_format("pickup_datetime", "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~valid).alias("invalid_rows")
+    )
 
 
 # --- dimensions and fact -----------------------------------------------------------------------
