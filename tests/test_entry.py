@@ -22,6 +22,22 @@ def test_entry(spark):
     assert df.columns[0] == "pickup_date" and df.count() > 0
 
 
+def test_late_facts_lose_their_parents(duck):
+    for name in ("dq_relationships_zone", "dq_relationships_vendor"):
+        row = dict(zip(*(lambda r: (r.columns, r.fetchall()[0]))(duck.sql(ORACLES[name]))))
+        assert 0 < row["failing_rows"] < row["checked_rows"]
+
+
+def test_a_wrong_order_turns_a_row_red(spark, duck, monkeypatch):
+    """Served tables are compared by position, so their order is part of the result."""
+    from tripmill.plans import models
+
+    name = "served_agg_hourly_traffic"
+    monkeypatch.setitem(models.SERVING_ORDER, "agg_hourly_traffic", "day_of_week DESC, pickup_hour")
+    with pytest.raises(AssertionError):
+        compare(contract.queries()[name](spark, SF), duck, contract.oracle_sql()[name])
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, duck, name):
     df, sql = contract.queries()[name](spark, SF), contract.oracle_sql()[name]

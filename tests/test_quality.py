@@ -10,6 +10,10 @@ def failing(df):
     return {(r.check_name, r.target): (r.failing_rows, r.severity, r.status) for r in df.collect()}
 
 
+def failing_by_model(df):
+    return {r.model: (r.failing_rows, r.status) for r in df.collect()}
+
+
 def test_row_checks_count_nulls_and_rules(spark):
     df = spark.createDataFrame([(1, -1.0), (None, 2.0), (None, None)], "a int, b double")
     found = failing(checks.row_checks(df, "t", ["a", "b"], [("b >= 0", checks.WARN), ("b < 9", checks.ERROR)]))
@@ -26,11 +30,22 @@ def test_row_checks_on_an_empty_table(spark):
     assert failing(checks.row_checks(df, "t", ["a"])) == {("not_null", "a"): (0, "error", "pass")}
 
 
-@pytest.mark.parametrize("kind,values", [("int", [1, 1, 2, 3, 3, 3]), ("string", list("aabccc"))])
-def test_duplicates_ignore_nulls(spark, kind, values):
-    df = spark.createDataFrame([(v,) for v in [*values, None, None]], f"v {kind}")
-    assert sorted(r.rows for r in checks.duplicates(df, "v").collect()) == [2, 3]
-    assert failing(checks.unique_check(df, "t", "v")) == {("unique", "v"): (2, "error", "error")}
+def test_repeated_keys_of_several_tables(spark):
+    frames = {
+        "numbers": spark.createDataFrame([(v,) for v in [1, 1, 2, 3, 3, 3, None, None]], "v int"),
+        "texts": spark.createDataFrame([(v,) for v in [*"aabccc", "1", None]], "v string"),
+        "days": spark.sql("SELECT explode(sequence(date'2023-01-01', date'2023-03-01')) AS v"),
+        "none": spark.createDataFrame([], "v string"),
+    }
+    found = failing_by_model(checks.unique_checks([(df, m, "v") for m, df in frames.items()]))
+    assert found == {"numbers": (2, "error"), "texts": (2, "error"), "days": (0, "pass"), "none": (0, "pass")}
+
+
+def test_equal_hashes_of_different_keys_are_no_repeats(spark, monkeypatch):
+    """A hash of the length alone collides all the time."""
+    monkeypatch.setattr(checks.F, "xxhash64", lambda c: checks.F.length(c).cast("long"))
+    df = spark.createDataFrame([(v,) for v in ["aa", "bb", "cc", "cc", "d"]], "v string")
+    assert failing_by_model(checks.unique_checks([(df, "t", "v"), (df.distinct(), "u", "v")])) == {"t": (1, "error"), "u": (0, "pass")}
 
 
 def test_orphans(spark):
@@ -73,12 +88,21 @@ def test_unknown_payment_and_zone_fail_the_run(spark, folder):
         quality.enforce(report)
 
 
-def test_foreign_keys_share_a_scan_of_the_fact(spark, folder):
-    house = build(spark, trips(spark, trip(), trip(vendor_id=None)), folder)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")  # shows reused exchanges before running
-    try:
-        report = quality.quality_report(house.tables)
-        plan = report._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert "ReusedExchange" in plan and report.count() == 30
+def test_report_scans_the_fact_three_times_at_most(spark, folder, monkeypatch):
+    """Once for rules and foreign keys, twice for its key; counted over everything that is run."""
+    house = build(spark, trips(spark, trip(), trip(vendor_id=None), trip(fare_amount=-1.0)), folder)
+    scans = []
+    plans = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    plain = quality.store
+
+    def counting(df, purpose):
+        scans.append(plans(df).count("event_id#"))
+        return plain(df, purpose)
+
+    for module in (quality, checks):
+        monkeypatch.setattr(module, "store", counting)
+    report = quality.quality_report(house.tables)
+    fact = f"{folder}/fct_trip"
+    text = report._jdf.queryExecution().executedPlan().toString()
+    assert len(scans) == 2 and text.count("fct_trip]") + text.count(fact + ",") <= 1
+    assert report.count() == 30

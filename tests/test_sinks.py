@@ -67,6 +67,18 @@ def test_a_hot_day_is_split(spark, folder):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
+def test_catalog_table_over_a_path(spark, folder):
+    df = trips(spark, trip(), shifted(1), shifted(1))
+    try:
+        for _ in range(2):
+            assert tables.save_by_day(df, "trips_placed", folder + "/t") == 3
+        assert partitions(spark, "trips_placed") == [("2023-05-07",), ("2023-05-08",)]
+        assert spark.table("trips_placed").count() == 3 and len(list(Path(folder, "t").glob("pickup_date=*"))) == 2
+    finally:
+        spark.sql("DROP TABLE IF EXISTS trips_placed")
+    assert tables.read_table(spark, folder + "/t", TRIPS).count() == 3  # the files stay
+
+
 def test_catalog_table(spark):
     assert tables.save_by_day(trips(spark, trip(), shifted(1)), "trips_saved") == 2
     assert spark.table("trips_saved").filter("pickup_date = date'2023-05-08'").count() == 1
@@ -97,6 +109,40 @@ def test_backfill_is_idempotent_and_keeps_stray_trips(spark, folder):
     spark.sql("DROP TABLE trips_backfilled")
 
 
+def partitions(spark, table):
+    return sorted(tuple(r) for r in tables.listed_partitions(spark, table).collect())
+
+
+def test_catalog_partitions_follow_the_months_loaded(spark, folder):
+    raw, out = folder + "/raw", folder + "/o'ut"
+    for month in ("2023-01", "2023-02"):
+        raw_month(spark, raw, month, [ride(f"{month}-05"), ride(f"{month}-06")])
+    chosen = lambda a, b: select_months(spark, raw, "yellow", a, b)
+    try:
+        months = chosen("2023-01", "2023-02")
+        backfill(spark, months, out)
+        create_table(spark, "trips_listed", out, list(months))
+        days = [(m, f"{m}-0{d}") for m in ("2023-01", "2023-02") for d in (5, 6)]
+        assert partitions(spark, "trips_listed") == days and spark.table("trips_listed").count() == 4
+
+        # A fresh backfill of one month, one of whose days is gone and another new.
+        raw_month(spark, raw, "2023-02", [ride("2023-02-06"), ride("2023-02-07")])
+        months = chosen("2023-02", "2023-02")
+        backfill(spark, months, out)
+        create_table(spark, "trips_listed", out, list(months))
+        assert partitions(spark, "trips_listed") == [("2023-02", "2023-02-06"), ("2023-02", "2023-02-07")]
+        found = spark.table("trips_listed").where("source_month = '2023-02'")
+        assert found.count() == 2 and spark.table("trips_listed").count() == 2
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "CatalogFileIndex" in text or "PartitionFilters: [isnotnull(source_month" in text
+
+        # All folders listed instead give the same.
+        create_table(spark, "trips_listed", out)
+        assert len(partitions(spark, "trips_listed")) == 2
+    finally:
+        spark.sql("DROP TABLE IF EXISTS trips_listed")
+
+
 def test_fresh_backfill_forgets_other_months(spark, folder):
     raw, out = folder + "/raw", folder + "/out"
     for month in ("2023-01", "2023-02"):

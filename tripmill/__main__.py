@@ -96,7 +96,7 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     if wrong:
         raise RuntimeError(f"stored rows differ from inserted ones in {', '.join(wrong)}")
     if args.table:
-        create_table(spark, args.table, args.out)
+        create_table(spark, args.table, args.out, None if args.keep else list(months))
 
 
 def report(tables: dict[str, DataFrame]) -> None:

@@ -1,10 +1,12 @@
 """Data checks. Each yields a count of failures; none of them collects rows."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tripmill.session import store
 
 ERROR, WARN, PASS = "error", "warn", "pass"
 
@@ -25,45 +27,69 @@ def result_row(model: str, check: str, target: str, failures: Column, severity:
     )
 
 
-def row_checks(
-    df: DataFrame,
-    model: str,
-    not_null: Sequence[str] = (),
-    expressions: Sequence[tuple[str, str]] = (),
-) -> DataFrame:
-    """All null checks and rules of a table in one scan.
+def row_counts(not_null: Sequence[str] = (), expressions: Sequence[tuple[str, str]] = ()) -> list[Column]:
+    """Failures of each null check and rule, as aggregates ``_0``, ``_1`` and so on.
 
     ``expressions`` are pairs of SQL condition and severity. A null condition passes.
     """
     counts = [F.count_if(F.col(c).isNull()) for c in not_null]
     counts += [F.count_if(~F.expr(rule)) for rule, _ in expressions]
+    return [count.alias(f"_{i}") for i, count in enumerate(counts)]
+
+
+def row_lines(
+    counted: DataFrame,
+    model: str,
+    not_null: Sequence[str] = (),
+    expressions: Sequence[tuple[str, str]] = (),
+) -> DataFrame:
+    """Report lines of ``row_counts``, which may come in several rows to add up."""
     lines = [result_row(model, NOT_NULL, c, F.col(f"_{i}")) for i, c in enumerate(not_null)]
     lines += [
         result_row(model, EXPRESSION, rule, F.col(f"_{i}"), severity)
         for i, (rule, severity) in enumerate(expressions, start=len(not_null))
     ]
-    counted = df.agg(*[count.alias(f"_{i}") for i, count in enumerate(counts)])
-    return counted.select(F.inline(F.array(*lines)))
+    totals = counted.agg(*[F.sum(f"_{i}").alias(f"_{i}") for i in range(len(lines))])
+    return totals.select(F.inline(F.array(*lines)))
+
+
+def row_checks(
+    df: DataFrame,
+    model: str,
+    not_null: Sequence[str] = (),
+    expressions: Sequence[tuple[str, str]] = (),
+) -> DataFrame:
+    """All null checks and rules of a table in one scan."""
+    return row_lines(df.agg(*row_counts(not_null, expressions)), model, not_null, expressions)
 
 
-def duplicates(df: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once, with their number of rows. Nulls are left out.
+def unique_checks(columns: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
+    """Report lines for (table, model, key column): values that occur more than once, nulls aside.
 
-    Text keys are compared by an 8-byte hash first, which shuffles a fraction of the bytes; only
-    values whose hash repeats are then compared as they are.
+    The keys of all tables go through one aggregation by table and 8-byte hash, which shuffles a
+    fraction of the bytes of text keys. Its repeats are written down; they are few, so the keys
+    that have them are found by a join of a small side, and only those are compared as they are.
     """
-    values = df.filter(F.col(column).isNotNull()).select(column)
-    repeated = F.col("rows") > 1
-    if isinstance(df.schema[column].dataType, T.StringType):
-        hashed = values.withColumn("_hash", F.xxhash64(column))
-        suspects = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("rows")).filter(repeated)
-        values = hashed.join(suspects.select("_hash"), "_hash", "left_semi").select(column)
-    return values.groupBy(column).agg(F.count(F.lit(1)).alias("rows")).filter(repeated)
+    keys = [
+        df.filter(F.col(column).isNotNull()).select(
+            F.lit(k).alias("_table"), F.xxhash64(F.col(column).cast("string")).alias("_hash"), F.col(column).cast("string").alias("_value")
+        )
+        for k, (df, _, column) in enumerate(columns)
+    ]
+    every = reduce(DataFrame.unionAll, keys)
+    repeated = F.col("_rows") > 1
+    suspects = every.groupBy("_table", "_hash").agg(F.count(F.lit(1)).alias("_rows")).filter(repeated)
+    suspects = store(suspects.select("_table", "_hash"), "repeated-keys")
+    again = every.join(suspects, ["_table", "_hash"], "left_semi").groupBy("_table", "_value")
+    found = again.agg(F.count(F.lit(1)).alias("_rows")).filter(repeated)
+    counts = found.agg(*[F.count_if(F.col("_table") == k).alias(f"_{k}") for k in range(len(columns))])
+    lines = [result_row(model, UNIQUE, column, F.col(f"_{k}")) for k, (_, model, column) in enumerate(columns)]
+    return counts.select(F.inline(F.array(*lines)))
 
 
-def key_counts(child: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per combination of foreign keys, which the checks of all of them can share."""
-    return child.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+def key_counts(child: DataFrame, columns: Sequence[str], *more: Column) -> DataFrame:
+    """Rows per combination of foreign keys, and ``more`` aggregates, which all checks can share."""
+    return child.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"), *more)
 
 
 def relationship_counts(
@@ -71,8 +97,7 @@ def relationship_counts(
 ) -> DataFrame:
     """Child rows with a value, and those among them without a parent, from ``key_counts``.
 
-    A hot value meets the join as one row. Nulls are left out at the end only: a filter would sink
-    below the counts and keep other checks from sharing them.
+    A hot value meets the join as one row.
     """
     parents = parent.select(F.col(parent_column).alias(column)).distinct()
     values = counts.groupBy(column).agg(F.sum("rows").alias("rows"))
@@ -85,12 +110,6 @@ def relationship_counts(
     )
 
 
-def unique_check(df: DataFrame, model: str, column: str) -> DataFrame:
-    """Report line: number of repeated values."""
-    count = duplicates(df, column).agg(F.count(F.lit(1)).alias("_n"))
-    return count.select(F.inline(F.array(result_row(model, UNIQUE, column, F.col("_n")))))
-
-
 def relationship_check(
     counts: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:

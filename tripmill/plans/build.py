@@ -118,6 +118,8 @@ def show_views(house: Warehouse, start: dt.date, end: dt.date) -> None:
     zones = views.v_zone_performance(house["agg_pickup_zone"], house["dim_zone"])
     house.show("v_zone_performance", zones)
     house.show("v_route_performance", views.v_route_performance(house["agg_route_daily"]))
+    for view, name in views.SERVED.items():
+        house.show(view, models.serve(name, house[name]))
 
 
 def reopen(

@@ -163,19 +163,18 @@ def agg_hourly_traffic(measured: DataFrame) -> DataFrame:
     )
 
 
-# Order in which a table is shown (``-`` is descending). Stored files do not keep it.
-# The order of the published tables.
+# Order in which a table is shown, as SQL. Money is compared in cents, and equal rows go by their
+# keys, so the order is the same however sums were added up. Stored files do not keep it.
+# The leading column of each published table.
 SERVING_ORDER = {
-    "agg_payment_type": ("-total_revenue",),
-    "agg_route_daily": ("-total_revenue",),
-    "agg_pickup_zone": ("-total_trips",),
-    "agg_hourly_traffic": ("day_of_week", "pickup_hour"),
-    "v_kpi_daily": ("pickup_date",),
+    "agg_payment_type": "round(total_revenue, 2) DESC, payment_type ASC NULLS LAST",
+    "agg_route_daily": "round(total_revenue, 2) DESC, pickup_date, pulocation_id ASC NULLS LAST, dolocation_id ASC NULLS LAST",
+    "agg_pickup_zone": "total_trips DESC, pulocation_id ASC NULLS LAST",
+    "agg_hourly_traffic": "day_of_week, pickup_hour",
 }
 
 
 def serve(name: str, df: DataFrame) -> DataFrame:
     """``df`` in the order in which table ``name`` is shown."""
-    order = SERVING_ORDER.get(name, ())
-    columns = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
-    return df.orderBy(*columns) if columns else df
+    order = SERVING_ORDER.get(name)
+    return df.sparkSession.sql(f"SELECT * FROM {{table}} ORDER BY {order}", table=df) if order else df

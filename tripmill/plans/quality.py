@@ -11,8 +11,11 @@ from tripmill.operators.checks import (
     key_counts,
     relationship_check,
     row_checks,
-    unique_check,
+    row_counts,
+    row_lines,
+    unique_checks,
 )
+from tripmill.session import store
 
 # What each table promises.
 NOT_NULL_COLUMNS = {
@@ -70,7 +73,7 @@ def not_null_report(tables: Tables) -> DataFrame:
 
 
 def unique_report(tables: Tables) -> DataFrame:
-    return _union([unique_check(tables[m], m, column) for m, column in UNIQUE_COLUMNS.items()])
+    return unique_checks([(tables[m], m, column) for m, column in UNIQUE_COLUMNS.items()])
 
 
 def expression_report(tables: Tables) -> DataFrame:
@@ -90,13 +93,19 @@ def relationship_report(tables: Tables, column: str, counts: DataFrame | None =
 
 
 def quality_report(tables: Tables) -> DataFrame:
-    """Every declared check as one line. Null checks and rules of a table share a scan."""
-    parts = [
-        row_checks(tables[m], m, columns, RULES.get(m, ())) for m, columns in NOT_NULL_COLUMNS.items()
-    ]
-    parts += [unique_check(tables[m], m, column) for m, column in UNIQUE_COLUMNS.items()]
-    counts = fact_keys(tables)
-    parts += [relationship_report(tables, column, counts) for _, column in PARENTS]
+    """Every declared check as one line.
+
+    The fact is scanned once for its null checks, rules and foreign keys together: their counts per
+    combination of foreign keys are written down, and all lines come from those few rows. It is
+    scanned once more for the hashes of its key, and again only where hashes repeat.
+    """
+    declared = {m: (columns, RULES.get(m, ())) for m, columns in NOT_NULL_COLUMNS.items()}
+    fact = tables["fct_trip"]
+    profile = store(key_counts(fact, [c for _, c in PARENTS], *row_counts(*declared["fct_trip"])), "fact-profile")
+    parts = [row_checks(tables[m], m, *checks) for m, checks in declared.items() if m != "fct_trip"]
+    parts.append(row_lines(profile, "fct_trip", *declared["fct_trip"]))
+    parts.append(unique_report(tables))
+    parts += [relationship_report(tables, column, profile) for _, column in PARENTS]
     return _union(parts)
 
 

@@ -100,7 +100,7 @@ def filtered_routes(
     pickup_zones: Sequence[int] | None = None,
     dropoff_zones: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Routes by revenue, narrowed by any of the dashboard's controls."""
+    """Routes by revenue in cents, narrowed by any of the dashboard's controls; equal ones by key."""
     routes = between_dates(route_performance, start, end)
     if pickup_zones is not None:
         routes = routes.filter(F.col("pulocation_id").isin(*pickup_zones))
@@ -108,4 +108,4 @@ def filtered_routes(
         routes = routes.filter(F.col("dolocation_id").isin(*dropoff_zones))
     return routes.select(
         "pickup_date", "pulocation_id", "dolocation_id", "total_trips", "total_revenue"
-    ).orderBy(F.desc("total_revenue"))
+    ).orderBy(F.desc(F.round("total_revenue", 2)), "pickup_date", "pulocation_id", "dolocation_id")

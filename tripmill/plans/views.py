@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
+from tripmill.plans.models import SERVING_ORDER
 from tripmill.schema import DAY_NAMES, OTHER_PAYMENT_PREFIX, PAYMENT_NAMES, UNKNOWN_DAY
 
 # The span the dashboards show unless told otherwise.
@@ -54,12 +55,16 @@ VIEWS = {
           avg_total_amount, avg_trip_duration_min
         FROM {agg_route_daily}""",
 }
+# The aggregates in the order in which they are shown.
+SERVED = {f"served_{name}": name for name in SERVING_ORDER}
+VIEWS |= {view: f"SELECT * FROM {{{name}}} ORDER BY {SERVING_ORDER[name]}" for view, name in SERVED.items()}
 READS = {
     "v_kpi_daily": ("rollup_route",),
     "v_hourly_traffic": ("agg_hourly_traffic",),
     "v_payment_performance": ("agg_payment_type",),
     "v_zone_performance": ("agg_pickup_zone", "dim_zone"),
     "v_route_performance": ("agg_route_daily",),
+    **{view: (name,) for view, name in SERVED.items()},
 }
 
 

@@ -45,13 +45,29 @@ def write_by_day(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def save_by_day(df: DataFrame, table: str) -> int:
-    """The same as a catalog table."""
+def save_by_day(df: DataFrame, table: str, path: str | None = None) -> int:
+    """The same as a catalog table, which owns its files unless they are given a ``path``.
+
+    The catalog knows every day, so a query of some days lists no other folders.
+    """
     df, seen = by_day(df)
-    df.write.mode("overwrite").partitionBy(PARTITION_COLUMN).format("parquet").saveAsTable(table)
+    writer = df.write.mode("overwrite").partitionBy(PARTITION_COLUMN).format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
     return seen.get["rows"]
 
 
+def listed_partitions(spark: SparkSession, table: str) -> DataFrame:
+    """The partitions that the catalog knows of a table, a column for each partition column.
+
+    They come from the catalog alone: no folder is listed and no file is opened.
+    """
+    parts = spark.sql(f"SHOW PARTITIONS {table}")
+    names = [f.name for f in spark.catalog.listColumns(table) if f.isPartition]
+    pieces = F.split("partition", "/")
+    values = [F.url_decode(F.regexp_extract(pieces[k], "=(.*)$", 1)).alias(n) for k, n in enumerate(names)]
+    return parts.select(*values)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a written table in its declared types and column order, without inference."""
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

@@ -288,9 +288,9 @@ def rule_line(rule: str, severity: str) -> str:
     return line("fct_trip", "expression_is_true", rule, f"SELECT count(*) FROM fact WHERE NOT ({rule})", severity)
 
 
-def lost(column: str, parent: str, parent_column: str) -> str:
-    return f"""SELECT count(*) FROM fact WHERE {column} IS NOT NULL AND NOT EXISTS
-        (SELECT 1 FROM {CHECKED[parent]} p WHERE p.{parent_column} = fact.{column})"""
+def lost(column: str, parent: str, parent_column: str, fact: str = "fact") -> str:
+    return f"""SELECT count(*) FROM {fact} f WHERE {column} IS NOT NULL AND NOT EXISTS
+        (SELECT 1 FROM {CHECKED[parent]} p WHERE p.{parent_column} = f.{column})"""
 
 
 NOT_NULL = [
@@ -339,16 +339,42 @@ RELATIONS = [
 ]
 
 
-def report(lines: list[str]) -> str:
-    return over(" UNION ALL ".join(lines), SEQ, FACT, TOUCHES)
+# Late trips with a vendor and zones that the dimensions do not have.
+LATE_FACT = """
+    late AS (
+      SELECT * REPLACE (
+        CASE WHEN pickup_date >= DATE '1998-01-01' AND pickup_hour % 11 = 0 THEN 9 ELSE vendor_id END AS vendor_id,
+        CASE WHEN pickup_date >= DATE '1998-01-01' AND pulocation_id % 13 = 0 THEN pulocation_id + 1000 ELSE pulocation_id END
+          AS pulocation_id)
+      FROM fact
+    )"""
+LATE_RELATIONS = [
+    line("fct_trip", "relationships", "pulocation_id", lost("pulocation_id", "dim_zone", "location_id", "late")),
+    line("fct_trip", "relationships", "vendor_id", lost("vendor_id", "dim_vendor", "vendor_id", "late")),
+]
+
+
+def report(lines: list[str], *more: str) -> str:
+    return over(" UNION ALL ".join(lines), SEQ, FACT, TOUCHES, *more)
 
 
 def relation(column: str, parent: str, parent_column: str) -> str:
-    checked = f"SELECT CAST(count({column}) AS BIGINT) FROM fact"
-    failing = f"SELECT CAST(({lost(column, parent, parent_column)}) AS BIGINT)"
-    return over(f"SELECT ({checked}) AS checked_rows, ({failing}) AS failing_rows", SEQ, FACT, TOUCHES)
+    checked = f"SELECT CAST(count({column}) AS BIGINT) FROM late"
+    failing = f"SELECT CAST(({lost(column, parent, parent_column, 'late')}) AS BIGINT)"
+    return over(f"SELECT ({checked}) AS checked_rows, ({failing}) AS failing_rows", SEQ, FACT, TOUCHES, LATE_FACT)
 
 
+def positions(select: str, order: str, *columns: str) -> str:
+    """The keys of a result with their position in the order in which it is served."""
+    return over(f"SELECT {', '.join(columns)}, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position FROM ({select})")
+
+
+CENTS = "round(total_revenue, 2) DESC"
+FILTERED = f"""SELECT * FROM ({AGG_ROUTE}) WHERE pickup_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'
+    AND pulocation_id BETWEEN 1 AND 131 AND dolocation_id BETWEEN 1 AND 60"""
+ROUTE_ORDER = f"{CENTS}, pickup_date, pulocation_id NULLS LAST, dolocation_id NULLS LAST"
+ROUTE_KEYS = ("pickup_date", "pulocation_id", "dolocation_id")
+
 RAW_MONTHS = "months AS (SELECT *, strftime(tpep_pickup_datetime, '%Y-%m') AS month FROM raw)"
 TRIPS_ONLY = "SELECT * FROM trips"
 STG_ONLY = "SELECT * FROM stg"
@@ -505,10 +531,26 @@ ORACLES: dict[str, str] = {
     "dq_relationships_vendor": relation("vendor_id", "dim_vendor", "vendor_id"),
     "dq_expression": report(RULES),
     "dq_report": report(NOT_NULL + RULES + UNIQUE + RELATIONS),
+    "dq_report_late": report(NOT_NULL + RULES + UNIQUE + LATE_RELATIONS, LATE_FACT),
     "sink_roundtrip": over(TRIPS_ONLY),
     "sink_partitioned": over(STG_ONLY),
     "backfill_months": over(
         """SELECT month AS source_month, count(*) AS inserted_rows, count(*) AS stored_rows
         FROM (SELECT strftime(pickup_datetime, '%Y-%m') AS month FROM trips) GROUP BY month"""
     ),
+    "catalog_by_day": over(
+        """SELECT pickup_date, count(*) AS rows, round(sum(total_amount), 2) AS total_revenue, 1 AS listed
+        FROM stg GROUP BY pickup_date"""
+    ),
+    "catalog_months": over(
+        """SELECT month AS source_month, count(DISTINCT pickup_date) AS days, count(*) AS rows
+        FROM (SELECT *, strftime(pickup_datetime, '%Y-%m') AS month FROM trips)
+        WHERE month BETWEEN '1997-01' AND '1997-03' GROUP BY month"""
+    ),
+    "served_agg_payment_type": positions(AGG_PAYMENT, f"{CENTS}, payment_type NULLS LAST", "payment_type"),
+    "served_agg_route_daily": positions(AGG_ROUTE, ROUTE_ORDER, *ROUTE_KEYS),
+    "served_agg_pickup_zone": positions(AGG_ZONE, "total_trips DESC, pulocation_id NULLS LAST", "pulocation_id"),
+    "served_agg_hourly_traffic": positions(AGG_HOURLY, "day_of_week, pickup_hour", "day_of_week", "pickup_hour"),
+    "served_v_kpi_daily": positions(KPI, "pickup_date", "pickup_date"),
+    "served_report_filtered_routes": positions(FILTERED, ROUTE_ORDER, *ROUTE_KEYS),
 }

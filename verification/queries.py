@@ -5,6 +5,7 @@ the library itself never rounds.
 """
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tripmill.functions import safe_ratio, surrogate_key
 from tripmill.operators.additive import CLOCK_GRAIN, ROUTE_GRAIN, rollup, trip_measures
 from tripmill.operators.checks import relationship_counts
+from tripmill.operators.numbering import number_rows
 from tripmill.operators.normalize import (
     clean_trips,
     default_fill,
@@ -23,8 +25,8 @@ from tripmill.plans import models, quality, reports, views
 from tripmill.plans.models import serve
 from tripmill.schema import TRIP_KEY, TRIPS, staged
 from tripmill.session import configure, scratch_folder
-from tripmill.sinks.backfill import backfill
-from tripmill.sinks.tables import read_table, write_by_day, write_files
+from tripmill.sinks.backfill import backfill, create_table
+from tripmill.sinks.tables import listed_partitions, read_table, save_by_day, write_by_day, write_files
 from tripmill.sources.derived import raw_trips
 from tripmill.sources.files import external_view, list_files, read_raw, read_trips, scan
 from tripmill.sources.months import month_frame, select_months
@@ -278,9 +280,9 @@ def payment_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One rollup of the trips feeds both sides; its shuffle is reused.
-    routes = rollup(measured(spark, sf_dir), ROUTE_GRAIN)
-    return views.v_zone_performance(models.agg_pickup_zone(routes), models.dim_zone(routes))
+    # Each side combines its trips to a row a zone and task before it shuffles.
+    found = measured(spark, sf_dir)
+    return views.v_zone_performance(models.agg_pickup_zone(found), models.dim_zone(found))
 
 
 def route_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,11 +312,28 @@ def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return built_warehouse(configure(spark), sf_dir).tables
 
 
+# Trips from this day on were loaded after the dimensions had been built.
+LATE = "pickup_date >= DATE'1998-01-01'"
+
+
+def late_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """The stored tables with a fact newer than its dimensions: late trips bring a vendor and zones
+    that these do not have."""
+    checked = tables(spark, sf_dir)
+    late = checked["fct_trip"].withColumns(
+        {
+            "vendor_id": F.expr(f"CASE WHEN {LATE} AND pickup_hour % 11 = 0 THEN 9 ELSE vendor_id END"),
+            "pulocation_id": F.expr(f"CASE WHEN {LATE} AND pulocation_id % 13 = 0 THEN pulocation_id + 1000 ELSE pulocation_id END"),
+        }
+    )
+    return {**checked, "fct_trip": late}
+
+
 def relationships(column: str) -> Query:
     """Orphans of a foreign key beside the rows that were checked."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        checked = tables(spark, sf_dir)
+        checked = late_tables(spark, sf_dir)
         parent, parent_column = quality.PARENTS["fct_trip", column]
         return relationship_counts(quality.fact_keys(checked), column, checked[parent], parent_column)
 
@@ -342,6 +361,61 @@ def backfill_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfill(spark, months, scratch_folder(spark, "backfill"), at_a_time=8)
 
 
+def table_name(purpose: str) -> str:
+    """A catalog table of its own for every run."""
+    return f"{purpose}_{uuid.uuid4().hex}"
+
+
+def catalog_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips saved as a day-partitioned catalog table: rows per day, beside the catalog's own days."""
+    name = table_name("trips_by_day")
+    save_by_day(stg(spark, sf_dir), name, scratch_folder(spark, "catalog-by-day"))
+    listed = listed_partitions(spark, name).select(F.to_date("pickup_date").alias("pickup_date"), F.lit(1).alias("listed"))
+    days = spark.table(name).groupBy("pickup_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("total_amount"), 2).alias("total_revenue")
+    )
+    return days.join(listed, "pickup_date", "full").select("pickup_date", "rows", "total_revenue", "listed")
+
+
+def catalog_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfilled catalog table after a second, fresh backfill without its first year: days that
+    the catalog knows and rows that it finds, by month."""
+    root, name = staged_months(configure(spark), sf_dir), table_name("trips_by_month")
+    folder = scratch_folder(spark, "catalog-months")
+    for first in ("1996-11", "1997-01"):
+        months = select_months(spark, root, TAXI, first, "1997-03", PATTERN)
+        backfill(spark, months, folder, at_a_time=8)
+        create_table(spark, name, folder, list(months))
+    listed = listed_partitions(spark, name).groupBy("source_month").agg(F.count(F.lit(1)).alias("days"))
+    rows = spark.table(name).groupBy("source_month").agg(F.count(F.lit(1)).alias("rows"))
+    return listed.join(rows, "source_month", "full").select("source_month", "days", "rows")
+
+
+# --- served order ------------------------------------------------------------------------------
+
+
+def positioned(df: DataFrame) -> DataFrame:
+    """Rows with their place in the order in which they are served, numbered in Spark."""
+    placed = df.withColumns({"_all": F.lit(1), "_place": F.monotonically_increasing_id()})
+    return number_rows(placed, ["_all"], ["_place"], "position").drop("_all", "_place")
+
+
+def served(name: str, columns: tuple[str, ...]) -> Query:
+    """The keys of a served table of the build, with their position."""
+    return lambda spark, sf_dir: positioned(tables(spark, sf_dir)[name]).select(*columns, "position")
+
+
+def served_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positioned(kpi_daily(spark, sf_dir)).select("pickup_date", "position")
+
+
+def served_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routes = reports.filtered_routes(
+        route_performance(spark, sf_dir), dt.date(1996, 1, 1), dt.date(2000, 12, 31), range(1, 132), range(1, 61)
+    )
+    return positioned(routes).select("pickup_date", "pulocation_id", "dolocation_id", "position")
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": scan_parquet,
     "scan_multi_file": scan_multi_file,
@@ -408,7 +482,18 @@ QUERIES: dict[str, Query] = {
     "dq_relationships_vendor": relationships("vendor_id"),
     "dq_expression": lambda spark, sf_dir: quality.expression_report(tables(spark, sf_dir)),
     "dq_report": lambda spark, sf_dir: quality.quality_report(tables(spark, sf_dir)),
+    "dq_report_late": lambda spark, sf_dir: quality.quality_report(late_tables(spark, sf_dir)),
     "sink_roundtrip": sink_roundtrip,
     "sink_partitioned": sink_partitioned,
     "backfill_months": backfill_months,
+    "catalog_by_day": catalog_by_day,
+    "catalog_months": catalog_months,
+    "served_agg_payment_type": served("served_agg_payment_type", ("payment_type",)),
+    "served_agg_route_daily": served("served_agg_route_daily", ("pickup_date", "pulocation_id", "dolocation_id")),
+    "served_agg_pickup_zone": served("served_agg_pickup_zone", ("pulocation_id",)),
+    "served_agg_hourly_traffic": lambda spark, sf_dir: positioned(
+        serve("agg_hourly_traffic", tables(spark, sf_dir)["agg_hourly_traffic"])
+    ).select("day_of_week", "pickup_hour", "position"),
+    "served_v_kpi_daily": served_kpi,
+    "served_report_filtered_routes": served_routes,
 }
