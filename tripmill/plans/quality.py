@@ -1,6 +1,7 @@
 """The declared checks of the warehouse and the report over them."""
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row
@@ -101,10 +102,13 @@ def quality_report(tables: Tables) -> DataFrame:
     """
     declared = {m: (columns, RULES.get(m, ())) for m, columns in NOT_NULL_COLUMNS.items()}
     fact = tables["fct_trip"]
-    profile = store(key_counts(fact, [c for _, c in PARENTS], *row_counts(*declared["fct_trip"])), "fact-profile")
+    counts = key_counts(fact, [c for _, c in PARENTS], *row_counts(*declared["fct_trip"]))
+    with ThreadPoolExecutor(2) as pool:  # two scans side by side
+        unique = pool.submit(unique_report, tables)
+        profile = store(counts, "fact-profile")
     parts = [row_checks(tables[m], m, *checks) for m, checks in declared.items() if m != "fct_trip"]
     parts.append(row_lines(profile, "fct_trip", *declared["fct_trip"]))
-    parts.append(unique_report(tables))
+    parts.append(unique.result())
     parts += [relationship_report(tables, column, profile) for _, column in PARENTS]
     return _union(parts)
 

@@ -22,6 +22,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # Shuffles start wide, so that large data spreads before adaptive execution merges partitions.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    # Range shuffles of thousands of partitions send this many rows of each to the driver.
+    "spark.sql.execution.rangeExchange.sampleSizePerPartition": "20",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.parquet.compression.codec": "snappy",
 }
