@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import __spark_entry__ as contract
 import pytest
 from oracle import compare, duck_connection, type_names
@@ -5,6 +9,7 @@ from verification.oracles import ORACLES
 from verification.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
+ROOT = Path(__file__).resolve().parents[1]
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +22,14 @@ def test_every_query_has_an_oracle():
     assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
+@pytest.mark.parametrize("absent", ["public_tokenizers", "tripmill.llm", "corpus_pipeline"])
+def test_the_rest_works_without_the_text_operators(absent):
+    """In a process of its own, where the module cannot be imported."""
+    code = f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e; print(len(set(e.queries()) & set({list(QUERIES)!r})), set(e.oracle_sql()) <= set(e.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True)
+    assert done.stdout.split() == [str(len(QUERIES)), "True"]
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns[0] == "pickup_date" and df.count() > 0
