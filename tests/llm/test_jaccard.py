@@ -86,6 +86,22 @@ def test_one_of_each_group_stays(documents, hard_rows):
     assert jaccard.one_of_each(docs.limit(0)).count() == 0
 
 
+def test_groups_without_ids_keep_one_row(documents):
+    same, near = "a b c d e f g h i j k l m n o p q r s t u v w x y z", "A b c d e f g h i j k l m n o p q r s t u v w x y z é"
+    docs = documents((None, same), (None, same), (None, near), (5, "other words of a text that stands alone"), (None, "5"), (5, None))
+    texts = [r.text for r in jaccard.one_of_each(docs).collect()]
+    assert sum(t in (same, near) for t in texts) == 1 and sorted(t or "" for t in texts if t not in (same, near)) == ["", "5", "other words of a text that stands alone"]
+    rows = [(None, same), (9, near), (7, same)]
+    assert [r.doc_id for r in jaccard.one_of_each(documents(*rows)).collect()] == [7]
+
+
+def test_rows_of_swapped_nulls_differ(documents):
+    from tripmill.llm.shared import row_hash
+
+    rows = documents((None, "5"), (5, None), (None, None)).select(row_hash("doc_id", "text").alias("h")).collect()
+    assert len({r.h for r in rows}) == 3
+
+
 def test_shingle_hashes_follow_words():
     a = "Ab  cd\tef\x0bgh é" + "x" * 200
     assert len(word_hashes(a)) == 5 and (word_hashes(a) == word_hashes("ab cd ef gh é" + "x" * 200)).all()

@@ -40,6 +40,8 @@ CELL_BLOCK = 1 << 12
 SIGNATURE_BITS = 2_048
 # Rounds of one comparison a set; the pairs they leave are all compared afterwards.
 HUB_ROUNDS = 1
+# Lowest tiles that a set carries along, so that a pair is met in one tile of the many it shares.
+LEAST_TILES = 8
 # Bits of the filters that keep most rows out of joins; 2 MB, whatever the input.
 FILTER_BITS = 1 << 24
 FILTER_BLOCK = 1 << 15  # what one bitmap_construct_agg holds
@@ -294,16 +296,28 @@ def similar_sets(docs: DataFrame, found: DataFrame, text: str, words: int, perce
     # What is left: pairs of a tile in different components that pass the bounds.
     named = _named_members(members, label)
     mixed = named.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_rows = named.join(mixed.select("tile"), "tile").join(sets, "set")
+    open_rows = named.join(mixed.select("tile"), "tile")
+    least = open_rows.groupBy("set").agg(F.slice(F.sort_array(F.collect_list("tile")), 1, LEAST_TILES).alias("least"))
+    open_rows = open_rows.join(sets.join(least, "set"), "set")
     a, b = open_rows.alias("a"), open_rows.alias("b")
     same_tile = (F.col("a.tile") == F.col("b.tile")) & (F.col("a.component") < F.col("b.component"))
-    pairs = a.join(b, same_tile & near_sizes(percent) & bit_bound(percent))
+    pairs = a.join(b, same_tile & near_sizes(percent) & bit_bound(percent) & ~met_before())
     pairs = cut(pairs.select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).distinct())
     if pairs.isEmpty():
         return label
     return components(edges.union(linked(pairs, sets, docs, text, words, percent)))
 
 
+def met_before() -> Column:
+    """Whether sets a and b are known to share a lower tile than this one, where they meet as well.
+
+    Only the lowest tiles of each are at hand, so some pairs meet more than once; none is lost, as
+    nothing lies below the lowest tile they share.
+    """
+    lowest = F.array_min(F.array_intersect("a.least", "b.least"))
+    return F.coalesce(lowest < F.col("a.tile"), F.lit(False))
+
+
 def near_sizes(percent: int) -> Column:
     return (100 * F.col("a.n") >= percent * F.col("b.n")) & (100 * F.col("b.n") >= percent * F.col("a.n"))
 
@@ -343,7 +357,10 @@ def _hub_links(
 
 
 def document_components(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """(key, row, n, component_id), a row per document; ``row`` is a hash of id and text."""
+    """(key, row, n, component, component_id), a row per document; ``row`` is a hash of id and text.
+
+    ``component`` names a component by one of its sets; it is null for documents without words.
+    """
     found = cut(sets_and_cells(docs, key, text, words))
     own = found.where("block is null").select("key", "row", "set", "n")
     label = similar_sets(docs, found, text, words, percent).select(F.col("node").alias("set"), "component")
@@ -351,9 +368,9 @@ def document_components(docs: DataFrame, key: str, text: str, words: int, percen
     least = own.where("set is not null").groupBy("set").agg(F.min("key").alias("least"))
     least = least.join(label, "set", "left").withColumn("component", F.coalesce("component", "set"))
     by_component = least.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_set = least.join(by_component, "component").select("set", "component_id")
+    by_set = least.join(by_component, "component").select("set", "component", "component_id")
     named = own.join(by_set, "set", "left")
-    return named.select("key", "row", "n", F.coalesce("component_id", "key").alias("component_id"))
+    return named.select("key", "row", "n", "component", F.coalesce("component_id", "key").alias("component_id"))
 
 
 def similar_documents(
@@ -369,13 +386,17 @@ def one_of_each(
 ) -> DataFrame:
     """The documents without all but the first of each component; documents without words stay.
 
+    The first is the one of the smallest id; an id goes before a null, so a component whose ids are
+    all null keeps one row as well.
+
     A filter of fixed size passes most texts straight through; only those it cannot rule out meet
     the rows to drop in a join.
     """
     found = cut(document_components(docs, key, text, words, percent))
-    grouped = found.where("n > 0 and component_id is not null")
-    first = grouped.groupBy("component_id").agg(F.min(F.struct("key", "row")).alias("first"))
-    dropped = grouped.join(first, "component_id").where(F.col("row") != F.col("first.row")).select("row").distinct()
+    grouped = found.where("n > 0")
+    place = F.struct(F.col("key").isNull().alias("missing"), "key", "row")
+    first = grouped.groupBy("component").agg(F.min(place).alias("first"))
+    dropped = grouped.join(first, "component").where(F.col("row") != F.col("first.row")).select("row").distinct()
     # Rows that are equal in id and text share their hash; all but one of them go as well.
     repeated = grouped.groupBy("row").count().where("count > 1").select("row")
     marked = cut(dropped.union(repeated).distinct())

@@ -55,8 +55,12 @@ def split_words(text: Column) -> Column:
 
 
 def row_hash(key: str, text: str) -> Column:
-    """Tells texts apart when spans are joined back; equal rows share their spans."""
-    return F.xxhash64(F.col(f"`{key}`").cast("string"), F.col(f"`{text}`"))
+    """Tells rows apart when results are joined back; equal rows share theirs.
+
+    A hash skips nulls, so it also takes which of the two is null.
+    """
+    both = (F.col(f"`{key}`").cast("string"), F.col(f"`{text}`"))
+    return F.xxhash64(*both, *(c.isNull() for c in both))
 
 
 def on_workers(spark: SparkSession) -> None:
