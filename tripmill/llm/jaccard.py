@@ -37,7 +37,9 @@ PERCENT = 85
 CELL_BITS = 17
 CELLS = 1 << CELL_BITS
 CELL_BLOCK = 1 << 12
-SIGNATURE_BITS = 2_048
+# A signature goes along with every tile of its set, so it is short; it tells sets of up to some thousand
+# shingles apart, and larger ones are left to the exact intersection.
+SIGNATURE_BITS = 512
 # Rounds of one comparison a set; the pairs they leave are all compared afterwards.
 HUB_ROUNDS = 1
 # Lowest tiles that a set carries along, so that a pair is met in one tile of the many it shares.
@@ -285,16 +287,17 @@ def similar_sets(docs: DataFrame, found: DataFrame, text: str, words: int, perce
     """(set, component) for every set that links with another; components are named by a set."""
     spark = docs.sparkSession
     rows, folder = stored(tiles(docs, commonness(found), text, words, percent), "tiles")
-    members = cut(shared_tiles(rows))
+    members, members_folder = stored(shared_tiles(rows), "shared-tiles")
     discard(spark, folder)
     own = found.where("set is not null").join(members.select("set").distinct(), "set", "left_semi")
     sets = own.groupBy("set").agg(F.min(F.struct("place", "n", "bits")).alias("x")).select("set", "x.*")
-    sets = cut(sets)
+    sets, sets_folder = stored(sets, "sets")
 
     edges, label = _hub_links(members, sets, docs, text, words, percent)
 
     # What is left: pairs of a tile in different components that pass the bounds.
-    named = _named_members(members, label)
+    named, named_folder = stored(_named_members(members, label), "named-tiles")
+    discard(spark, members_folder)
     mixed = named.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     open_rows = named.join(mixed.select("tile"), "tile")
     least = open_rows.groupBy("set").agg(F.slice(F.sort_array(F.collect_list("tile")), 1, LEAST_TILES).alias("least"))
@@ -303,9 +306,11 @@ def similar_sets(docs: DataFrame, found: DataFrame, text: str, words: int, perce
     same_tile = (F.col("a.tile") == F.col("b.tile")) & (F.col("a.component") < F.col("b.component"))
     pairs = a.join(b, same_tile & near_sizes(percent) & bit_bound(percent) & ~met_before())
     pairs = cut(pairs.select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).distinct())
-    if pairs.isEmpty():
-        return label
-    return components(edges.union(linked(pairs, sets, docs, text, words, percent)))
+    discard(spark, named_folder)
+    if not pairs.isEmpty():
+        label = components(edges.union(linked(pairs, sets, docs, text, words, percent)))
+    discard(spark, sets_folder)
+    return label
 
 
 def met_before() -> Column:
@@ -324,7 +329,7 @@ def near_sizes(percent: int) -> Column:
 
 def _named_members(members: DataFrame, label: DataFrame) -> DataFrame:
     named = members.join(label.select(F.col("node").alias("set"), "component"), "set", "left")
-    return cut(named.select("tile", "set", F.coalesce("component", "set").alias("component")))
+    return named.select("tile", "set", F.coalesce("component", "set").alias("component"))
 
 
 def _hub_links(
