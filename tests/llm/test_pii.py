@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 
 from hypothesis import given, settings
@@ -105,3 +107,47 @@ def test_words_common_in_texts_without_entities_disclose_nothing(documents):
 def test_terms_leave_out_every_word_of_an_entity():
     text = "see 4111 1111 1111 1111, a@b.c/path abc +1 (743) 555-3824x def"
     assert [t for t, _, _ in pii.terms(text, pii.base_spans(text))] == ["see", "abc", "def"]
+
+
+def brute_disclosures(texts):
+    """(text, entity, term) -> disclosure, from the definition: counts over all distinct texts."""
+    read = {}
+    for text in texts:
+        found = pii.base_spans(text or "")
+        own = pii.entities(text or "", found)
+        some = [t for t, _, _ in pii.terms(text or "", found)]
+        read[(tuple(own), " ".join(some))] = (own, set(some))
+    n = len(read)
+    scores = {}
+    for one in {e for own, _ in read.values() for e in own}:
+        holding = [some for own, some in read.values() if one in own]
+        for term in {t for some in holding for t in some}:
+            both = sum(term in some for some in holding)
+            alone = sum(term in some for _, some in read.values())
+            if both >= pii.SUPPORT and len(holding) < n:
+                score = math.log2(both * n / (alone * len(holding))) / math.log2(n / len(holding))
+                if score >= pii.GENERALISE:
+                    scores[one, term] = score
+    return scores
+
+
+def test_disclosures_equal_brute_force_with_an_entity_in_a_third_of_the_texts(documents):
+    dice = random.Random(3)
+    words = [f"word{k}" for k in range(60)]
+    rows = []
+    for i in range(240):
+        some = dice.choices(words, k=dice.randrange(1, 12))
+        if i % 3 == 0:
+            some += ["footer@corp.example", "Imprint", "legal"]
+        if i % 7 == 0:
+            some += [f"u{i % 5}@mail.example", f"nick{i % 5},"]
+        rows.append((i, " ".join(some)))
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 240, 4)]
+    expected = brute_disclosures(t for _, t in rows)
+    assert ("email:footer@corp.example", "imprint") in expected and any(t == "nick2" for _, t in expected)
+    for r in pii.report(documents(*rows)).collect():
+        text = dict(rows)[r.doc_id]
+        found = pii.base_spans(text)
+        disclosing_here = {t for e, t in expected if e in pii.entities(text, found)}
+        wanted = [f"term:{a}:{b}" for t, a, b in pii.terms(text, found) if t in disclosing_here]
+        assert [s for s in r.spans.split(",") if s.startswith("term")] == wanted

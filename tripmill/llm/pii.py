@@ -17,17 +17,22 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.jaccard import may_be_named, name_filter
-from tripmill.llm.shared import cut, map_arrow, portions, row_hash
+from tripmill.llm.jaccard import FILTER_BITS, may_be_named, name_filter
+from tripmill.llm.shared import discard, map_arrow, portions, row_hash, stored
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
+# Longest word whose term workers remember, and how many they remember.
+SHORT = 64
+REMEMBERED = 1 << 16
 # Distinct texts that must show a term with an entity.
 SUPPORT = 3
 GENERALISE = 0.75
@@ -102,10 +107,17 @@ def entity(kind: str, text: str) -> str:
     return f"{kind}:{text.lower() if kind == 'email' else text if kind == 'ip' else _digits(text)}"
 
 
-def term(word: str) -> str:
+def _term(word: str) -> str:
     return EDGE.sub("", word).lower()
 
 
+_remembered = lru_cache(maxsize=REMEMBERED)(_term)
+
+
+def term(word: str) -> str:
+    return _remembered(word) if len(word) <= SHORT else _term(word)
+
+
 def terms(text: str, found: dict[str, list[Span]]) -> Iterator[tuple[str, int, int]]:
     """Every term of the text with its span; words that overlap an entity are none."""
     spans = iter(sorted(span for each in found.values() for span in each))
@@ -125,38 +137,64 @@ def entities(text: str, found: dict[str, list[Span]]) -> list[str]:
     return sorted({entity(kind, text[a:b]) for kind, spans in found.items() for a, b in spans})
 
 
+def text_name(own: list[str], some: list[str]) -> bytes:
+    """A hash of a text's entities and of its terms in order, so copies that differ in case,
+    punctuation or short words are one text."""
+    return hashlib.md5("\n".join([*own, " ".join(some)]).encode("utf-8", "replace")).digest()
+
+
+def _read(text: str) -> tuple[list[str], list[str], bytes]:
+    """Entities, terms in order and name of a text."""
+    found = base_spans(text)
+    own, some = entities(text, found), [t for t, _, _ in terms(text, found)]
+    return own, some, text_name(own, some)
+
+
+def term_bit(value: str) -> int:
+    """The bit of ``value`` in a filter over ``checksum``."""
+    return zlib.crc32(value.encode("utf-8", "replace")) % FILTER_BITS
+
+
+def checksum(value: Column) -> Column:
+    return F.crc32(value.cast("binary"))
+
+
+def passes(bits: bytes, value: str) -> bool:
+    at = term_bit(value)
+    return bool(bits[at >> 3] >> (at & 7) & 1)
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Base spans, counts and entities of every text. One narrow stage.
+    """Base spans, counts and, for a text with entities, its name. One narrow stage.
 
-    Spans and entities are in the row of their text and grow with its entities only.
+    Spans are in the row of their text and grow with its entities only.
     """
     names = [f"n_{kind}" for kind in KINDS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, base, held = [[] for _ in KINDS], [], []
+            counts, base, named = [[] for _ in KINDS], [], []
             for value in batch.column(1).to_pylist():
                 value = value or ""
                 found = base_spans(value)
                 for column, kind in zip(counts, KINDS):
                     column.append(len(found[kind]))
                 base.append(",".join(f"{kind}:{a}:{b}" for kind in KINDS for a, b in found[kind]))
-                held.append(entities(value, found))
+                own = entities(value, found)
+                named.append(text_name(own, [t for t, _, _ in terms(value, found)]) if own else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(held, pa.list_(pa.string())), batch.column(2)],
-                names=["key", *names, "base", "entities", "row"],
+                [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(named, pa.binary()), batch.column(2)],
+                names=["key", *names, "base", "name", "row"],
             )
 
-    schema = f"key {docs.schema[key].dataType.simpleString()}, " + "".join(f"{n} long, " for n in names) + "base string, entities array<string>, row long"
+    schema = f"key {docs.schema[key].dataType.simpleString()}, " + "".join(f"{n} long, " for n in names) + "base string, name binary, row long"
     chosen = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), row_hash(key, text).alias("row"))
     return map_arrow(chosen, run, schema)
 
 
 def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(name, entities, words) of the distinct texts: the distinct terms, joined by blanks.
-
-    The name is a hash of a text's entities and of its terms in order, so copies that differ in case,
-    punctuation or short words are one. Copies are combined before the shuffle.
+    """(name, entities, words) of the distinct texts; ``words``, the distinct terms joined by blanks,
+    only where there are entities. Copies are combined before the shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,11 +203,10 @@ def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
             for part in portions(values):
                 names, held, words = [], [], []
                 for value in values[part]:
-                    found = base_spans(value)
-                    some, own = [t for t, _, _ in terms(value, found)], entities(value, found)
-                    names.append(hashlib.md5("\n".join([*own, " ".join(some)]).encode("utf-8", "replace")).digest())
+                    own, some, name = _read(value)
+                    names.append(name)
                     held.append(own)
-                    words.append(" ".join(sorted(set(some))))
+                    words.append(" ".join(sorted(set(some))) if own else None)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names, pa.binary()), pa.array(held, pa.list_(pa.string())), pa.array(words, pa.string())], names=["name", "entities", "words"]
                 )
@@ -178,39 +215,103 @@ def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.dropDuplicates(["name"])
 
 
-def disclosures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(entity, term, disclosure) of the terms over GENERALISE.
+def term_counts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
+    """(term, n_term): in how many distinct texts of all documents each of the ``wanted`` terms stands.
 
-    N counts all distinct texts. Sums are combined before each shuffle, and a frequent entity or term
-    costs one row a task. Only texts of entities with SUPPORT are joined with their words.
+    A filter of fixed size leaves out nearly all other terms where the texts are read; what it lets
+    through besides, the join with ``wanted`` drops.
     """
-    texts = cut(distinct_texts(docs, text))
+    bits = docs.sparkSession.sparkContext.broadcast(name_filter(wanted.select(checksum(F.col("term")).alias("sum")), "sum"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_bits = bits.value
+        for batch in batches:
+            values = [t or "" for t in batch.column(0).to_pylist()]
+            for part in portions(values):
+                names, held = [], []
+                for value in values[part]:
+                    _, some, name = _read(value)
+                    if chosen := [t for t in set(some) if passes(own_bits, t)]:
+                        names.append(name)
+                        held.append(sorted(chosen))
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(held, pa.list_(pa.string()))], names=["name", "terms"])
+
+    found = map_arrow(docs.select(F.col(f"`{text}`").alias("text")), run, "name binary, terms array<string>").dropDuplicates(["name"])
+    counted = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    return counted.join(wanted, "term", "left_semi")
+
+
+def disclosing_terms(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
+    """(name, own), and where it is stored: for every distinct text the terms that disclose an entity it holds, with their
+    disclosure, the highest over its entities.
+
+    Candidates come first: terms that stand in SUPPORT distinct texts of one entity. Only those are
+    counted over the distinct texts of all documents. Pairs of entity and term stay rows throughout,
+    and sums are combined before each shuffle, so a frequent entity or term costs one row a task; a
+    text ends with no more than its own distinct terms.
+    """
+    spark = docs.sparkSession
+    texts, texts_folder = stored(distinct_texts(docs, text), "pii-texts")
     total = texts.count()
-    words = F.explode(F.split("words", " ")).alias("term")
     pairs = texts.select("name", F.explode("entities").alias("entity"))
-    whole = cut(pairs.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT))
+    whole = pairs.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT)
+    whole, whole_folder = stored(whole, "pii-entities")
     # A name is found once in ``texts``, so neither side of this join has a hot key.
-    held = pairs.join(whole, "entity").groupBy("name").agg(F.collect_list("entity").alias("held"))
-    near = texts.where(F.size("entities") > 0).select("name", "words").join(held, "name").select("held", words)
-    both = near.select(F.explode("held").alias("entity"), "term").groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    both = both.where((F.col("n_both") >= SUPPORT) & (F.col("term") != ""))
-    alone = texts.select(words).groupBy("term").agg(F.count("*").alias("n_term"))
+    held = pairs.join(whole.select("entity"), "entity").groupBy("name").agg(F.collect_list("entity").alias("held"))
+    near, near_folder = stored(texts.select("name", "words").join(held, "name"), "pii-near")
+    discard(spark, texts_folder)
+    by_term = near.select("held", F.explode(F.split("words", " ")).alias("term")).where(F.col("term") != "")
+    both = by_term.select(F.explode("held").alias("entity"), "term").groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    both, both_folder = stored(both.where(F.col("n_both") >= SUPPORT), "pii-both")
+    wanted, wanted_folder = stored(both.select("term").distinct(), "pii-wanted")
+    alone = term_counts(docs, wanted, text)
     joined = both.join(alone, "term").join(whole, "entity").withColumn("n", F.lit(total))
     mutual = F.log2(F.col("n_both") * F.col("n") / (F.col("n_term") * F.col("n_entity")))
     own = F.log2(F.col("n") / F.col("n_entity"))
     scored = joined.withColumn("disclosure", F.when(own > 0, mutual / own).otherwise(0.0))
-    return scored.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
+    found = scored.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
+    found, found_folder = stored(found, "pii-found")
+    discard(spark, both_folder)
+    discard(spark, wanted_folder)
+    discard(spark, whole_folder)
+    spread, spread_folder = stored(_by_text(near, found), "pii-by-text")
+    discard(spark, near_folder)
+    discard(spark, found_folder)
+    return spread, spread_folder
+
+
+def _by_text(near: DataFrame, found: DataFrame) -> DataFrame:
+    """(name, own) from the rows of entity and term of every text; a filter of fixed size leaves out
+    nearly all that disclose nothing before any row is made of them."""
+    together = checksum(F.concat_ws("\n", "entity", "term"))
+    bits = near.sparkSession.sparkContext.broadcast(name_filter(found.select(together.alias("sum")), "sum"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_bits = bits.value
+        for batch in batches:
+            for name, words, held in zip(batch.column(0), batch.column(1), batch.column(2)):
+                words = [w for w in words.as_py().split(" ") if w]
+                for own in held.as_py():
+                    chosen = [w for w in words if passes(own_bits, f"{own}\n{w}")]
+                    if chosen:
+                        kinds = [pa.binary(), pa.string(), pa.string()]
+                        columns = [[name.as_py()] * len(chosen), [own] * len(chosen), chosen]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["name", "entity", "term"])
+
+    rows = map_arrow(near.select("name", "words", "held"), run, "name binary, entity string, term string")
+    best = rows.join(found, ["entity", "term"]).groupBy("name", "term").agg(F.max("disclosure").alias("disclosure"))
+    return best.groupBy("name").agg(F.collect_list(F.struct("term", "disclosure")).alias("own"))
 
 
-def term_spans(scanned: DataFrame, found: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def term_spans(scanned: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, terms) with the spans of disclosing terms anywhere in the texts that hold their entity."""
-    holders = scanned.select("row", F.explode("entities").alias("entity")).distinct()
-    # The entity's terms are one row, so a text meets a row for each of its entities.
-    listed = found.groupBy("entity").agg(F.collect_list(F.struct("term", "disclosure")).alias("own"))
-    wanted = holders.join(listed, "entity").groupBy("row").agg(F.flatten(F.collect_list("own")).alias("own"))
-    wanted = cut(wanted)
+    spark = docs.sparkSession
+    own, own_folder = disclosing_terms(docs, text)
+    holders = scanned.where("name is not null").select("row", "name").distinct()
+    wanted, wanted_folder = stored(holders.join(own, "name").select("row", "own"), "pii-rows")
+    discard(spark, own_folder)
     # A filter of fixed size keeps nearly all other texts out of the join.
-    named = docs.sparkSession.sparkContext.broadcast(name_filter(wanted, "row"))
+    named = spark.sparkContext.broadcast(name_filter(wanted, "row"))
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,21 +325,24 @@ def term_spans(scanned: DataFrame, found: DataFrame, docs: DataFrame, key: str =
         for batch in batches:
             spans = []
             for value, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                highest: dict[str, float] = {}
-                for t in own:
-                    highest[t["term"]] = max(t["disclosure"], highest.get(t["term"], 0.0))
+                highest = {t["term"]: t["disclosure"] for t in own}
                 every = terms(value, base_spans(value))
                 spans.append([{"start": a, "end": b, "disclosure": highest[t]} for t, a, b in every if t in highest])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=["row", "terms"])
 
-    return map_arrow(chosen, run, f"row long, terms {TERMS}")
+    spans, _ = stored(map_arrow(chosen, run, f"row long, terms {TERMS}"), "pii-spans")
+    discard(spark, wanted_folder)
+    return spans
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All spans of every text: key, counts, ``base`` and ``terms``."""
-    scanned = cut(scan(docs, key, text))
-    spans = cut(term_spans(scanned, cut(disclosures(docs, text)), docs, key, text))
-    return scanned.drop("entities").join(spans, "row", "left").drop("row").withColumn("terms", F.coalesce("terms", F.array().cast(TERMS)))
+    """All spans of every text: key, counts, ``base`` and ``terms``.
+
+    The result reads two stored tables, of spans only, which are all that is left behind.
+    """
+    scanned, _ = stored(scan(docs, key, text), "pii-scan")
+    spans = term_spans(scanned, docs, key, text)
+    return scanned.drop("name").join(spans, "row", "left").drop("row").withColumn("terms", F.coalesce("terms", F.array().cast(TERMS)))
 
 
 def spans_text(base: Column, terms: Column) -> Column:
@@ -275,8 +379,9 @@ def replaced(text: str, terms: list[dict]) -> str:
 
 def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The same rows and columns with the text sanitised; a null text stays null."""
-    scanned = cut(scan(docs, key, text).where(F.size("entities") > 0).select("row", "entities"))
-    spans = cut(term_spans(scanned, cut(disclosures(docs, text)), docs, key, text))
+    scanned, scanned_folder = stored(scan(docs, key, text).where("name is not null").select("row", "name"), "pii-scan")
+    spans = term_spans(scanned, docs, key, text)
+    discard(docs.sparkSession, scanned_folder)
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text)
     rows = docs.withColumn("__row", row_hash(key, text)).toDF(*names, "row").join(spans, "row", "left").select(*names, "terms")
