@@ -107,15 +107,18 @@ def entity(kind: str, text: str) -> str:
     return f"{kind}:{text.lower() if kind == 'email' else text if kind == 'ip' else _digits(text)}"
 
 
-def _term(word: str) -> str:
-    return EDGE.sub("", word).lower()
+def term(word: str) -> str:
+    """The word's term; empty if it has none."""
+    cleaned = EDGE.sub("", word).lower()
+    return cleaned if len(cleaned) >= 3 and not cleaned.isdigit() else ""
 
 
-_remembered = lru_cache(maxsize=REMEMBERED)(_term)
+remembered_term = lru_cache(maxsize=REMEMBERED)(term)
 
 
-def term(word: str) -> str:
-    return _remembered(word) if len(word) <= SHORT else _term(word)
+def terms_of(words: list[str]) -> list[str]:
+    look = remembered_term if max(map(len, words), default=0) <= SHORT else term
+    return [t for t in map(look, words) if t]
 
 
 def terms(text: str, found: dict[str, list[Span]]) -> Iterator[tuple[str, int, int]]:
@@ -128,8 +131,8 @@ def terms(text: str, found: dict[str, list[Span]]) -> Iterator[tuple[str, int, i
             taken, ahead = max(taken, ahead[1]), next(spans, None)
         if taken > a:
             continue
-        cleaned = term(match.group())
-        if len(cleaned) >= 3 and not cleaned.isdigit():
+        cleaned = (remembered_term if b - a <= SHORT else term)(match.group())
+        if cleaned:
             yield cleaned, a, b
 
 
@@ -143,11 +146,12 @@ def text_name(own: list[str], some: list[str]) -> bytes:
     return hashlib.md5("\n".join([*own, " ".join(some)]).encode("utf-8", "replace")).digest()
 
 
-def _read(text: str) -> tuple[list[str], list[str], bytes]:
-    """Entities, terms in order and name of a text."""
+def read(text: str) -> tuple[list[str], list[str]]:
+    """Entities of a text, and its terms in order."""
     found = base_spans(text)
-    own, some = entities(text, found), [t for t, _, _ in terms(text, found)]
-    return own, some, text_name(own, some)
+    if not any(found.values()):
+        return [], terms_of(WORD.findall(text))
+    return entities(text, found), [t for t, _, _ in terms(text, found)]
 
 
 def term_bit(value: str) -> int:
@@ -203,8 +207,8 @@ def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
             for part in portions(values):
                 names, held, words = [], [], []
                 for value in values[part]:
-                    own, some, name = _read(value)
-                    names.append(name)
+                    own, some = read(value)
+                    names.append(text_name(own, some))
                     held.append(own)
                     words.append(" ".join(sorted(set(some))) if own else None)
                 yield pa.RecordBatch.from_arrays(
@@ -225,14 +229,15 @@ def term_counts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_bits = bits.value
+        known = lru_cache(maxsize=REMEMBERED)(lambda t: passes(own_bits, t))
         for batch in batches:
             values = [t or "" for t in batch.column(0).to_pylist()]
             for part in portions(values):
                 names, held = [], []
                 for value in values[part]:
-                    _, some, name = _read(value)
-                    if chosen := [t for t in set(some) if passes(own_bits, t)]:
-                        names.append(name)
+                    own, some = read(value)
+                    if chosen := [t for t in set(some) if (known(t) if len(t) <= SHORT else passes(own_bits, t))]:
+                        names.append(text_name(own, some))
                         held.append(sorted(chosen))
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(held, pa.list_(pa.string()))], names=["name", "terms"])
 
@@ -241,14 +246,22 @@ def term_counts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataF
     return counted.join(wanted, "term", "left_semi")
 
 
-def disclosing_terms(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
-    """(name, own), and where it is stored: for every distinct text the terms that disclose an entity it holds, with their
-    disclosure, the highest over its entities.
+def disclosure(n_term: str) -> Column:
+    """Pointwise mutual information as a share of the entity's own; it falls as ``n_term`` grows."""
+    mutual = F.log2(F.col("n_both") * F.col("n") / (F.col(n_term) * F.col("n_entity")))
+    own = F.log2(F.col("n") / F.col("n_entity"))
+    return F.when(own > 0, mutual / own).otherwise(0.0)
+
 
-    Candidates come first: terms that stand in SUPPORT distinct texts of one entity. Only those are
-    counted over the distinct texts of all documents. Pairs of entity and term stay rows throughout,
-    and sums are combined before each shuffle, so a frequent entity or term costs one row a task; a
-    text ends with no more than its own distinct terms.
+def disclosing_terms(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
+    """(name, own), and where it is stored: for every distinct text the terms that disclose an entity
+    it holds, with their disclosure, the highest over its entities.
+
+    Candidates come first: terms that stand in SUPPORT distinct texts of one entity and whose count
+    over the texts with entities alone does not rule them out already, as the whole count is no
+    smaller. Only those are counted over the distinct texts of all documents. Pairs of entity and
+    term stay rows throughout, and sums are combined before each shuffle, so a frequent entity or
+    term costs one row a task; a text ends with no more than its own distinct terms.
     """
     spark = docs.sparkSession
     texts, texts_folder = stored(distinct_texts(docs, text), "pii-texts")
@@ -259,21 +272,20 @@ def disclosing_terms(docs: DataFrame, text: str = "text") -> tuple[DataFrame, st
     # A name is found once in ``texts``, so neither side of this join has a hot key.
     held = pairs.join(whole.select("entity"), "entity").groupBy("name").agg(F.collect_list("entity").alias("held"))
     near, near_folder = stored(texts.select("name", "words").join(held, "name"), "pii-near")
-    discard(spark, texts_folder)
     by_term = near.select("held", F.explode(F.split("words", " ")).alias("term")).where(F.col("term") != "")
     both = by_term.select(F.explode("held").alias("entity"), "term").groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    both, both_folder = stored(both.where(F.col("n_both") >= SUPPORT), "pii-both")
+    both = both.where(F.col("n_both") >= SUPPORT).join(whole, "entity").withColumn("n", F.lit(total))
+    seen = texts.where("words is not null").select(F.explode(F.split("words", " ")).alias("term")).groupBy("term").agg(F.count("*").alias("n_seen"))
+    both = both.join(seen, "term").where(disclosure("n_seen") >= GENERALISE).drop("n_seen")
+    both, both_folder = stored(both, "pii-both")
+    discard(spark, texts_folder)
+    discard(spark, whole_folder)
     wanted, wanted_folder = stored(both.select("term").distinct(), "pii-wanted")
-    alone = term_counts(docs, wanted, text)
-    joined = both.join(alone, "term").join(whole, "entity").withColumn("n", F.lit(total))
-    mutual = F.log2(F.col("n_both") * F.col("n") / (F.col("n_term") * F.col("n_entity")))
-    own = F.log2(F.col("n") / F.col("n_entity"))
-    scored = joined.withColumn("disclosure", F.when(own > 0, mutual / own).otherwise(0.0))
+    scored = both.join(term_counts(docs, wanted, text), "term").withColumn("disclosure", disclosure("n_term"))
     found = scored.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
     found, found_folder = stored(found, "pii-found")
     discard(spark, both_folder)
     discard(spark, wanted_folder)
-    discard(spark, whole_folder)
     spread, spread_folder = stored(_by_text(near, found), "pii-by-text")
     discard(spark, near_folder)
     discard(spark, found_folder)
