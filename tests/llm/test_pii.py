@@ -151,3 +151,17 @@ def test_disclosures_equal_brute_force_with_an_entity_in_a_third_of_the_texts(do
         disclosing_here = {t for e, t in expected if e in pii.entities(text, found)}
         wanted = [f"term:{a}:{b}" for t, a, b in pii.terms(text, found) if t in disclosing_here]
         assert [s for s in r.spans.split(",") if s.startswith("term")] == wanted
+
+
+@settings(deadline=None, max_examples=500)
+@given(st.text(alphabet="aB1_.,-é ²\t\n\x1c\u00a0\u2003Ω'", max_size=40))
+def test_terms_of_a_text_are_the_same_by_words_and_by_bytes(text):
+    assert pii.terms_of(text) == [t for t, _, _ in pii.terms(text, {})]
+    edge = re.compile(r"^\W+|\W+$")
+    plain = [edge.sub("", w).lower() for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+    assert pii.terms_of(text) == [t for t in plain if len(t) >= 3 and not t.isdigit()]
+
+
+def test_terms_of_long_words():
+    long = "x" * 300
+    assert pii.terms_of(f"({long}) abc") == [long, "abc"]

@@ -32,7 +32,7 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 # Longest word whose term workers remember, and how many they remember.
 SHORT = 64
-REMEMBERED = 1 << 16
+REMEMBERED = 1 << 14
 # Distinct texts that must show a term with an entity.
 SUPPORT = 3
 GENERALISE = 0.75
@@ -45,7 +45,6 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-EDGE = re.compile(r"^\W+|\W+$")
 
 Span = tuple[int, int]
 TERMS = "array<struct<start:long,end:long,disclosure:double>>"
@@ -108,17 +107,29 @@ def entity(kind: str, text: str) -> str:
 
 
 def term(word: str) -> str:
-    """The word's term; empty if it has none."""
-    cleaned = EDGE.sub("", word).lower()
+    """The word's term, without symbols at its ends; empty if it has none."""
+    if not word.isalnum():
+        start, end = 0, len(word)
+        while start < end and not (word[start].isalnum() or word[start] == "_"):
+            start += 1
+        while end > start and not (word[end - 1].isalnum() or word[end - 1] == "_"):
+            end -= 1
+        word = word[start:end]
+    cleaned = word.lower()
     return cleaned if len(cleaned) >= 3 and not cleaned.isdigit() else ""
 
 
-remembered_term = lru_cache(maxsize=REMEMBERED)(term)
+@lru_cache(maxsize=REMEMBERED)
+def short_term(word: bytes) -> str:
+    return term(word.decode("utf-8", "surrogatepass"))
 
 
-def terms_of(words: list[str]) -> list[str]:
-    look = remembered_term if max(map(len, words), default=0) <= SHORT else term
-    return [t for t in map(look, words) if t]
+def terms_of(text: str) -> list[str]:
+    """Every term of a text without entities. Bytes are split at the same six blanks as WORD."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    if max(map(len, words), default=0) <= SHORT:
+        return [t for t in map(short_term, words) if t]
+    return [t for t in (short_term(w) if len(w) <= SHORT else term(w.decode("utf-8", "surrogatepass")) for w in words) if t]
 
 
 def terms(text: str, found: dict[str, list[Span]]) -> Iterator[tuple[str, int, int]]:
@@ -131,7 +142,7 @@ def terms(text: str, found: dict[str, list[Span]]) -> Iterator[tuple[str, int, i
             taken, ahead = max(taken, ahead[1]), next(spans, None)
         if taken > a:
             continue
-        cleaned = (remembered_term if b - a <= SHORT else term)(match.group())
+        cleaned = term(match.group())
         if cleaned:
             yield cleaned, a, b
 
@@ -150,7 +161,7 @@ def read(text: str) -> tuple[list[str], list[str]]:
     """Entities of a text, and its terms in order."""
     found = base_spans(text)
     if not any(found.values()):
-        return [], terms_of(WORD.findall(text))
+        return [], terms_of(text)
     return entities(text, found), [t for t, _, _ in terms(text, found)]
 
 
@@ -222,8 +233,8 @@ def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
 def term_counts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
     """(term, n_term): in how many distinct texts of all documents each of the ``wanted`` terms stands.
 
-    A filter of fixed size leaves out nearly all other terms where the texts are read; what it lets
-    through besides, the join with ``wanted`` drops.
+    A filter of fixed size leaves out nearly all other terms where the texts are read; the few it lets
+    through besides are counted as well.
     """
     bits = docs.sparkSession.sparkContext.broadcast(name_filter(wanted.select(checksum(F.col("term")).alias("sum")), "sum"))
 
@@ -242,8 +253,7 @@ def term_counts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(held, pa.list_(pa.string()))], names=["name", "terms"])
 
     found = map_arrow(docs.select(F.col(f"`{text}`").alias("text")), run, "name binary, terms array<string>").dropDuplicates(["name"])
-    counted = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    return counted.join(wanted, "term", "left_semi")
+    return found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
 
 
 def disclosure(n_term: str) -> Column:
