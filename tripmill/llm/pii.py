@@ -234,7 +234,7 @@ def term_counts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataF
     """(term, n_term): in how many distinct texts of all documents each of the ``wanted`` terms stands.
 
     A filter of fixed size leaves out nearly all other terms where the texts are read; the few it lets
-    through besides are counted as well.
+    through besides are counted as well. A batch of texts makes one row a term.
     """
     bits = docs.sparkSession.sparkContext.broadcast(name_filter(wanted.select(checksum(F.col("term")).alias("sum")), "sum"))
 
@@ -253,7 +253,13 @@ def term_counts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(held, pa.list_(pa.string()))], names=["name", "terms"])
 
     found = map_arrow(docs.select(F.col(f"`{text}`").alias("text")), run, "name binary, terms array<string>").dropDuplicates(["name"])
-    return found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, counts = batch.column(0).flatten().value_counts().flatten()
+            yield pa.RecordBatch.from_arrays([values, counts.cast(pa.int64())], names=["term", "n"])
+
+    return map_arrow(found.select("terms"), summed, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
 def disclosure(n_term: str) -> Column:
