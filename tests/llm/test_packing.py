@@ -30,11 +30,34 @@ def test_bounds_pad_the_least(histogram, buckets):
     assert len(found) <= buckets and found == sorted(set(found)) and padded(lengths, counts, found) == best
 
 
-def test_bins_are_ordered_and_few(spark):
-    rows = spark.createDataFrame([(int(x),) for x in [*range(2_000), 10**5, 10**6, 10**9]], "length long")
-    bins = [r.bin for r in rows.select("length", packing.length_bin(rows.length).alias("bin")).orderBy("length").collect()]
-    assert bins == sorted(bins) and bins[:512] == list(range(512))
-    assert len({packing.EXACT}) == 1 and max(bins) < packing.EXACT * 31
+@settings(deadline=None, max_examples=30)
+@given(st.dictionaries(st.integers(500, 90_000), st.integers(1, 10**6), min_size=1, max_size=40), st.integers(1, 6))
+def test_long_lengths_pad_the_least_too(histogram, buckets):
+    lengths = sorted(histogram)
+    counts = [histogram[x] for x in lengths]
+    best = {0: 0}  # shortest lengths that are dealt with: least cost, a bucket more each round
+    least = None
+    for _ in range(min(buckets, len(lengths))):
+        best = {
+            j: min(c + lengths[j - 1] * sum(counts[i:j]) for i, c in best.items() if i < j)
+            for j in range(1, len(lengths) + 1)
+            if any(i < j for i in best)
+        }
+        last = best.get(len(lengths))
+        least = last if least is None or (last is not None and last < least) else least
+    found = packing.optimal_bounds(np.array(lengths), np.array(counts), buckets)
+    assert padded(lengths, counts, found) == least
+
+
+def test_lengths_above_any_power_of_two_have_buckets_of_their_own(spark):
+    rows = spark.createDataFrame([(512,)] * 1_000 + [(513,), (2_000,)], "length long")
+    assert [p[0] for p in packing.plan_buckets(rows, buckets=3)] == [512, 513, 2_000]
+
+
+def test_many_lengths_are_planned_quickly():
+    lengths = np.arange(1, 60_001)
+    found = packing.optimal_bounds(lengths, 1 + lengths[::-1] % 97, 12)
+    assert len(found) == 12 and found[-1] == 60_000
 
 
 @pytest.fixture

@@ -1,7 +1,8 @@
 """Packing by optimal length buckets.
 
-The histogram of all lengths is counted in Spark. Dynamic programming over it picks the bucket
-bounds with the least padding. Inside a bucket every batch has the same padded length, so its number
+The histogram of all lengths, a row for each distinct length, is counted in Spark. Dynamic
+programming over it picks the bucket bounds with the least padding. Distinct lengths come to the
+driver, never rows: d of them need at least d * d / 2 tokens in the table. Inside a bucket every batch has the same padded length, so its number
 of rows is the token budget divided by that length, and a row's batch follows from its number.
 
 Defined results: a null or blank text has length 0 and goes to the first bucket; a text longer than
@@ -23,10 +24,6 @@ from tripmill.llm.shared import split_words, whole_text
 BUCKETS = 12
 BUDGET = 16_384
 SHARD_ROWS = 20_000
-# Lengths up to EXACT have a bin each; above, a bin spans 1 / EXACT of its power of two, so there
-# are at most EXACT * (1 + 31 - log2(EXACT)) bins for any input.
-EXACT = 256
-EXACT_BITS = 8
 
 OUTPUT = ("length", "bucket", "bucket_length", "batch", "slot", "over_budget")
 
@@ -36,61 +33,68 @@ def token_count(text: str = "text") -> Column:
     return F.size(split_words(whole_text(F.col(f"`{text}`")))).cast("long")
 
 
-def length_bin(length: Column) -> Column:
-    shift = F.greatest(F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double"))) - EXACT_BITS, F.lit(0)).cast("int")
-    return F.call_function("shiftright", length, shift) + F.lit(EXACT) * shift
-
-
 def histogram(lengths: DataFrame, length: str = "length") -> DataFrame:
-    """Per bin: rows, tokens and the longest row. Partial sums are combined before the shuffle."""
-    return (
-        lengths.groupBy(length_bin(F.col(length)).alias("bin"))
-        .agg(F.count("*").alias("n"), F.sum(length).alias("tokens"), F.max(length).alias("longest"))
-        .orderBy("bin")
-    )
+    """The rows of every length, shortest first. Partial sums are combined before the shuffle."""
+    return lengths.groupBy(F.col(length).alias("length")).agg(F.count("*").alias("n")).orderBy("length")
 
 
-def optimal_bounds(longest: np.ndarray, n: np.ndarray, buckets: int) -> list[int]:
+def optimal_bounds(lengths: np.ndarray, n: np.ndarray, buckets: int) -> list[int]:
     """Upper lengths of at most ``buckets`` buckets that pad the least.
 
-    ``longest`` ascends. A bucket over bins i..j pads every row to ``longest[j]``; the tokens
-    themselves are constant, so the cost to minimise is rows times upper length.
+    ``lengths`` ascend. A bucket over lengths i..j pads every row to ``lengths[j]``; the tokens
+    themselves are constant, so the cost to minimise is rows times upper length. Products are exact
+    up to 2 ** 64.
     """
-    bins = len(longest)
-    if not bins:
+    different = len(lengths)
+    if not different:
         return []
-    rows = np.concatenate([[0], np.cumsum(n, dtype=np.float64)])
-    upper = longest.astype(np.float64)
+    rows = np.concatenate([[0], np.cumsum(n, dtype=np.int64)]).astype(np.longdouble)
+    upper = lengths.astype(np.longdouble)
     best = upper * rows[1:]
-    choice = [np.zeros(bins, dtype=np.int64)]
-    for _ in range(1, min(buckets, bins)):
-        before = np.concatenate([[0.0], best])  # before[i]: cost of the bins below i
-        now, cut_at = np.empty(bins), np.empty(bins, dtype=np.int64)
-        for j in range(bins):
-            cost = before[: j + 1] + (rows[j + 1] - rows[: j + 1]) * upper[j]
-            cut_at[j] = int(np.argmin(cost))
-            now[j] = cost[cut_at[j]]
-        best = now
+    choice = [np.zeros(different, dtype=np.int64)]
+    for _ in range(1, min(buckets, different)):
+        best, cut_at = _with_one_more(np.concatenate([[0], best]), rows, upper)
         choice.append(cut_at)
-    bounds, j = [], bins - 1
+    bounds, j = [], different - 1
     for cut_at in reversed(choice):
         if j < 0:
             break
-        bounds.append(int(longest[j]))
+        bounds.append(int(lengths[j]))
         j = int(cut_at[j]) - 1
     return bounds[::-1]
 
 
+def _with_one_more(before: np.ndarray, rows: np.ndarray, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least costs up to every length with one more bucket, and where that bucket begins.
+
+    ``before[i]`` is the cost of all below length i. A longer last length never moves the best
+    beginning down, so the middle of a range bounds the search of both halves.
+    """
+    now, begin = np.empty(len(upper), dtype=np.longdouble), np.empty(len(upper), dtype=np.int64)
+    ranges = [(0, len(upper), 0, len(upper) - 1)]
+    while ranges:
+        low, high, first, last = ranges.pop()
+        if low >= high:
+            continue
+        j = (low + high) // 2
+        end = min(last, j) + 1
+        cost = before[first:end] + (rows[j + 1] - rows[first:end]) * upper[j]
+        begin[j] = first + int(np.argmin(cost))
+        now[j] = cost[begin[j] - first]
+        ranges += [(low, j, first, int(begin[j])), (j + 1, high, int(begin[j]), last)]
+    return now, begin
+
+
 def plan_buckets(lengths: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> list[tuple[int, int, int]]:
     """(upper length, rows per batch, shards) of each bucket, shortest first.
 
-    Only the histogram, whose size is bounded, comes to the driver.
+    Only the histogram, a number per distinct length, comes to the driver.
     """
     bins = histogram(lengths).toPandas()
-    found = optimal_bounds(bins["longest"].to_numpy(), bins["n"].to_numpy(), buckets)
+    found = optimal_bounds(bins["length"].to_numpy(dtype=np.int64), bins["n"].to_numpy(dtype=np.int64), buckets)
     plan, low = [], -1
     for upper in found:
-        inside = (bins["longest"] > low) & (bins["longest"] <= upper)
+        inside = (bins["length"] > low) & (bins["length"] <= upper)
         count = int(bins.loc[inside, "n"].sum())
         plan.append((upper, max(1, budget // max(upper, 1)), max(1, -(-count // SHARD_ROWS))))
         low = upper
