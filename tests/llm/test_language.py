@@ -79,3 +79,25 @@ def test_a_language_without_a_centroid_raises(documents, monkeypatch):
     monkeypatch.setattr(language, "sample_limit", lambda n: 0)
     with pytest.raises(RuntimeError, match="no centroid for de, en, fr"):
         language.fit(documents(*corpus()))
+
+
+FOREIGN = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych.",
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben kell hogy viseltessenek.",
+]
+
+
+def test_unlearned_latin_languages_and_gibberish_are_rejected_and_short_texts_kept(documents):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(rng.choice(WORDS[lang], int(rng.integers(1, 200)))), lang) for i, lang in enumerate(list(WORDS) * 200)]
+    # A junk row in two hundred must not widen the radius.
+    rows += [(5_000 + i, " ".join("".join(map(chr, 97 + rng.integers(0, 26, 7))) for _ in range(100)), "en") for i in range(3)]
+    model = language.fit(documents(*rows))
+    noise = " ".join("".join(map(chr, 97 + rng.integers(0, 26, 6))) for _ in range(400))
+    bad = language.predict(documents(*enumerate([*FOREIGN, noise])), model).collect()
+    assert all(r.rejected for r in bad)
+    clean = language.predict(documents(*rows[:600]), model).where("rejected").count()
+    assert clean <= 3
+    few = [(i, " ".join(WORDS[lang][2 : 3 + k])) for i, (lang, k) in enumerate((lang, k) for lang in WORDS for k in range(4))]
+    assert language.predict(documents(*few), model).where("rejected").count() <= 1

@@ -1,8 +1,10 @@
 """Language identification by nearest centroid.
 
 A text is a normalised TF-IDF vector of hashed letter n-grams. Every language has several centroids
-from spherical clustering; a text gets the language of the nearest by cosine, and is rejected when
-its distance is beyond that centroid's radius.
+from spherical clustering; a text gets the language of the nearest by cosine, and is rejected when it
+is farther away than nearly all learned texts of its length are from theirs. Few words have few of
+their language's n-grams, so a short text's cosine is low in any language, and the radius is learned
+by length. Texts of under about ten words are hardly ever rejected for it.
 
 Document frequencies cover all learning rows. Only the clustering uses a sample, about SAMPLE rows
 of each language, spread evenly by a hash; a group of one language has about that many rows at any
@@ -32,8 +34,14 @@ SAMPLE = 600
 # Range of the hash that samples: far beyond the rows of any language.
 HASHES = 1 << 62
 ROUNDS = 12
-# A text is rejected when its cosine is below this share of the least one in the centroid's sample.
-SLACK = 0.3
+# A text is rejected when its cosine is below this share of a low quantile of the sample's, of texts
+# of about its length. One junk row in a hundred does not move the quantile of all languages; the
+# language's own quantile only lowers it.
+SLACK = 0.65
+QUANTILE = 0.01
+OWN_QUANTILE = 0.05
+LENGTHS = 40  # length classes; a class spans a doubling of the n-grams
+FEWEST = 20  # sample rows that a class needs for a quantile of its own
 UNKNOWN = "und"
 CHUNK = 1_000_000
 GRAMS = np.array([[0x9E3779B1, 0, 0], [0x85EBCA6B, 0xC2B2AE35, 0], [0x27D4EB2F, 0x165667B1, 0x9E3779B9]], dtype=np.uint32)
@@ -70,13 +78,19 @@ def counts(text: str) -> np.ndarray:
 
 def vectors(texts: Sequence[str], idf: np.ndarray) -> np.ndarray:
     """Rows of unit length, or zero where nothing was counted."""
-    found = np.empty((len(texts), DIMENSIONS), dtype=np.float32)
+    return sized_vectors(texts, idf)[0]
+
+
+def sized_vectors(texts: Sequence[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors, and the length class of every text."""
+    found, size = np.empty((len(texts), DIMENSIONS), dtype=np.float32), np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):
-        found[i] = counts(text)
+        own = counts(text)
+        found[i], size[i] = own, min(int(own.sum()).bit_length(), LENGTHS - 1)
     np.log1p(found, out=found)
     found *= idf
     norm = np.linalg.norm(found, axis=1, keepdims=True)
-    return np.divide(found, norm, out=np.zeros_like(found), where=norm > 0)
+    return np.divide(found, norm, out=np.zeros_like(found), where=norm > 0), size
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -115,9 +129,26 @@ def cluster(points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         found = np.array([points[own == c].mean(axis=0) if (own == c).any() else found[c] for c in range(len(found))])
     found /= np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-12)
     cosines = points @ found.T
-    own = np.argmax(cosines, axis=1)
-    least = np.array([cosines[own == c, c].min() if (own == c).any() else 1.0 for c in range(len(found))])
-    return found, least
+    return found, cosines.max(axis=1)
+
+
+def low_cosines(size: np.ndarray, cosines: np.ndarray, quantile: float) -> np.ndarray:
+    """The quantile of every length class. A class of few rows borrows: from the next longer one that
+    has enough, less by the root of the length, as cosines fall about so; beyond the longest, from that.
+    """
+    groups = [cosines[size == k] for k in range(LENGTHS)]
+    known = [k for k, x in enumerate(groups) if len(x) >= FEWEST]
+    if not known:
+        all_of_them = np.quantile(cosines, quantile) if len(cosines) else 0.0
+        middle = int(np.median(size)) if len(size) else 0
+        return np.array([all_of_them * 0.5 ** (max(0, middle - k) / 2) for k in range(LENGTHS)])
+    low = np.zeros(LENGTHS)
+    for k in reversed(range(LENGTHS)):
+        if k in known:
+            low[k] = np.quantile(groups[k], quantile)
+        else:
+            low[k] = low[k + 1] * 0.5**0.5 if k < known[-1] else np.quantile(groups[known[-1]], quantile)
+    return low
 
 
 def sample_limit(n: int) -> int:
@@ -143,19 +174,23 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for part in portions(texts, rows=256):
-                found = [v.tobytes() for v in vectors(texts[part], idf)]
+                found, size = sized_vectors(texts[part], idf)
                 langs = batch.column(0).slice(part.start, part.stop - part.start)
-                yield pa.RecordBatch.from_arrays([langs, pa.array(found, pa.binary())], names=["lang", "v"])
+                yield pa.RecordBatch.from_arrays([langs, pa.array([v.tobytes() for v in found], pa.binary()), pa.array(size)], names=["lang", "v", "size"])
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
-        points = np.frombuffer(b"".join(group["v"].sort_values()), dtype=np.float32).reshape(-1, DIMENSIONS)
-        found, least = cluster(points, CLUSTERS)
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "v": [v.astype(np.float32).tobytes() for v in found], "least": least.astype(float)})
+        group = group.sort_values(["v", "size"])
+        points = np.frombuffer(b"".join(group["v"]), dtype=np.float32).reshape(-1, DIMENSIONS)
+        found, cosines = cluster(points, CLUSTERS)
+        # The sample's sizes and cosines, about SAMPLE numbers, go along with the first centroid.
+        more = [([], [])] * (len(found) - 1)
+        sizes, near = zip((group["size"].tolist(), cosines.astype(float).tolist()), *more)
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "v": [v.astype(np.float32).tobytes() for v in found], "sizes": sizes, "cosines": near})
 
     on_workers(docs.sparkSession)
-    embedded = map_arrow(chosen.select("lang", "text"), embed, "lang string, v binary")
-    model = embedded.groupBy("lang").applyInPandas(centroids, "lang string, v binary, least double")
-    found = sorted(((r["lang"], bytes(r["v"]), r["least"]) for r in model.collect()))
+    embedded = map_arrow(chosen.select("lang", "text"), embed, "lang string, v binary, size long")
+    model = embedded.groupBy("lang").applyInPandas(centroids, "lang string, v binary, sizes array<long>, cosines array<double>")
+    found = sorted(((r["lang"], bytes(r["v"]), r["sizes"], r["cosines"]) for r in model.collect()))
     missing = sorted(sizes.keys() - {f[0] for f in found})
     if missing:
         raise RuntimeError(f"no centroid for {', '.join(missing)}")
@@ -163,10 +198,20 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         "idf": idf,
         "langs": [f[0] for f in found],
         "centroids": np.array([np.frombuffer(f[1], dtype=np.float32) for f in found]).reshape(-1, DIMENSIONS),
-        "floor": np.array([SLACK * max(f[2], 0.0) for f in found]),
+        "floor": SLACK * floors(found),
     }
 
 
+def floors(found: list[tuple]) -> np.ndarray:
+    """For every centroid and length class, the low cosine of all languages or of its own if lower."""
+    samples = {lang: (np.array(sizes), np.array(cosines)) for lang, _, sizes, cosines in found if len(sizes)}
+    if not samples:
+        return np.zeros((len(found), LENGTHS))
+    every = low_cosines(*(np.concatenate(part) for part in zip(*samples.values())), QUANTILE)
+    own = {lang: low_cosines(*sample, OWN_QUANTILE) for lang, sample in samples.items()}
+    return np.maximum(np.array([np.minimum(every, own[f[0]]) for f in found]), 0.0)
+
+
 def predict(docs: DataFrame, model: dict, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` and lang_pred, score, rejected, from nothing but the text. One narrow stage."""
     # About DIMENSIONS * 4 bytes for each centroid: its size depends on languages, not on rows.
@@ -183,12 +228,13 @@ def predict(docs: DataFrame, model: dict, keep: Sequence[str] = ("doc_id",), tex
                 best = np.full(len(some), len(langs) - 1)
                 score, rejected = np.zeros(len(some)), np.ones(len(some), dtype=bool)
                 if len(langs) > 1:
-                    cosines = vectors(some, own["idf"]) @ own["centroids"].T
+                    found, size = sized_vectors(some, own["idf"])
+                    cosines = found @ own["centroids"].T
                     near = np.argmax(cosines, axis=1)
                     lettered = np.array([has_letter(t) for t in some])
                     best = np.where(lettered, near, best)
                     score = np.where(lettered, np.clip(cosines[np.arange(len(some)), near].astype(float), 0, 1), 0.0)
-                    rejected = ~lettered | (score < own["floor"][near])
+                    rejected = ~lettered | (score < own["floor"][near, size])
                 kept = [batch.column(1 + i).slice(part.start, part.stop - part.start) for i in range(len(keep))]
                 results = [pa.array([langs[k] for k in best], pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*kept, *results], names=[*(f"k{i}" for i in range(len(keep))), "lang_pred", "score", "rejected"])
