@@ -28,6 +28,8 @@ from tripmill.llm.shared import map_arrow, portions
 NOTHING, GOOD, BAD = 0, 1, 2
 DIMENSIONS = 4_096
 SAMPLE = 3_000
+# Range of the hash that samples: far beyond the rows of any table.
+HASHES = 1 << 62
 EM_ROUNDS = 200
 STEPS = 300
 RIDGE = 1e-4
@@ -199,7 +201,7 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict:
                 )
 
     numbered = docs.select(F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("row"))
-    chosen = numbered.where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(part * (1 << 30))).select("text")
+    chosen = numbered.where(F.pmod(F.xxhash64("row"), F.lit(HASHES)) < max(1, int(part * HASHES))).select("text")
     found = sorted((bytes(r["x"]), r["good"]) for r in map_arrow(chosen, run, "good double, x binary").collect())
     x = np.array([np.frombuffer(f[0], dtype=np.float32) for f in found]).reshape(len(found), len(features("", Shape(""))))
     return {"posterior": posterior, "chances": chances, "share": share, "weights": train(x, np.array([f[1] for f in found]))}
