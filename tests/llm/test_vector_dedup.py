@@ -75,5 +75,45 @@ def test_links_that_no_window_shows(spark, monkeypatch, tile):
     pairs = 0.955 * many[:60] + np.sqrt(1 - 0.955**2) * across  # single pairs just over the limit
     rows = [(k, v.astype(np.float32).tolist()) for k, v in enumerate(np.concatenate([many, pairs]))]
     rows += [(len(rows) + k, [1.0, 0.1 * k]) for k in range(5)]
-    result = vector_dedup.near_duplicates(frame(spark, rows), passes=1, window=1)
+    result = vector_dedup.near_duplicates(frame(spark, rows), passes=1, window=1, exact=True)
+    assert sorted(tuple(r) for r in result.collect()) == sorted(brute(rows))
+
+
+def planted(rng, many, share):
+    """``many`` vectors, each ``share``-th with a partner of its own at a cosine just over the limit."""
+    some = many[:: share]
+    across = rng.standard_normal(some.shape)
+    across -= np.sum(across * some, axis=1, keepdims=True) * some
+    across /= np.linalg.norm(across, axis=1, keepdims=True)
+    return np.concatenate([many, 0.951 * some + np.sqrt(1 - 0.951**2) * across])
+
+
+@pytest.mark.parametrize("kind", ["spread", "hot topic"])
+def test_recall_of_thousands_of_vectors(spark, kind):
+    """Queries are the vectors of ids divisible by 20, each with a partner, against all rows."""
+    rng = np.random.default_rng(3)
+    many = rng.standard_normal((12_000, 64))
+    if kind == "hot topic":  # a third at mutual cosines of 0.8
+        many[::3] = 2 * np.sqrt(64) * rng.standard_normal(64) / 8 + rng.standard_normal((4_000, 64))
+    many /= np.linalg.norm(many, axis=1, keepdims=True)
+    all_rows = planted(rng, many, 20)
+    result = vector_dedup.near_duplicates(frame(spark, [(k, v.astype(np.float32).tolist()) for k, v in enumerate(all_rows)]))
+    links = {r.vec_id: r.n_links for r in result.collect()}
+    unit = all_rows.astype(np.float32).astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    asked = np.arange(0, 12_000, 20)
+    truth = (unit[asked] @ unit.T >= 0.95).sum(axis=1) - 1
+    got = np.array([links[k] for k in asked])
+    assert len(links) == len(all_rows) and truth.sum() >= 600
+    assert (got <= truth).all() and got.sum() >= 0.95 * truth.sum()
+
+
+def test_large_group_has_whole_counts(spark, monkeypatch):
+    """A group of many windows and chunks: every link is counted, though windows show few of them."""
+    monkeypatch.setattr(vector_dedup, "TILE", 16)
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal(16)
+    rows = [(k, (centre + 0.12 * rng.standard_normal(16)).astype(np.float32).tolist()) for k in range(700)]
+    rows += [(700 + k, rng.standard_normal(16).astype(np.float32).tolist()) for k in range(300)]
+    result = vector_dedup.near_duplicates(frame(spark, rows), window=20)
     assert sorted(tuple(r) for r in result.collect()) == sorted(brute(rows))

@@ -1,23 +1,27 @@
 """Near-duplicate vectors by sorted projection passes.
 
-In every pass the vectors are ordered by the concatenated signs of random projections, and each is
-compared with its next WINDOW neighbours. Near vectors share long prefixes, so some pass puts them
-side by side. Pairs whose cosine holds are united across passes into components.
-
-A window sees only part of a large group, and misses more pairs the more rows there are, so an exact
-step follows: vectors are dealt into chunks by their nearest pivot, and all pairs of chunks that the
-triangle inequality cannot rule out are compared, tile by tile. Link counts leave a tile, and edges
-between components that the windows had not joined. Equal vectors are one vector from the start,
-with a weight.
+In every pass the vectors are ordered by the concatenated bits of random hashes, and each is compared
+with its next ``window`` neighbours. Near vectors share long prefixes, so some pass puts them side by
+side. Pairs whose cosine holds are united across passes into components. Links are then counted
+inside each component over all its vectors, tile by tile, so a group larger than a window has whole
+counts.
+
+The first hash of a pass is the nearest of a few centres, the others are signs of projections from
+that centre; so vectors of one topic, which all lie on one side of most planes, are still told apart.
+A window misses more pairs the more rows there are, so the number of passes grows with the number of
+vectors (``passes_for``). Pairs that lie among very many vectors nearly as near are found less often
+than RECALL says; ``exact=True`` compares every pair of chunks that the triangle inequality leaves,
+whose work is the square of the vectors at worst.
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite number links with
 nothing and is its own component; vectors of different length never link; repeated rows are equal
-vectors, an id repeated with one vector counts once per row; an empty table gives no rows. Only the
-id and the results are returned.
+vectors, an id repeated with one vector counts once per row; ties in the order fall by a hash of the
+vector; an empty table gives no rows. Only the id and the results are returned.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +32,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.components import components
-from tripmill.llm.shared import cut, map_arrow, on_workers
+from tripmill.llm.shared import cut, discard, map_arrow, on_workers, stored
 
 COSINE = 0.95
+# Share of the pairs at COSINE, in spread vectors, that the number of passes is chosen for; and the fewest passes.
+RECALL = 0.999
 PASSES = 8
-BITS = 62
-WINDOW = 24
+CENTRE_BITS = 4
+SIGN_BITS = 58
+WINDOW = 256
+# Vectors that the centres of all passes are taken from: those of least hash.
+SAMPLE = 1_024
 TILE = 2_048
+# Rows that are compared with others at once.
+ROWS = 512
 # A chunk has at most this many times TILE vectors, and bytes of doubles.
 CHUNK_TILES = 8
 CHUNK_BYTES = 1 << 23
@@ -57,13 +68,50 @@ def units(raw: list[bytes]) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def passes_for(n: int, window: int, cosine: float) -> int:
+    """Passes after which a pair at ``cosine`` among ``n`` spread vectors has met with probability RECALL.
+
+    A plane parts such a pair with its angle's share of a half turn, and each halves the vectors that
+    still share the prefix, until a window holds them.
+    """
+    together = 1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi
+    if n <= window or together >= 1:
+        return PASSES
+    met = (n / window) ** math.log2(together) if together > 0 else 0.0
+    return max(PASSES, math.ceil(math.log(1 - RECALL) / math.log1p(-min(max(met, 1e-3), 0.999))))
+
+
 def projections(size: int, passes: int) -> np.ndarray:
-    return np.random.default_rng(20_240_229 + size).standard_normal((size, passes * BITS))
+    return np.random.default_rng(20_240_229 + size).standard_normal((size, passes * SIGN_BITS))
+
+
+def pass_centres(sample: np.ndarray, passes: int) -> np.ndarray:
+    """(passes, centres, size): other centres in every pass, so no pair is parted by all of them."""
+    rng = np.random.default_rng(len(sample))
+    many = max(1, min(1 << CENTRE_BITS, len(sample) // 16))
+    found = []
+    for _ in range(passes):
+        own = sample[rng.choice(len(sample), many, replace=False)]
+        for _ in range(3):
+            nearest = np.argmax(sample @ own.T - (own * own).sum(axis=1) / 2, axis=1)
+            own = np.stack([sample[nearest == k].mean(axis=0) if (nearest == k).any() else own[k] for k in range(many)])
+        found.append(own)
+    return np.stack(found)
+
+
+def centres(classes: DataFrame, passes: int) -> dict[int, np.ndarray]:
+    """Centres of every vector size that the SAMPLE vectors of least hash hold; other sizes do without."""
+    least = classes.select("v", F.xxhash64("rep").alias("at"), "rep").orderBy("at", "rep").limit(SAMPLE).collect()
+    sizes: dict[int, list[bytes]] = {}
+    for row in least:
+        sizes.setdefault(len(row["v"]) // 8, []).append(bytes(row["v"]))
+    return {size: pass_centres(units(raw), passes) for size, raw in sizes.items()}
 
 
 def sort_keys(classes: DataFrame, passes: int) -> DataFrame:
-    """(pass, size, sign, rep, v): every vector once per pass, with its key of BITS signs."""
-    weights = (1 << np.arange(BITS, dtype=np.int64))[::-1]
+    """(pass, size, sign, rep, v): every vector once per pass, with its key of a centre and SIGN_BITS signs."""
+    weights = (1 << np.arange(SIGN_BITS, dtype=np.int64))[::-1]
+    shared = classes.sparkSession.sparkContext.broadcast(centres(classes, passes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -75,50 +123,47 @@ def sort_keys(classes: DataFrame, passes: int) -> DataFrame:
                 some = [raw[i] for i in own]
                 if size not in planes:
                     planes[size] = projections(int(size), passes)
-                signs = (units(some) @ planes[size] > 0).reshape(len(own), passes, BITS) @ weights
-                reps = batch.column(0).take(pa.array(own))
+                middles = shared.value.get(int(size), np.zeros((passes, 1, int(size))))
+                unit = units(some)
+                reps, vectors = batch.column(0).take(pa.array(own)), pa.array(some, pa.binary())
                 for k in range(passes):
-                    n = len(own)
+                    n, middle, plane = len(own), middles[k], planes[size][:, k * SIGN_BITS : (k + 1) * SIGN_BITS]
+                    nearest = np.argmax(unit @ middle.T - (middle * middle).sum(axis=1) / 2, axis=1)
+                    signs = ((unit @ plane > (middle @ plane)[nearest]) @ weights) + (nearest.astype(np.int64) << SIGN_BITS)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, k)), pa.array(np.full(n, size)), pa.array(signs[:, k]), reps, pa.array(some, pa.binary())],
+                        [pa.array(np.full(n, k)), pa.array(np.full(n, size)), pa.array(signs), reps, vectors],
                         names=["pass", "size", "sign", "rep", "v"],
                     )
 
     return map_arrow(classes.select("rep", "v"), run, "pass long, size long, sign long, rep long, v binary")
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> list[int]:
-    """Places of edges that join what earlier ones did not."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = parent.get(up, up)
-            x = up
-        return x
-
-    kept = []
-    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        x, y = root(x), root(y)
-        if x != y:
-            parent[x] = y
-            kept.append(i)
-    return kept
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of every node to the least one it hangs together with: the same components, fewer edges."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = place[: len(a)], place[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low, last = np.minimum(label[i], label[j]), label.copy()
+        np.minimum.at(label, i, low)
+        np.minimum.at(label, j, low)
+        label = label[label]
+        if (label == last).all():
+            break
+    moved = label != np.arange(len(nodes))
+    return nodes[moved], nodes[label[moved]]
 
 
 def near_pairs(rep: np.ndarray, unit: np.ndarray, fresh: int, window: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs within the window whose later row is among the last ``fresh`` ones."""
-    n, found = len(rep), []
-    for step in range(1, min(window, n - 1) + 1):
-        first = max(n - fresh - step, 0)
-        left, right = unit[first : n - step], unit[first + step :]
-        hit = np.flatnonzero(np.einsum("ij,ij->i", left, right) >= cosine) + first
-        found.append((rep[hit], rep[hit + step]))
-    if not found:
-        return rep[:0], rep[:0]
-    a, b = (np.concatenate(side) for side in zip(*found))
-    kept = forest(a, b)
-    return a[kept], b[kept]
+    """Edges that join the pairs within the window whose later row is among the last ``fresh`` ones."""
+    n, found = len(rep), [(rep[:0], rep[:0])]
+    for start in range(n - fresh, n, ROWS):
+        end, first = min(start + ROWS, n), max(start - window, 0)
+        later, earlier = np.nonzero(unit[start:end] @ unit[first:end].T >= cosine)
+        step = (later + start) - (earlier + first)
+        good = (step > 0) & (step <= window)
+        found.append((rep[earlier[good] + first], rep[later[good] + start]))
+    return stars(*(np.concatenate(side) for side in zip(*found)))
 
 
 def window_edges(keys: DataFrame, window: int, cosine: float) -> DataFrame:
@@ -280,8 +325,8 @@ def all_links(members: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
         right = left if alone else np.flatnonzero(side == 1)
         links = np.zeros(len(tile), dtype=np.int64)
         joined = (rep[:0], rep[:0])
-        for start in range(0, len(left), 512):
-            rows = left[start : start + 512]
+        for start in range(0, len(left), ROWS):
+            rows = left[start : start + ROWS]
             hit = unit[rows] @ unit[right].T >= cosine
             if alone:
                 hit[np.arange(len(rows)), np.arange(start, start + len(rows))] = False
@@ -290,9 +335,7 @@ def all_links(members: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
                 links[right] += weight[rows] @ hit
             hit &= component[rows][:, None] != component[right][None, :]
             i, j = np.nonzero(hit)
-            a, b = (np.concatenate(both) for both in zip(joined, (component[rows][i], component[right][j])))
-            kept = forest(a, b)
-            joined = a[kept], b[kept]
+            joined = stars(*(np.concatenate(both) for both in zip(joined, (component[rows][i], component[right][j]))))
         linked = np.flatnonzero(links)
         counts = pd.DataFrame({"rep": rep[linked], "links": links[linked], "a": None, "b": None})
         edges = pd.DataFrame({"rep": None, "links": None, "a": joined[0], "b": joined[1]}, dtype="object")
@@ -304,36 +347,102 @@ def all_links(members: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
     return counted, found.where("a is not null").select("a", "b")
 
 
+def links_within(members: DataFrame, cosine: float) -> DataFrame:
+    """(rep, links): the weights of the others of its component that each vector links with.
+
+    Small components lie in bundles of about a chunk's vectors. A component of more is dealt into
+    chunks, and every pair of its chunks is one task's tile, so no task holds a whole large one.
+    """
+    limit = F.greatest(F.lit(1), F.least(F.lit(CHUNK_TILES * TILE), F.expr(f"{CHUNK_BYTES} div length(any_value(v))")))
+    sizes = members.groupBy("component").agg(F.count("*").alias("m"), limit.cast("long").alias("limit")).where("m > 1")
+    sizes, folder = stored(sizes, "component-sizes")
+    load = sizes.where("m <= limit").agg(F.coalesce(F.ceil(F.sum(F.col("m") / F.col("limit"))), F.lit(1)).alias("n")).first()["n"]
+    chunks = F.when(F.col("m") <= F.col("limit"), 1).otherwise(F.ceil(F.col("m") / F.col("limit"))).cast("long")
+    rows = members.join(sizes.withColumn("chunks", chunks), "component")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    large = F.col("chunks") > 1
+    tiled = rows.select(
+        F.when(~large, F.pmod(F.xxhash64("component"), F.lit(int(load)))).alias("bundle"),
+        F.when(large, F.col("component")).alias("owner"),
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+        F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"),
+        "component", "rep", "weight", "v",
+    )
+
+    def count(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values(["component", "side", "rep"], kind="stable")
+        component, side = tile["component"].to_numpy(), tile["side"].to_numpy()
+        weight, rep, raw = tile["weight"].to_numpy(), tile["rep"].to_numpy(), tile["v"].to_numpy()
+        links = np.zeros(len(tile), dtype=np.int64)
+        ends = [0, *(np.flatnonzero(component[1:] != component[:-1]) + 1), len(tile)]
+        pair = tile["low"].iat[0] != tile["high"].iat[0]
+        for a, b in zip(ends, ends[1:]):
+            unit = units(list(raw[a:b]))
+            left = np.flatnonzero(side[a:b] == 0) if pair else np.arange(b - a)
+            right = np.flatnonzero(side[a:b] == 1) if pair else left
+            for start in range(0, len(left), ROWS):
+                some = left[start : start + ROWS]
+                hit = unit[some] @ unit[right].T >= cosine
+                if not pair:
+                    hit[np.arange(len(some)), some] = False
+                links[a + some] += hit @ weight[a + right]
+                if pair:
+                    links[a + right] += weight[a + some] @ hit
+        linked = links > 0
+        return pd.DataFrame({"rep": rep[linked], "links": links[linked]})
+
+    on_workers(members.sparkSession)
+    found = tiled.groupBy("bundle", "owner", "low", "high").applyInPandas(count, "rep long, links long")
+    counted = cut(found.groupBy("rep").agg(F.sum("links").alias("links")))
+    discard(members.sparkSession, folder)
+    return counted
+
+
 def near_duplicates(
     rows: DataFrame,
     key: str = "vec_id",
     vector: str = "embedding",
     cosine: float = COSINE,
-    passes: int = PASSES,
+    passes: int | None = None,
     window: int = WINDOW,
+    exact: bool = False,
 ) -> DataFrame:
-    """(key, n_links, component_id, kept), a row per vector."""
+    """(key, n_links, component_id, kept), a row per vector.
+
+    ``passes`` follows from the number of different vectors when it is None. ``exact`` also
+    compares what no window showed.
+    """
     own = rows.select(F.col(f"`{key}`").alias("key"), F.col(f"`{vector}`").cast("array<double>").alias("x"))
     good = F.coalesce(usable("x"), F.lit(False))
     # Copies are counted per vector before the shuffle; a class is named by a hash of its vector.
     own = own.withColumn("rep", F.when(good, F.xxhash64("x")))
     classes = own.where("rep is not null").groupBy("rep").agg(F.count("*").alias("weight"), F.min("key").alias("least"), F.first("x").alias("x"))
-    classes = cut(with_bytes(classes))
-    edges = window_edges(sort_keys(classes, passes), window, cosine)
-    label = components(edges).withColumnRenamed("node", "rep")
-    # A vector that the windows left alone is a component of its own until all pairs are compared.
+    classes, folder = stored(with_bytes(classes), "vectors")
+    if passes is None:
+        passes = passes_for(classes.count(), window, cosine)
+    label = components(window_edges(sort_keys(classes, passes), window, cosine)).withColumnRenamed("node", "rep")
+    # A vector that the windows left alone is a component of its own.
     members = classes.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    members = cut(members)
-    links, joins = all_links(members.select("component", "rep", "weight", "v"), cosine)
-    further = components(joins).select(F.col("node").alias("component"), F.col("component").alias("root"))
-    members = members.join(further, "component", "left").withColumn("component", F.coalesce("root", "component"))
-    least = members.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = members.select("rep", "weight", "least", "component").join(least, "component").join(links, "rep", "left")
+    members, members_folder = stored(members, "members")
+    discard(rows.sparkSession, folder)
+    named = members.select("rep", "weight", "least", "component")
+    if exact:
+        links, joins = all_links(members.select("component", "rep", "weight", "v"), cosine)
+        further = components(joins).select(F.col("node").alias("component"), F.col("component").alias("root"))
+        named = named.join(further, "component", "left").withColumn("component", F.coalesce("root", "component"))
+    else:
+        links = links_within(members.select("component", "rep", "weight", "v"), cosine)
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    found = named.join(least, "component").join(links, "rep", "left")
     found = found.select(
         "rep",
         (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("component_id", "least").alias("component_id"),
     )
+    found = cut(found)
+    discard(rows.sparkSession, members_folder)
     named = own.select("key", "rep").join(found, "rep", "left")
     component = F.coalesce("component_id", "key")
     return named.select(
