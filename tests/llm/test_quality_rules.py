@@ -1,10 +1,12 @@
 import re
 from collections import Counter
 
+import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tripmill.llm import quality_rules as rules
+from tripmill.llm.oracles import ablations_sql
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -69,3 +71,14 @@ def test_empty_table(documents):
 def test_filters_do_not_reach_below_the_measurements(documents):
     plan = rules.judge(rules.ledger(documents((1, "a b")))).where("kept")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and plan.index("Filter") < plan.index("Generate")
+
+
+def test_ablations_equal_their_sql(documents, hard_rows):
+    good = "the quick brown fox jumps over a lazy dog while another one sleeps"
+    rows = [(100 + k, text) for k, text in enumerate([good, "x", good.upper(), good.upper() + " ***" * 9, "a b c d e " * 8])]
+    short = [r for r in hard_rows if len(r[1] or "") < 10_000]  # the SQL copies a text's words per window
+    for df in (documents(*short, *rows), documents((1, "a")).limit(0)):
+        con = duckdb.connect()
+        con.register("documents", df.select("doc_id", "text").toPandas().astype({"text": "string"}))
+        expected = con.execute(ablations_sql()).fetchall()
+        assert sorted(tuple(r) for r in rules.ablations(rules.ledger(df)).collect()) == sorted(expected)

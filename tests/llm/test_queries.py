@@ -18,7 +18,7 @@ def duck():
 
 
 def test_all_operators_and_the_pipeline_are_registered():
-    numbers = sorted(int(name.split("_")[0][2:]) for name in QUERIES)
+    numbers = sorted(int(name.split("_")[0][2:]) for name in QUERIES if name.startswith("op"))
     assert numbers == list(range(1, 14)) and {*QUERIES, "pipeline"} <= set(contract.queries())
     assert set(ORACLES) <= set(contract.oracle_sql())
 

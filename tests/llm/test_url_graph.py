@@ -1,6 +1,11 @@
+import math
+import random
+
+import duckdb
 import pytest
 
 from tripmill.llm import url_graph
+from tripmill.llm.oracles import urls_sql
 
 
 @pytest.fixture
@@ -79,3 +84,35 @@ def test_verdicts_depend_neither_on_copies_nor_on_distance(spark):
     hot = spark.range(300_000).selectExpr("-1 - id as page_id", "'http://hot.net/' as url", "cast(null as string) as html")
     found = url_graph.judge_urls(df.union(hot)).where("host like '%.io'").groupBy("verdict").count().collect()
     assert [tuple(r) for r in found] == [("block", 3 * copies + chain)]
+
+
+def test_a_link_graph_equals_its_sql(spark, pages, monkeypatch):
+    """Chains, cycles, hubs and hosts both walks reach; the scores agree but for the order of sums."""
+    monkeypatch.setattr(url_graph, "ITERATIONS", 6)
+    monkeypatch.setattr(url_graph.propagate, "__defaults__", (6, url_graph.DAMPING))
+    rng = random.Random(8)
+    hosts = ["bad.net", "worse.net", "good.org", "fine.org"] + [f"h{k}.io" for k in range(36)]
+    link = "<a HREF='https://{}/p'>".format
+    rows = [(f"http://{h}/{'fr/' if h.endswith('org') else ''}", "".join(link(rng.choice(hosts)) for _ in range(rng.randint(0, 3)))) for h in hosts]
+    rows += [(f"http://t{k}.io/", link(f"t{k + 1}.io")) for k in range(4)] + [("http://t4.io/", link("bad.net")), (None, None)]
+    df = pages(*rows)
+    con = duckdb.connect()
+    con.register("pages", df.toPandas())
+    expected = {r[0]: r[1:] for r in con.execute(f"SELECT page_id, host, verdict, trust, distrust FROM ({urls_sql()})").fetchall()}
+    found = {r.page_id: (r.host, r.verdict, r.trust, r.distrust) for r in url_graph.judge_urls(df).collect()}
+    assert found.keys() == expected.keys() and {v for _, v, _, _ in found.values()} == {"allow", "block"}
+    for page, row in found.items():
+        assert row[:2] == expected[page][:2], page
+        assert all(math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-15) for x, y in zip(row[2:], expected[page][2:])), page
+    assert sum(score > 0 for *_, score in found.values()) > 20
+
+
+def test_steps_depend_on_the_damping_alone(spark, pages, monkeypatch):
+    """A chain far longer than the walk: hosts within reach are blocked, the rest has no score."""
+    link = '<a href="http://{}/">'.format
+    steps = 6
+    rows = [("http://c0.net/", "")] + [(f"http://c{k}.io/", link(f"c{k - 1}.{'net' if k == 1 else 'io'}")) for k in range(1, 15)]
+    monkeypatch.setattr(url_graph.propagate, "__defaults__", (steps, url_graph.DAMPING))
+    found = {r.page_id: (r.verdict, r.distrust > 0) for r in url_graph.judge_urls(pages(*rows)).collect()}
+    assert found == {k: ("block", True) if k <= steps else ("allow", False) for k in range(15)}
+    assert url_graph.DAMPING**url_graph.ITERATIONS <= url_graph.SETTLED

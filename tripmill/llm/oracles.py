@@ -37,6 +37,19 @@ def quality_sql() -> str:
         SELECT *, failed_bits & {base} <> 0 AS base_failed, failed_bits & {policy} = 0 AS kept FROM f"""
 
 
+def ablations_sql() -> str:
+    """Per policy and rule, over the rows of the ledger's SQL."""
+    rules = quality_rules
+    lines = ", ".join(
+        f"('{policy}', '{rule}', {rules.mask((rule,))}, {rules.mask(own)})" for policy, own in rules.POLICIES.items() for rule in own
+    )
+    return f"""
+        SELECT policy, rule, CAST(count(*) FILTER (failed_bits & rule_bit <> 0) AS BIGINT) AS n_failed,
+          CAST(count(*) FILTER (failed_bits & policy_bits = rule_bit) AS BIGINT) AS n_only_this
+        FROM (VALUES {lines}) AS g(policy, rule, rule_bit, policy_bits) LEFT JOIN ({quality_sql()}) ON true
+        GROUP BY policy, rule"""
+
+
 def vectors_sql() -> str:
     return """
         WITH RECURSIVE v AS (
@@ -94,10 +107,10 @@ def urls_sql() -> str:
     give = url_graph.DAMPING
     steps = ["s0 AS (SELECT walk, host, seed AS score FROM seeds)"]
     for k in range(url_graph.ITERATIONS):
-        steps.append(f"""g{k} AS (
+        steps.append(f"""g{k} AS MATERIALIZED (
           SELECT e.walk, e.dst AS host, sum(s.score * (1 / o.degree)) AS got FROM edges e
           JOIN degrees o ON o.walk = e.walk AND o.src = e.src JOIN s{k} s ON s.walk = e.walk AND s.host = e.src GROUP BY ALL
-        ), s{k + 1} AS (
+        ), s{k + 1} AS MATERIALIZED (
           SELECT walk, host, sum(part) AS score FROM (
             SELECT s.walk, s.host, s.seed * (1 - {give} * coalesce(p.passed, 0.0)) AS part
             FROM seeds s LEFT JOIN (SELECT walk, sum(got) AS passed FROM g{k} GROUP BY walk) p ON p.walk = s.walk
@@ -135,7 +148,7 @@ def urls_sql() -> str:
           FROM ruled LEFT JOIN scores USING (host)
         )
         SELECT page_id, host, path, rule,
-          coalesce(by_rule, CASE WHEN distrust > {url_graph.MIN_DISTRUST} AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict,
+          coalesce(by_rule, CASE WHEN distrust > trust THEN 'block' ELSE 'allow' END) AS verdict,
           trust, distrust
         FROM judged"""
 
@@ -233,6 +246,7 @@ def secrets_sql() -> str:
 
 ORACLES: dict[str, str] = {
     "op5_quality_ledger": quality_sql(),
+    "quality_ablations": ablations_sql(),
     "op6_sorted_projections": vectors_sql(),
     "op9_url_graph": urls_sql(),
     "op10_shingle_tiles": shingles_sql(),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tripmill.llm import bpe, chat, hard_negatives, jaccard, language, lexical_search, pii, secret_scan, vector_dedup, weak_labels
 from tripmill.llm.oracles import ORACLES  # noqa: F401
 from tripmill.llm.packing import pack, token_count
-from tripmill.llm.quality_rules import judge, ledger
+from tripmill.llm.quality_rules import ablations, judge, ledger
 from tripmill.llm.shared import source
 from tripmill.llm.url_graph import judge_urls
 
@@ -43,6 +43,10 @@ def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("text")
 
 
+def quality_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    return ablations(ledger(source(spark, folder, "documents").select("doc_id", "text")))
+
+
 def op6_sorted_projections(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dedup.near_duplicates(source(spark, folder, "embeddings"))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_language_centroids": op4_language_centroids,
     "op5_quality_ledger": op5_quality_ledger,
+    "quality_ablations": quality_ablations,
     "op6_sorted_projections": op6_sorted_projections,
     "op7_weak_labels": op7_weak_labels,
     "op8_disclosing_terms": op8_disclosing_terms,

@@ -3,20 +3,23 @@
 Explicit rules judge a url first. Where none fits, its host is judged by two walks over the host
 graph: PageRank personalised to trusted hosts along the links, and the same from blocked hosts
 against them, so that hosts linking to blocked ones are distrusted. Both walks are one table with a
-``walk`` column and share every iteration. They end when every score has settled relative to itself,
-so far hosts are reached in a graph of any size. DataFrame functions only.
+``walk`` column and share every iteration. After ITERATIONS steps the scores of a walk are off by
+less than SETTLED of their sum, whatever the graph: each step passes on DAMPING of what is still to be
+dealt out. So the number of steps depends on the damping alone; a host further than that from every
+seed has no score and is allowed. They end sooner if nothing moves any more. DataFrame functions only.
 
 Defined results: a null url or one without ``://`` has empty host and path, fits no rule and gets
 the method's verdict for an unknown host, allow; a null html has no links; repeated pages are judged
-row by row, but count once per row as seeds; an empty table gives no rows. Only the columns named in
+row by row, but count once per row as seeds; a host of equal trust and distrust is allowed; an html
+of any length is read whole; an empty table gives no rows. Only the columns named in
 OUTPUT and the page id are returned, so other columns cannot clash.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,12 +34,12 @@ RULES: tuple[tuple[str, str], ...] = (
     ("org/fr/", "allow"),
 )
 DAMPING = 0.85
-ITERATIONS = 12
-CUT_EVERY = 4
-# The walks of judge_urls go on until no host's score changes by more than this share of itself.
+# Share of a walk's scores that may still be dealt out when it ends, and the steps that takes.
 SETTLED = 1e-3
-# Only the SQL of the oracle still has this floor; a host is blocked when its distrust exceeds its trust.
-MIN_DISTRUST = 1e-6
+ITERATIONS = math.ceil(math.log(SETTLED) / math.log(DAMPING))
+CUT_EVERY = 4
+# Scores that move by less than this share of themselves stand still but for rounding.
+STILL = 1e-12
 OUTPUT = ("host", "path", "rule", "verdict", "trust", "distrust")
 
 
@@ -74,15 +77,15 @@ def host_edges(pages: DataFrame, html: str = "html") -> DataFrame:
     return links.where("src <> '' and dst <> '' and src <> dst").distinct()
 
 
-def settled(old: DataFrame, new: DataFrame) -> bool:
-    """Whether no score moved by more than SETTLED of itself; a host just reached has moved by all of it."""
+def still(old: DataFrame, new: DataFrame) -> bool:
+    """Whether no host was just reached and no score moved but for rounding."""
     before = old.select("walk", "host", F.col("score").alias("before"))
-    moved = F.abs(F.col("score") - F.coalesce("before", F.lit(0.0))) > SETTLED * F.col("score")
+    moved = F.col("before").isNull() | (F.abs(F.col("score") - F.col("before")) > STILL * F.col("score"))
     return new.join(before, ["walk", "host"], "left").where(moved).isEmpty()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, iterations: int | None = ITERATIONS, damping: float = DAMPING) -> DataFrame:
-    """(walk, host, score) of personalised PageRank, after ``iterations`` or, with None, when settled.
+def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
+    """(walk, host, score) of personalised PageRank after ``iterations`` steps, or when all stand still.
 
     ``edges(walk, src, dst)`` are distinct, ``seeds(walk, host, seed)`` sum to 1 per walk. A host
     without out-links gives its score back to the seeds. Contributions are summed before the
@@ -92,8 +95,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, iterations: int | None = ITERA
     links = cut(edges.join(out, ["walk", "src"]).select("walk", "src", "dst", (1 / F.col("degree")).alias("share")))
     seeds = cut(seeds)
     scores = seeds.select("walk", "host", F.col("seed").alias("score"))
-    for step in count() if iterations is None else range(iterations):
-        last = scores
+    last = scores
+    for step in range(iterations):
         given = (
             links.join(scores.withColumnRenamed("host", "src"), ["walk", "src"])
             .groupBy("walk", F.col("dst").alias("host"))
@@ -106,12 +109,11 @@ def propagate(edges: DataFrame, seeds: DataFrame, iterations: int | None = ITERA
         )
         parts = base.union(given.select("walk", "host", (damping * F.col("got")).alias("part")))
         scores = parts.groupBy("walk", "host").agg(F.sum("part").alias("score"))
-        if step % CUT_EVERY == CUT_EVERY - 2 and iterations is None:
-            scores = cut(scores)  # what the test of the next step compares with
-        if step % CUT_EVERY == CUT_EVERY - 1 or step + 1 == iterations:
+        if step % CUT_EVERY == 0 or step + 1 == iterations:
             scores = cut(scores)
-            if iterations is None and settled(last, scores):
+            if still(last, scores):  # damping leaves no cycles, so what is the same after some steps stays so
                 break
+            last = scores
     return scores
 
 
@@ -152,7 +154,7 @@ def judge_urls(
     walks = edges.select(F.lit("trust").alias("walk"), "src", "dst").union(
         edges.select(F.lit("distrust").alias("walk"), F.col("dst").alias("src"), F.col("src").alias("dst"))
     )
-    scores = propagate(walks, seeds, None)
+    scores = propagate(walks, seeds)
     by_host = scores.groupBy("host").agg(
         F.sum(F.when(F.col("walk") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("walk") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"),
