@@ -68,3 +68,45 @@ def test_hard_rows(documents, hard_rows):
     assert all(r.score == 0 and not r.kept for r in found if r.doc_id in (1, 2, 3))
     none = docs.limit(0)
     assert weak_labels.score(none, weak_labels.fit(none)).count() == 0
+
+
+def em_by_loops(counts, rounds):
+    """Every row on its own, in plain numbers: class shares, chances, posteriors, round after round."""
+    labellers = range(len(weak_labels.LABELLERS))
+    rows = [(code, weak_labels.votes_of(code)) for code, n in counts.items() for _ in range(n)]
+    good = [0.05 if weak_labels.BAD in votes else 0.95 for _, votes in rows]
+    for _ in range(rounds):
+        share = (sum(good) + 1) / (len(rows) + 2)
+        weights = [1 - g for g in good], good
+        tally = [[[0.5 + sum(w for w, (_, votes) in zip(of, rows) if votes[k] == v) for v in range(3)] for of in weights] for k in labellers]
+        chance = [[[x / sum(of) for x in of] for of in both] for both in tally]
+        good = []
+        for _, votes in rows:
+            bad, fine = 1 - share, share
+            for k in labellers:
+                bad, fine = bad * chance[k][0][votes[k]], fine * chance[k][1][votes[k]]
+            good.append(fine / (bad + fine))
+    return share, dict(zip((code for code, _ in rows), good))
+
+
+def test_expectation_maximisation_equals_plain_loops():
+    rng = np.random.default_rng(1)
+    codes = rng.integers(0, 3 ** len(weak_labels.LABELLERS), 25)
+    counts = {int(code): int(n) for code, n in zip(codes, rng.integers(1, 6, 25))}
+    share, _, posterior = weak_labels.expectation_maximisation(counts, rounds=7)
+    expected_share, expected = em_by_loops(counts, 7)
+    assert abs(share - expected_share) < 1e-9 and posterior.keys() == expected.keys()
+    assert all(abs(posterior[code] - expected[code]) < 1e-9 for code in expected)
+
+
+def test_agreement_with_the_labels(spark):
+    """The labels judge the result only; nothing is learned from them."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    found = weak_labels.score(docs, weak_labels.fit(docs)).join(labels, "doc_id").select("quality", "kept", "score").toPandas()
+    good, bad = found[found.quality == 1], found[found.quality == 0]
+    ranks = found.score.rank()
+    area = (ranks[found.quality == 1].sum() - len(good) * (len(good) + 1) / 2) / (len(good) * len(bad))
+    figures = {"good kept": good.kept.mean(), "junk dropped": 1 - bad.kept.mean(), "area": area}
+    print(figures)
+    assert figures["good kept"] >= 0.95 and figures["junk dropped"] >= 0.8 and area >= 0.9, figures
