@@ -3,6 +3,11 @@
 Every stage works on all that the one before it kept, and all but the last return the columns of
 ``documents``. Inside a stage the columns have neutral names, so no column of the input can clash
 with what an operator adds.
+
+Defined results: null, empty and blank texts, and those too short, fail the rules and go; a null id is
+no reason to go, and a group of near duplicates without ids keeps one row as well; of repeated rows
+one stays; texts of any length are read whole; columns of the input stay, but for those named in
+packing.OUTPUT, which the last stage replaces; an empty table gives no rows.
 """
 
 from __future__ import annotations
