@@ -150,3 +150,27 @@ def test_filters_agree_in_spark_and_in_tasks(spark):
     assert jaccard.may_be_named(bits, np.array(names, dtype=np.int64)).all()
     others = np.array([k << 33 | 70 for k in range(200)], dtype=np.int64)
     assert jaccard.may_be_named(bits, others).mean() < 0.05
+
+
+def windows(n):
+    """Passages of one text that begin at different words, each with a word of its own."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    return [(i, " ".join([*base[s : s + 120], f"own{i}"])) for i, s in ((i, rng.randrange(40)) for i in range(n))]
+
+
+def test_comparisons_do_not_grow_with_the_square_of_a_group(documents, monkeypatch):
+    own, compared = jaccard.linked, {}
+    for n in (40, 160):
+        counts = compared[n] = []
+        monkeypatch.setattr(jaccard, "linked", lambda pairs, *rest: counts.append(pairs.count()) or own(pairs, *rest))
+        found = {r.doc_id: r.component_id for r in jaccard.similar_documents(documents(*windows(n))).collect()}
+        assert [found[i] for i in range(n)] == [c for _, c in brute(windows(n))]
+    assert sum(compared[160]) < 8 * sum(compared[40])
+
+
+def test_tiles_of_two_sets_are_done_after_a_round(documents, monkeypatch):
+    monkeypatch.setattr(jaccard, "tile_pairs", lambda *_: pytest.fail("no tile is left"))
+    rows = [(i, f"the same few words {' '.join(f'w{i}x{k}' for k in range(9))}" if i < 2 else f"a b c d e f g h i j k l {'x' * (i % 2)}") for i in range(4)]
+    found = {r.doc_id: r.component_id for r in jaccard.similar_documents(documents(*rows)).collect()}
+    assert [found[i] for i in range(4)] == [c for _, c in brute(rows)]

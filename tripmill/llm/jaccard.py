@@ -8,8 +8,10 @@ are bounded from above by the bits their hashed bitmaps have in common, and only
 compared exactly, as intersections of sorted arrays. Nothing is capped and nothing is sampled.
 
 Equal sets are one set from the start, so copies cost no pairs. Since the result is connected
-components, tiles first join their members to hubs, one comparison a set and round; only pairs still
-in different components are compared after that.
+components, tiles join their members to hubs in rounds, one comparison a set and round. A tile's hub
+leaves it after its round, as all its pairs are known by then, so tiles of two sets, nearly all of
+them, are done after one round, and so are tiles whose sets are all in one component. Only what the
+rounds leave is paired within the tiles.
 
 Defined results: a null, empty or blank text has an empty set and is linked with nothing; fewer
 words than a shingle count as one shingle; repeated rows are copies; rows with a null id get a
@@ -38,8 +40,9 @@ CELL_BITS = 17
 CELLS = 1 << CELL_BITS
 CELL_BLOCK = 1 << 12
 SIGNATURE_BITS = 2_048
-# Rounds of one comparison a set; the pairs they leave are all compared afterwards.
-HUB_ROUNDS = 1
+BIT_COLUMNS = [f"bits{i}" for i in range(SIGNATURE_BITS // 64)]
+# Rounds of one comparison a set at most; the pairs they leave are all compared afterwards.
+HUB_ROUNDS = 3
 # Lowest tiles that a set carries along, so that a pair is met in one tile of the many it shares.
 LEAST_TILES = 8
 # Bits of the filters that keep most rows out of joins; 2 MB, whatever the input.
@@ -208,14 +211,14 @@ def may_be_named(bits: bytes, names: np.ndarray) -> np.ndarray:
 
 
 def shared_tiles(rows: DataFrame) -> DataFrame:
-    """(tile, set, first) of tiles that hold several sets, ``first`` the least of them.
+    """(tile, set, first, last) of tiles that hold several sets, ``first`` the least of them.
 
     Minima are combined before the shuffle. Most tiles hold one set; a filter of fixed size keeps
     nearly all of those out of the join, which adaptive execution may split where a third of all
     sets share a tile.
     """
     ends = rows.groupBy("tile").agg(F.min("set").alias("first"), F.max("set").alias("last"))
-    ends = cut(ends.where("first <> last").select("tile", "first"))
+    ends = cut(ends.where("first <> last"))
     wanted = rows.sparkSession.sparkContext.broadcast(name_filter(ends, "tile"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,12 +228,12 @@ def shared_tiles(rows: DataFrame) -> DataFrame:
     return map_arrow(rows, run, "tile long, set long").join(ends, "tile").distinct()
 
 
-def arrays(docs: DataFrame, names: DataFrame, text: str, words: int) -> DataFrame:
-    """(set, hashes) of the named sets, each made again from the text at its ``place``.
+def arrays(docs: DataFrame, places: DataFrame, text: str, words: int) -> DataFrame:
+    """(at, set, hashes) of the rows at the places, each made again from its text, and of a few others.
 
     Making them anew costs less than keeping the sets of all documents.
     """
-    wanted = docs.sparkSession.sparkContext.broadcast(name_filter(names, "place"))
+    wanted = docs.sparkSession.sparkContext.broadcast(name_filter(places, "place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,8 +244,7 @@ def arrays(docs: DataFrame, names: DataFrame, text: str, words: int) -> DataFram
             yield pa.RecordBatch.from_arrays([some.column(1), sets, hashes], names=["at", "set", "hashes"])
 
     chosen = docs.select(F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("at"))
-    found = map_arrow(chosen, run, "at long, set long, hashes binary")
-    return found.join(names.select("set", "place"), "set").where("at = place").select("set", "hashes")
+    return map_arrow(chosen, run, "at long, set long, hashes binary").where("set is not null")
 
 
 def bit_bound(percent: int) -> Column:
@@ -251,19 +253,23 @@ def bit_bound(percent: int) -> Column:
     A bit in which they differ needs an element that only one of them has, so twice the
     intersection is at most the sum of the sizes less the number of such bits.
     """
-    words = range(SIGNATURE_BITS // 64)
-    differ = sum((F.bit_count(F.get(F.col("a.bits"), i).bitwiseXOR(F.get(F.col("b.bits"), i))) for i in words), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in BIT_COLUMNS), F.lit(0))
     both = F.col("a.n") + F.col("b.n")
     return (100 + percent) * (both - differ) >= 2 * percent * both
 
 
 def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of set names that link, by exact intersection of the sorted arrays."""
-    ends = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-    names = cut(ends.join(sets.select("set", "place"), "set"))
-    found = arrays(docs, names, text, words)
-    left = found.select(F.col("set").alias("a"), F.col("hashes").alias("left"))
-    right = found.select(F.col("set").alias("b"), F.col("hashes").alias("right"))
+    """The pairs (a, b) of set names that link, by exact intersection of the sorted arrays.
+
+    Arrays are dealt by set and place once, for both ends, and one of a pair's moves to the other.
+    """
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("set").alias(end), F.col("place").alias(f"{end}_at")), end)
+    pairs = cut(pairs)
+    places = pairs.select(F.col("a_at").alias("place")).union(pairs.select(F.col("b_at").alias("place")))
+    found = arrays(docs, places, text, words)
+    left = found.select(F.col("set").alias("a"), F.col("at").alias("a_at"), F.col("hashes").alias("left"))
+    right = found.select(F.col("set").alias("b"), F.col("at").alias("b_at"), F.col("hashes").alias("right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,8 +283,8 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: str, words:
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    rows = pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "left", "right")
-    return cut(map_arrow(rows, run, "a long, b long"))
+    rows = pairs.join(left, ["a", "a_at"], "left").join(right, ["b", "b_at"], "left").select("a", "b", "left", "right")
+    return map_arrow(rows, run, "a long, b long")
 
 
 def similar_sets(docs: DataFrame, found: DataFrame, text: str, words: int, percent: int) -> DataFrame:
@@ -288,29 +294,85 @@ def similar_sets(docs: DataFrame, found: DataFrame, text: str, words: int, perce
     members, members_folder = stored(shared_tiles(rows), "shared-tiles")
     discard(spark, folder)
     own = found.where("set is not null").join(members.select("set").distinct(), "set", "left_semi")
-    sets = own.groupBy("set").agg(F.min(F.struct("place", "n", "bits")).alias("x")).select("set", "x.*")
+    sets = own.groupBy("set").agg(F.min(F.struct("place", "n", "bits")).alias("x"))
+    sets = sets.select("set", "x.place", "x.n", *(F.get("x.bits", i).alias(w) for i, w in enumerate(BIT_COLUMNS)))
     sets, sets_folder = stored(sets, "sets")
 
-    edges, label = _hub_links(members, sets, docs, text, words, percent)
+    # Frames that go from round to round are stored: checkpoints keep the estimates of the plans they
+    # cut, which multiply with every join and soon take the planner longer than the work.
+    made = [sets_folder]
+
+    def kept(df: DataFrame, purpose: str) -> DataFrame:
+        df, place = stored(df, purpose)
+        made.append(place)
+        return df
+
+    # (a, b): pairs within the bounds that still have to be compared, and those that were.
+    pending = tried = edges = label = None
+    for _ in range(HUB_ROUNDS):
+        hubs = members.where("set <> first").select(F.col("set").alias("a"), F.col("first").alias("b")).distinct()
+        if tried is not None:
+            hubs = apart(hubs, label).join(tried, ["a", "b"], "left_anti")
+        near = within_bounds(hubs, sets, percent)
+        pending = kept(near if pending is None else pending.union(near).distinct(), "pairs")
+        chosen = kept(pending.groupBy("a").agg(F.min("b").alias("b")), "pairs")
+        good = kept(linked(chosen, sets, docs, text, words, percent), "links")
+        edges = good if edges is None else edges.union(good)
+        tried = chosen if tried is None else tried.union(chosen)
+        label = components(edges)
+        pending = kept(apart(pending.join(chosen, ["a", "b"], "left_anti"), label), "pairs")
+        rest, rest_folder = stored(without_hubs(members, label), "shared-tiles")
+        discard(spark, members_folder)
+        members, members_folder = rest, rest_folder
+        if members.isEmpty() and pending.isEmpty():
+            break
 
-    # What is left: pairs of a tile in different components that pass the bounds.
-    named, named_folder = stored(_named_members(members, label), "named-tiles")
+    if not members.isEmpty():
+        left = tile_pairs(members, label, sets, percent)
+        pending = kept(pending.union(left.join(tried, ["a", "b"], "left_anti")).distinct(), "pairs")
     discard(spark, members_folder)
-    mixed = named.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_rows = named.join(mixed.select("tile"), "tile")
-    least = open_rows.groupBy("set").agg(F.slice(F.sort_array(F.collect_list("tile")), 1, LEAST_TILES).alias("least"))
-    open_rows = open_rows.join(sets.join(least, "set"), "set")
-    a, b = open_rows.alias("a"), open_rows.alias("b")
-    same_tile = (F.col("a.tile") == F.col("b.tile")) & (F.col("a.component") < F.col("b.component"))
-    pairs = a.join(b, same_tile & near_sizes(percent) & bit_bound(percent) & ~met_before())
-    pairs = cut(pairs.select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).distinct())
-    discard(spark, named_folder)
-    if not pairs.isEmpty():
-        label = components(edges.union(linked(pairs, sets, docs, text, words, percent)))
-    discard(spark, sets_folder)
+    if not pending.isEmpty():
+        label = components(edges.union(kept(linked(pending, sets, docs, text, words, percent), "links")))
+    for place in made:
+        discard(spark, place)
     return label
 
 
+def within_bounds(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may link, by their sizes and bitmaps."""
+    both = pairs.join(sets.alias("a"), pairs["a"] == F.col("a.set")).join(sets.alias("b"), pairs["b"] == F.col("b.set"))
+    return both.where(near_sizes(percent) & bit_bound(percent)).select(pairs["a"], pairs["b"])
+
+
+def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are in different components; a set without a label is its own."""
+    for end in ("a", "b"):
+        pairs = pairs.join(label.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in")), end, "left")
+    return pairs.where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
+
+
+def without_hubs(members: DataFrame, label: DataFrame) -> DataFrame:
+    """(tile, set, first, last) without each tile's hub; tiles that are left with one component go."""
+    more = members.where("set <> first and set <> last").select("tile").distinct()
+    rest = members.where("set <> first").join(more, "tile", "left_semi").select("tile", "set")
+    named = cut(_named_members(rest, label))
+    ends = named.groupBy("tile").agg(
+        F.min("set").alias("first"), F.max("set").alias("last"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    ends = ends.where("low <> high").select("tile", "first", "last")
+    return named.select("tile", "set").join(ends, "tile")
+
+
+def tile_pairs(members: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a > b: all pairs of a tile in different components that pass the bounds."""
+    least = members.groupBy("set").agg(F.slice(F.sort_array(F.collect_list("tile")), 1, LEAST_TILES).alias("least"))
+    rows = _named_members(members, label).join(sets.join(least, "set"), "set")
+    a, b = rows.alias("a"), rows.alias("b")
+    same_tile = (F.col("a.tile") == F.col("b.tile")) & (F.col("a.set") > F.col("b.set")) & (F.col("a.component") != F.col("b.component"))
+    pairs = a.join(b, same_tile & near_sizes(percent) & bit_bound(percent) & ~met_before())
+    return pairs.select(F.col("a.set").alias("a"), F.col("b.set").alias("b"))
+
+
 def met_before() -> Column:
     """Whether sets a and b are known to share a lower tile than this one, where they meet as well.
 
@@ -330,35 +392,6 @@ def _named_members(members: DataFrame, label: DataFrame) -> DataFrame:
     return named.select("tile", "set", F.coalesce("component", "set").alias("component"))
 
 
-def _hub_links(
-    members: DataFrame, sets: DataFrame, docs: DataFrame, text: str, words: int, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """Links to hubs, and the components they make.
-
-    In every tile the least set of the least component is the hub; each set of another component
-    is compared with the least hub that the bounds allow. That is one pair a set and round. Rounds
-    go on as long as they join components, so large groups of near copies come together without
-    their pairs.
-    """
-    edges = label = None
-    for _ in range(HUB_ROUNDS):
-        named = members.select("tile", "set", F.col("set").alias("component")) if label is None else _named_members(members, label)
-        hub = named.groupBy("tile").agg(F.min(F.struct("component", "set")).alias("hub"))
-        pairs = named.join(hub, "tile").where(F.col("component") != F.col("hub.component"))
-        pairs = pairs.select("set", F.col("hub.set").alias("first")).distinct()
-        pairs = pairs.join(sets.alias("a"), pairs["set"] == F.col("a.set")).join(sets.alias("b"), pairs["first"] == F.col("b.set"))
-        pairs = pairs.where(near_sizes(percent) & bit_bound(percent))
-        pairs = cut(pairs.groupBy(F.col("a.set").alias("a")).agg(F.min("b.set").alias("b")))
-        if label is not None and pairs.isEmpty():
-            break
-        found = linked(pairs, sets, docs, text, words, percent)
-        if label is not None and found.isEmpty():
-            break
-        edges = found if edges is None else edges.union(found)
-        label = components(edges)
-    return edges, label
-
-
 def document_components(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
     """(key, row, n, component, component_id), a row per document; ``row`` is a hash of id and text.
 
